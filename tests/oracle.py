@@ -1,0 +1,79 @@
+"""Compare registered queries with their SQL on DuckDB: ``python tests/oracle.py [folder] [name ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return con
+
+
+def canonical(df: pd.DataFrame) -> list[tuple]:
+    df = df[sorted(df.columns)]
+
+    def cell(v: object) -> str:
+        if v is None or v is pd.NaT or (isinstance(v, float) and v != v) or v is pd.NA:
+            return "~"
+        if isinstance(v, bool):
+            return str(v)
+        if isinstance(v, (int, float)):
+            return f"{float(v):.6f}"
+        return str(v)
+
+    return sorted(tuple(map(cell, row)) for row in df.astype(object).itertuples(index=False))
+
+
+def differences(spark, con, name: str, folder: str) -> str | None:
+    from workload import QUERIES, SQL
+
+    got = QUERIES[name](spark, folder)
+    rows = got.toPandas()
+    want = con.execute(SQL[name]).df()
+    if sorted(rows.columns) != sorted(want.columns):
+        return f"columns {sorted(rows.columns)} != {sorted(want.columns)}"
+    a, b = canonical(rows), canonical(want)
+    if a != b:
+        left, right = set(a) - set(b), set(b) - set(a)
+        return f"rows {len(a)} vs {len(b)}; only spark {list(left)[:2]}; only sql {list(right)[:2]}"
+    types = {c: (str(rows[c].dtype), str(want[c].dtype)) for c in rows.columns}
+    odd = {c: t for c, t in types.items() if t[0] != t[1]}
+    return f"(same rows; dtypes differ {odd})" if odd else None
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+    from tidemark import build_session
+    from workload import QUERIES, SQL
+
+    where = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    session = build_session(
+        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+                                 "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    duck = connect(where)
+    for query in sys.argv[2:] or QUERIES:
+        began = time.monotonic()
+        if query not in SQL:
+            print(f"{query}: rows only, {QUERIES[query](session, where).count()}")
+            continue
+        try:
+            verdict = differences(session, duck, query, where) or "ok"
+        except Exception as error:  # noqa: BLE001
+            verdict = f"ERROR {type(error).__name__}: {str(error)[:700]}"
+        print(f"{time.monotonic() - began:6.2f}s {query}: {verdict}", flush=True)
