@@ -21,14 +21,12 @@ STORAGE_TYPES = {
 DECIMAL_NUMBER = "decimal(38,9)"
 
 _PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_PLAIN_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 _ISO_START = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$"
 
 
 def parse_id(text: Column) -> Column:
     """Whole numbers only; ``1.5`` or ``1_0`` are not ids."""
-    text = text.cast("string")
-    return F.when(text.rlike(_PLAIN_INTEGER), text.try_cast("bigint"))
+    return text.cast("string").try_cast("bigint")
 
 
 def parse_number(text: Column, storage: str = "double") -> Column:

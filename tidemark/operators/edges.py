@@ -11,35 +11,54 @@ from tidemark.meta import DEFAULT_CATEGORY, EDGE_KEY
 from tidemark.operators.merge import keep_last, replace_where_listed, upsert
 
 
-def _as_map(column: Column, kind: str) -> Column:
-    return F.from_json(column, "map<string,string>") if kind == "string" else column
+ITEM = "struct<id:string, type:string, category:string>"
+LINKS = f"map<string, struct<results:array<{ITEM}>>>"
+
+
+def _links(text: Column) -> Column:
+    """Association JSON as a map of item lists.
+
+    One strict parse does for sound text. Where that leaves a gap (a value that is no object, an
+    item that is none), the text is taken apart level by level, so that only the odd part is lost.
+    """
+    strict = F.from_json(text, LINKS)
+    gap = F.exists(F.map_values(strict), lambda v: v.isNotNull() & v["results"].isNull())
+    loose = F.transform_values(
+        F.from_json(text, "map<string,string>"),
+        lambda _, value: F.when(
+            F.ltrim(value).startswith("{"),
+            F.struct(
+                F.transform(
+                    F.from_json(value, "struct<results:array<string>>")["results"],
+                    lambda item: F.from_json(item, ITEM),
+                ).alias("results")
+            ),
+        ),
+    )
+    return F.when(strict.isNotNull() & ~gap, strict).otherwise(loose)
 
 
 def normalize_edges(records: DataFrame, order: str = "_ord") -> DataFrame:
     """Record x link type x linked item -> (from_id, to_type, to_id, type_id, category, _ord).
 
-    Each value of the association map, and each item inside, is parsed on its own: a value that
-    is no object, or an item without an id, costs nothing else.
+    ``associations`` is JSON text of an object of lists; values that are no object and items
+    without an id are passed over.
     """
-    kind = dict(records.dtypes)["associations"]
     entries = records.select(
-        F.col("id"),
+        parse_id(F.col("id")).alias("from_id"),
         F.col(order).alias("_rec"),
-        F.explode(_as_map(F.col("associations"), kind)).alias("_type", "_value"),
-    ).where(F.ltrim("_value").startswith("{"))
+        F.explode_outer(_links(F.col("associations"))).alias("_type", "_value"),
+    ).where(F.col("_type").isNotNull())
     items = entries.select(
-        "id",
+        "from_id",
         "_rec",
         "_type",
-        F.posexplode(F.from_json("_value", "struct<results:array<string>>")["results"]).alias(
-            "_at", "_item"
-        ),
-    )
-    item = F.from_json("_item", "struct<id:string,type:string,category:string>")
-    edges = items.select("*", item.alias("_i")).where(F.col("_i.id").isNotNull())
-    return edges.select(
-        parse_id(F.col("id")).alias("from_id"),
         normalize_expr(F.col("_type")).alias("to_type"),
+        F.posexplode_outer("_value.results").alias("_at", "_i"),
+    )
+    return items.where(F.col("_i.id").isNotNull()).select(
+        "from_id",
+        "to_type",
         parse_id(F.col("_i.id")).alias("to_id"),
         F.coalesce("_i.type", F.lit("")).alias("type_id"),
         F.coalesce("_i.category", F.lit(DEFAULT_CATEGORY)).alias("category"),
@@ -60,7 +79,7 @@ def flatten_links(batches: DataFrame, to_type: Column | str, order: str = "_ord"
         F.col("from.id").alias("_from"),
         target.alias("to_type"),
         F.col(order).alias("_rec"),
-        F.posexplode("to").alias("_at", "_to"),
+        F.posexplode_outer("to").alias("_at", "_to"),
     )
     kinds = each.select(
         "_from",
@@ -68,8 +87,8 @@ def flatten_links(batches: DataFrame, to_type: Column | str, order: str = "_ord"
         F.col("_to.toObjectId").alias("_to_id"),
         "_rec",
         "_at",
-        F.posexplode("_to.associationTypes").alias("_k", "_kind"),
-    )
+        F.posexplode_outer("_to.associationTypes").alias("_k", "_kind"),
+    ).where(F.col("_k").isNotNull())
     return kinds.select(
         parse_id(F.col("_from")).alias("from_id"),
         "to_type",

@@ -40,7 +40,8 @@ def flatten_pipelines(
 def flatten_stages(
     trees: DataFrame, mark: datetime, meta: MetaColumns = MetaColumns()
 ) -> DataFrame:
-    each = trees.select(F.col("id").alias("pipeline_id"), F.explode("stages").alias("s"))
+    each = trees.select(F.col("id").alias("pipeline_id"), F.explode_outer("stages").alias("s"))
+    each = each.where(F.col("s").isNotNull())
     blank = F.lit("")
     state = F.coalesce(
         F.nullif(F.col("s.metadata.state"), blank), F.nullif(F.col("s.metadata.leadState"), blank)

@@ -16,8 +16,8 @@ def names_from_associations(own: DataFrame) -> DataFrame:
         F.concat(F.upper("name"), F.lit("_TO_")).alias("head"),
         F.concat(F.lit("_TO_"), F.upper("name")).alias("tail"),
         F.col("_ord").alias("_rec"),
-        F.posexplode("associations").alias("_at", "a"),
-    )
+        F.posexplode_outer("associations").alias("_at", "a"),
+    ).where(F.col("_at").isNotNull())
     ends = each.select(
         "*",
         F.col("a.fromObjectTypeId").alias("source"),

@@ -92,8 +92,10 @@ def read_catalog(spark: SparkSession, feed: Feed, meta: MetaColumns = MetaColumn
     stages = trees.select("_ord", F.posexplode("stages").alias("_at", "s")).select(
         F.col("s.id").alias("stage_id"), F.struct("_ord", "_at").alias("stage_ord")
     )
-    names = spark.createDataFrame([(r.name,) for r in declared], "name string")
-    rename = {r.property: r.renamed for r in collect_catalog(H.stage_rename_map(names, stages))}
+    rename = {}
+    if not stages.isEmpty():
+        names = spark.createDataFrame([(r.name,) for r in declared], "name string")
+        rename = {r.property: r.renamed for r in collect_catalog(H.stage_rename_map(names, stages))}
 
     everyone = G.explode_results(G.read_pages(spark, feed.schemas, G.OBJECT_SCHEMA)).select(
         F.col("objectTypeId").alias("type_id"), "name", "_ord"
@@ -197,10 +199,15 @@ def sync_object(
         ),
         "staged",
     )
-    good, rejects = split_rejects(staged)
+    good, _ = split_rejects(staged)
     load = M.keep_last(good.drop("id", "associations", "_corrupt"), [meta.id], ["_ord"]).drop("_ord")
-    failed, fetched = rejects.count(), staged.count()
-    complete = failed == 0 and good.where(F.col("_corrupt").isNotNull()).isEmpty()
+    tally = staged.agg(
+        F.count(F.lit(1)).alias("fetched"),
+        F.count_if(F.col("_bad_id").isNotNull()).alias("failed"),
+        F.count_if(F.col("_corrupt").isNotNull()).alias("unreadable"),
+    ).first()
+    failed, fetched = tally.failed, tally.fetched
+    complete = failed == 0 and tally.unreadable == 0
 
     pipelines, stages = publish_pipelines(house, catalog, mark, meta)
 

@@ -2,6 +2,9 @@
 
 A page is ``{"results": [...], "paging": {...}, "total": n}``. Fields inside a result are read as
 text, so one odd value never costs its neighbours; typing happens later, column by column.
+
+Lists are unfolded with the outer form of ``explode`` and a filter behind it: for the inner form
+the optimizer adds a size check in front, which would parse JSON held in a column once more.
 """
 
 from __future__ import annotations
@@ -92,12 +95,12 @@ def explode_results(pages: DataFrame, keep_unreadable: bool = False) -> DataFram
     With ``keep_unreadable`` a page that is no JSON of the expected shape yields its text in
     ``_corrupt``, in a row of its own or beside the results that could still be read.
     """
-    if not keep_unreadable:
-        each = pages.select("_page", F.posexplode("results").alias("_pos", "_result"))
-        return each.select("_result.*", F.struct("_page", "_pos").alias("_ord"))
     each = pages.select("_page", "_corrupt", F.posexplode_outer("results").alias("_pos", "_result"))
-    each = each.where(F.col("_pos").isNotNull() | F.col("_corrupt").isNotNull())
-    return each.select("_result.*", F.struct("_page", "_pos").alias("_ord"), "_corrupt")
+    place = F.struct("_page", "_pos").alias("_ord")
+    if keep_unreadable:
+        each = each.where(F.col("_pos").isNotNull() | F.col("_corrupt").isNotNull())
+        return each.select("_result.*", place, "_corrupt")
+    return each.where(F.col("_pos").isNotNull()).select("_result.*", place)
 
 
 def is_archived() -> Column:
@@ -116,5 +119,5 @@ def property_catalog(properties: DataFrame) -> DataFrame:
 
 def association_targets(schemas: DataFrame) -> DataFrame:
     """Distinct target types over all association definitions."""
-    each = schemas.select(F.explode("associations").alias("a"))
-    return each.select(F.col("a.toObjectTypeId").alias("to_type_id")).distinct()
+    each = schemas.select(F.explode_outer("associations.toObjectTypeId").alias("to_type_id"))
+    return each.where(F.col("to_type_id").isNotNull()).distinct()
