@@ -1,0 +1,85 @@
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions import casts as C
+from tidemark.meta import MetaColumns
+
+
+def apply(spark, function, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    return [r[0] for r in df.select(function(F.col("v"))).collect()]
+
+
+def test_numbers(spark):
+    values = ["", " 12 ", "1e5", ".5", "5.", "-3", "+7", "inf", "NaN", "1d", "0x10", "abc", "1_0", "1e999", "1,000", None]
+    want = [None, 12.0, 100000.0, 0.5, 5.0, -3.0, 7.0] + [None] * 9
+    assert apply(spark, C.parse_number, values) == want
+
+
+def test_decimals_keep_their_digits(spark):
+    got = apply(spark, lambda c: C.typed(c, "decimal"), ["12345678901234567890.123456789", "NaN"])
+    assert [str(v) if v is not None else None for v in got] == ["12345678901234567890.123456789", None]
+
+
+def test_booleans_are_strict(spark):
+    values = ["true", "false", "", "True", "1", "no", None]
+    assert apply(spark, C.parse_bool, values) == [True, False] + [None] * 5
+
+
+def test_instants_of_mixed_forms(spark):
+    values = [
+        "2024-06-01T10:00:00Z", "2024-06-01T10:00:00.123Z", "2024-06-01", "2024-06-01T10:00:00-05:00",
+        "01/02/2024", "1717236000000", "2024", "12:00", "2024-13-01", "",
+    ]
+    want = [1717236000000, 1717236000123, 1717200000000, 1717254000000] + [None] * 6
+    assert apply(spark, lambda c: F.unix_millis(C.parse_instant(c)), values) == want
+
+
+def test_dates(spark):
+    assert apply(spark, C.parse_date, ["2024-06-01", "2024-06-01T23:00:00Z", "x"]) == [
+        date(2024, 6, 1), date(2024, 6, 1), None,
+    ]
+
+
+def test_ids(spark):
+    values = ["101", " 7 ", "1.5", "1_0", "99999999999999999999", "x", "", None]
+    assert apply(spark, C.parse_id, values) == [101, 7] + [None] * 6
+
+
+def test_epoch_ms_passes_other_text_through(spark):
+    values = ["2024-06-01T10:00:00Z", "2024-06-01T10:00:00", "soon"]
+    assert apply(spark, C.epoch_ms, values) == ["1717236000000", "1717236000000", "soon"]
+
+
+def test_local_clock(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-06-01 03:00:00' AS ts")
+    assert df.select(C.to_local(F.col("ts"))).first()[0] == datetime(2024, 5, 31, 22)
+
+
+def test_storage_types(spark):
+    declared = ["string", "number", "date", "datetime", "bool", "enumeration", "phone_number", "json", None]
+    want = ["string", "double", "date", "timestamp", "boolean", "string", "string", "string", "string"]
+    assert [C.storage_type(d).simpleString() for d in declared] == want
+    assert apply(spark, C.storage_type_expr, declared) == want
+
+
+def test_convert_columns_leaves_bookkeeping_alone(spark):
+    meta = MetaColumns()
+    df = spark.createDataFrame([("1", "5", "5", "x")], f"{meta.id} string, n string, asoc_n string, other string")
+    declared = {meta.id: "number", "n": "number", "asoc_n": "number"}
+    out = C.convert_columns(df, declared, meta)
+    assert [f.dataType for f in out.schema] == [T.StringType(), T.DoubleType(), T.StringType(), T.StringType()]
+
+
+def test_declared_types_follow_lineage(spark):
+    columns = spark.createDataFrame([("a", "A"), ("b", "B")], "final string, original string")
+    catalog = spark.createDataFrame([("A", "number")], "name string, type string")
+    got = {r.final: (r.declared, r.storage) for r in C.declared_types(columns, catalog).collect()}
+    assert got == {"a": ("number", "double"), "b": (None, "string")}
+
+
+def test_missing_values_are_null(spark):
+    df = spark.createDataFrame([(101, "a", 1.0), (102, None, float("nan"))], "id int, email string, value double")
+    assert [tuple(r) for r in C.unify_missing(df).collect()] == [(101, "a", 1.0), (102, None, None)]
