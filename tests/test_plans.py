@@ -1,0 +1,118 @@
+"""What the physical plans look like: shuffles, pushed filters, skew, and what must not occur."""
+
+import re
+import uuid
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.casts import parse_instant
+from tidemark.operators import edges as E
+from tidemark.operators import merge as M
+from tidemark.operators.records import at
+from tidemark.operators.state import modified_since
+from tidemark.plans.warehouse import Warehouse
+from workload import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+MARK = datetime(2024, 7, 1)
+ID = "hs_object_id"
+
+
+def plan(df, final=False):
+    if final:
+        df.write.format("noop").mode("overwrite").save()
+        rows = df.collect()
+        assert rows is not None
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange (?:hash|range|Round|Single)", text))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"sync_two_runs", "sync_edge_view", "stream_upsert_latest"}))
+def test_no_pairings_and_no_python_in_any_query(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "BatchEval", "InPandas"):
+        assert bad not in text
+
+
+@pytest.fixture
+def bucketed(spark):
+    house = Warehouse(spark, "p" + uuid.uuid4().hex, buckets=4)
+    target = spark.range(1000).select(
+        F.col("id").alias(ID), F.lit("t").alias("x"), F.lit(False).alias("fivetran_deleted"), at(MARK).alias("fivetran_synced"))
+    load = spark.range(500, 1500).select(
+        F.col("id").alias(ID), F.lit("s").alias("x"), F.lit(False).alias("fivetran_deleted"), at(MARK).alias("fivetran_synced"), F.col("id").alias("ord"))
+    house.publish(target, "t", [ID])
+    house.publish(load, "l", ["ord"])
+    return house.read("t"), house.read("l")
+
+
+def test_full_sync_shuffles_the_load_only(spark, bucketed):
+    target, load = bucketed
+    last = M.keep_last(load, [ID], ["ord"]).drop("ord")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(M.full_sync(target, last, MARK))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanges(text) == 1 and text.count("FullOuter") == 1
+
+
+def test_few_changes_leave_the_target_in_place(spark, bucketed):
+    target, load = bucketed
+    few = load.where("ord < 510").drop("ord")
+    gone = few.select(ID).limit(1)
+    out = M.apply_changes(target, few, gone, MARK, small=100)
+    target_side = plan(out).split("Union")[1].split("BroadcastExchange")[0]
+    assert "LeftOuter, BuildRight" in target_side and "FileScan" in target_side
+    assert exchanges(target_side) == 0
+    assert out.count() == 1000
+
+
+def test_keep_last_combines_before_its_only_shuffle(spark):
+    df = spark.read.parquet(f"{FOLDER}/events.parquet")
+    text = plan(M.keep_last(df, ["user_id"], ["ts", "event_id"]))
+    assert exchanges(text) == 1 and "partial_max_by" in text and "Window" not in text
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    df = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    early = df.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    text = plan(M.keep_last(early.select("o_custkey", "o_orderdate"), ["o_custkey"], ["o_orderdate"]))
+    assert "LessThan(o_orderdate" in text and "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in text
+
+
+def test_modified_since_adds_no_sort_by_default(spark):
+    df = spark.createDataFrame([("2024-01-01",)], "at string")
+    assert exchanges(plan(modified_since(df, parse_instant(F.col("at")), MARK))) == 0
+    assert exchanges(plan(modified_since(df, parse_instant(F.col("at")), MARK, ordered=True))) == 1
+
+
+def test_hot_record_is_split_over_tasks(spark):
+    """A third of all edges start at one record; the semi join splits them."""
+    edges = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("from_id"), F.lit("a").alias("to_type"),
+        F.col("id").alias("to_id"), F.sha2(F.col("id").cast("string"), 256).alias("type_id"))
+    records = spark.range(60000).select(F.col("id").alias("rid"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = E.attach_edges(edges.repartition(6), records, "rid")
+        assert joined.count() == 60000
+        rows = joined.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("from_id") == 7).alias("hot"))
+        holders = [r for r in rows.collect() if r.hot]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(holders) > 1

@@ -126,9 +126,15 @@ def merge_edges(target: DataFrame, load: DataFrame) -> DataFrame:
     return upsert(target, load, EDGE_KEY)
 
 
-def replace_edges_of(target: DataFrame, load: DataFrame, changed: DataFrame) -> DataFrame:
+def replace_edges_of(
+    target: DataFrame,
+    load: DataFrame,
+    changed: DataFrame,
+    small: int = 0,
+    partitions: int | None = None,
+) -> DataFrame:
     """All edges of the changed records (column ``from_id``) become the load's edges."""
-    return replace_where_listed(target, load, "from_id", changed)
+    return replace_where_listed(target, load, "from_id", changed, small, partitions, EDGE_KEY)
 
 
 def edge_table(edges: DataFrame, own: str, to_type: str) -> DataFrame:

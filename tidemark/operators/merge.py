@@ -31,41 +31,55 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def _matched(
-    target: DataFrame, load: DataFrame, keys: list[str], guard: str | None = None
-) -> tuple[DataFrame, dict[str, Column], Column, Column]:
-    """Full outer match of two frames unique on ``keys``.
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counting stops soon after the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    Returns the joined frame, the merged value per column, and whether a row exists in the
-    target and in the load. Columns the load lacks keep the target's value; columns it has
-    overwrite, nulls included. With ``guard`` a load row older than its target row is ignored.
-    """
-    incoming = load.select(
-        *[F.col(c).alias(f"_in_{c}") for c in load.columns], F.lit(True).alias("_in")
-    )
-    current = target.withColumn("_cur", F.lit(True))
+
+def _incoming(load: DataFrame) -> DataFrame:
+    renamed = [F.col(c).alias(f"_in_{c}") for c in load.columns]
+    return load.select(*renamed, F.lit(True).alias("_in"))
+
+
+def _same_key(keys: list[str]) -> Column:
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(k) == F.col(f"_in_{k}"))
-    joined = current.join(incoming, on, "full_outer")
-    in_target, in_load = F.col("_cur").isNotNull(), F.col("_in").isNotNull()
-    takes = in_load
-    if guard:
-        held, given = F.col(guard), F.col(f"_in_{guard}")
-        takes = in_load & (~in_target | held.isNull() | F.coalesce(given >= held, F.lit(False)))
+    return on
+
 
+def _merged(
+    target: DataFrame, load: DataFrame, keys: list[str], takes: Column
+) -> dict[str, Column]:
+    """Value per column after a match: where ``takes`` holds the load's columns overwrite the
+    target's, nulls included; columns the load lacks keep the target's value."""
     held, given = set(target.columns), set(load.columns)
-    merged: dict[str, Column] = {}
+    values: dict[str, Column] = {}
     for c in [*target.columns, *[c for c in load.columns if c not in held]]:
         if c in keys:
-            merged[c] = F.coalesce(F.col(c), F.col(f"_in_{c}"))
+            values[c] = F.coalesce(F.col(c), F.col(f"_in_{c}"))
         elif c not in given:
-            merged[c] = F.col(c)
+            values[c] = F.col(c)
         elif c not in held:
-            merged[c] = F.when(takes, F.col(f"_in_{c}"))
+            values[c] = F.when(takes, F.col(f"_in_{c}"))
         else:
-            merged[c] = F.when(takes, F.col(f"_in_{c}")).otherwise(F.col(c))
-    return joined, merged, in_target, in_load
+            values[c] = F.when(takes, F.col(f"_in_{c}")).otherwise(F.col(c))
+    return values
+
+
+def _tombstone(
+    values: dict[str, Column], doomed: Column, mark: datetime, meta: MetaColumns
+) -> dict[str, Column]:
+    hit = doomed & ~values[meta.deleted].eqNullSafe(True)
+    return {
+        **values,
+        meta.deleted: F.when(hit, F.lit(True)).otherwise(values[meta.deleted]),
+        meta.synced: F.when(hit, at(mark)).otherwise(values[meta.synced]),
+    }
+
+
+def _select(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    return df.select(*[v.alias(c) for c, v in values.items()])
 
 
 def upsert(
@@ -73,40 +87,16 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys and overwrite the load's columns of known ones, in one full outer join.
 
-    Both sides must be unique on ``keys`` (see :func:`keep_last`), so no key can be hot.
-    """
-    joined, merged, _, _ = _matched(target, load, keys, guard)
-    return joined.select(*[v.alias(c) for c, v in merged.items()])
-
-
-def upsert_small(target: DataFrame, load: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
-    """:func:`upsert` for a load of at most ``max_rows`` rows that leaves the target unshuffled.
-
-    The load is counted first and broadcast only within the bound; a larger load takes the
-    general path. Known keys are rewritten by a left join, new ones appended.
+    Both sides must be unique on ``keys`` (see :func:`keep_last`), so no key can be hot. With
+    ``guard`` a load row older than its target row is ignored.
     """
-    if load.limit(max_rows + 1).count() > max_rows:
-        return upsert(target, load, keys)
-    found = target.select(*keys).join(F.broadcast(load.select(*keys)), keys, "left_semi")
-    fresh = load.join(F.broadcast(found), keys, "left_anti")
-    incoming = F.broadcast(
-        load.select(*[F.col(c).alias(f"_in_{c}") for c in load.columns], F.lit(True).alias("_in"))
-    )
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"_in_{k}"))
-    hit = F.col("_in").isNotNull()
-    held, given = set(target.columns), set(load.columns)
-    columns = []
-    for c in [*target.columns, *[c for c in load.columns if c not in held]]:
-        if c in keys or c not in given:
-            columns.append(F.col(c))
-        elif c not in held:
-            columns.append(F.col(f"_in_{c}").alias(c))
-        else:
-            columns.append(F.when(hit, F.col(f"_in_{c}")).otherwise(F.col(c)).alias(c))
-    rewritten = target.join(incoming, on, "left").select(*columns)
-    return rewritten.unionByName(fresh, allowMissingColumns=True)
+    joined = target.withColumn("_cur", F.lit(True)).join(_incoming(load), _same_key(keys), "full_outer")
+    takes = F.col("_in").isNotNull()
+    if guard:
+        held, given = F.col(guard), F.col(f"_in_{guard}")
+        newer = F.coalesce(given >= held, F.lit(False))
+        takes = takes & (F.col("_cur").isNull() | held.isNull() | newer)
+    return _select(joined, _merged(target, load, keys, takes))
 
 
 def full_sync(
@@ -123,16 +113,69 @@ def full_sync(
     """
     if (load if seen is None else seen).isEmpty():
         return target
-    joined, merged, _, in_load = _matched(target, load, [meta.id])
-    vanished = ~in_load & ~F.col(meta.deleted).eqNullSafe(True)
-    merged[meta.deleted] = F.when(vanished, F.lit(True)).otherwise(merged[meta.deleted])
-    merged[meta.synced] = F.when(vanished, at(mark)).otherwise(merged[meta.synced])
-    return joined.select(*[v.alias(c) for c, v in merged.items()])
+    keys = [meta.id]
+    joined = target.join(_incoming(load), _same_key(keys), "full_outer")
+    loaded = F.col("_in").isNotNull()
+    return _select(joined, _tombstone(_merged(target, load, keys, loaded), ~loaded, mark, meta))
+
+
+def apply_changes(
+    target: DataFrame,
+    load: DataFrame,
+    gone: DataFrame,
+    mark: datetime,
+    meta: MetaColumns = MetaColumns(),
+    small: int = 0,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Upsert changed rows, then mark the ids in ``gone`` as deleted, in one pass over the target.
+
+    Up to ``small`` changes (counted first) are broadcast: the target is read in place and new rows
+    are appended, in ``partitions`` partitions by key. More changes meet the target in a full outer
+    join, which shuffles a bucketed target no more than that.
+    """
+    key = meta.id
+    listed = gone.select(F.col(key).alias("_gone_id")).distinct()
+    changes = _incoming(load).join(listed, F.col(f"_in_{key}") == F.col("_gone_id"), "full_outer")
+    changes = changes.withColumn(f"_in_{key}", F.coalesce(f"_in_{key}", "_gone_id"))
+    loaded, doomed = F.col("_in").isNotNull(), F.col("_gone_id").isNotNull()
+    values = _tombstone(_merged(target, load, [key], loaded), doomed, mark, meta)
+
+    if not fits_broadcast(changes, small):
+        joined = target.withColumn("_cur", F.lit(True)).join(changes, _same_key([key]), "full_outer")
+        return _select(joined.where(F.col("_cur").isNotNull() | loaded), values)
+
+    rewritten = _select(target.join(F.broadcast(changes), _same_key([key]), "left"), values)
+    known = target.select(key).join(
+        F.broadcast(changes.select(F.col(f"_in_{key}").alias(key))), key, "left_semi"
+    )
+    fresh = changes.where(loaded).join(
+        F.broadcast(known.select(F.col(key).alias("_known"))), F.col(f"_in_{key}") == F.col("_known"), "left_anti"
+    )
+    fresh = fresh.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema])
+    fresh = _select(fresh, values)
+    if partitions:
+        fresh = fresh.repartition(partitions, key)
+    return rewritten.unionByName(fresh)
 
 
 def replace_where_listed(
-    target: DataFrame, load: DataFrame, on: str, listed: DataFrame
+    target: DataFrame,
+    load: DataFrame,
+    on: str,
+    listed: DataFrame,
+    small: int = 0,
+    partitions: int | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
-    """Swap all target rows whose ``on`` value is listed for the load's rows."""
-    keep = target.join(listed.select(on).distinct(), on, "left_anti")
-    return keep.unionByName(load, allowMissingColumns=True)
+    """Swap all target rows whose ``on`` value is listed for the load's rows.
+
+    Up to ``small`` listed values (counted first) are broadcast, so that the target stays where it
+    is; the load then comes in ``partitions`` partitions by ``by``.
+    """
+    values = listed.select(on).distinct()
+    if fits_broadcast(values, small):
+        values = F.broadcast(values)
+    if partitions:
+        load = load.repartition(partitions, *(by or [on]))
+    return target.join(values, on, "left_anti").unionByName(load, allowMissingColumns=True)

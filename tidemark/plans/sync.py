@@ -140,18 +140,18 @@ def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta:
 
 
 def _publish_edges(
-    house: Warehouse, catalog: Catalog, found: DataFrame, changed: DataFrame, mode: str
+    house: Warehouse, catalog: Catalog, found: DataFrame, changed: DataFrame, mode: str, small: int
 ) -> int:
     """All edges of the object in one table, and a view per target type under its own names."""
     name = f"{catalog.table}_edges"
     fresh = E.dedupe_edges(found, ["_src", "_ord"]).drop("_src", "_ord")
     current = house.read(name)
-    if current is None or mode == "full":
-        new = fresh
-    else:
+    merge = current is not None and mode == "incremental"
+    if merge:
         # Only records whose links came along are replaced; a feed without links changes none.
-        new = E.replace_edges_of(current, fresh, E.attach_edges(fresh, changed, "from_id"))
-    published = house.publish(new, name, EDGE_KEY)
+        linked = E.attach_edges(fresh, changed, "from_id")
+        fresh = E.replace_edges_of(current, fresh, linked, small, house.buckets)
+    published = house.publish(fresh, name, EDGE_KEY, placed=merge)
     types = [r.to_type for r in collect_catalog(published.select("to_type").distinct())]
     for to_type, view in zip(sorted(types), fit_names(f"{catalog.table}_{t}" for t in sorted(types))):
         from_col, to_col = edge_columns(catalog.table, to_type)
@@ -213,26 +213,25 @@ def sync_object(
 
     target = house.read(catalog.table)
     added = []
-    placed = target is not None
     if target is None:
         new = load
     else:
         added = new_columns(target.schema, load.schema)
         load = align(load, target.schema)
-        if mode == "full":
-            new = M.full_sync(target, load, mark, meta, seen=good) if complete else M.upsert(target, load, [meta.id])
-        else:
-            new = M.upsert_small(target, load, [meta.id], small_load)
-            placed = False
+        if mode == "incremental":
             gone = X.archived_since(G.explode_results(G.read_pages(spark, feed.archived)), since, meta)
-            new = X.mark_listed(new, gone, mark, meta)
-    published = house.publish(new, catalog.table, [meta.id], placed=placed)
+            new = M.apply_changes(target, load, gone, mark, meta, small_load, house.buckets)
+        elif complete:
+            new = M.full_sync(target, load, mark, meta, seen=good)
+        else:
+            new = M.upsert(target, load, [meta.id])
+    published = house.publish(new, catalog.table, [meta.id], placed=target is not None)
 
     inline = E.normalize_edges(good).withColumn("_src", F.lit(0))
     linked = E.attach_edges(read_links(spark, feed, catalog.link_names), good.select(meta.id), meta.id)
     found = E.usable_edges(inline.unionByName(linked.withColumn("_src", F.lit(1))))
     found = write_once(found.withColumn(meta.synced, at(mark)), "edges")
-    tables = _publish_edges(house, catalog, found, good.select(F.col(meta.id).alias("from_id")), mode)
+    tables = _publish_edges(house, catalog, found, good.select(F.col(meta.id).alias("from_id")), mode, small_load)
 
     of_run = published.where(F.col(meta.synced) == at(mark))
     counts = of_run.agg(

@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # One task per bucket also where a merge reads its target in place, so that rewriting a
+    # snapshot does not multiply its files.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
 }
 
 
