@@ -51,6 +51,11 @@ def test_keep_last_of_bare_keys(spark):
     assert rows(M.keep_last(df, ["k"], ["k"])) == [(1,), (2,)]
 
 
+def test_keep_last_carries_maps_and_order_columns(spark):
+    df = spark.range(20).select((F.col("id") % 2).alias("k"), F.col("id").alias("ord"), F.create_map(F.lit("a"), "id").alias("m"), F.lit(None).cast("int").alias("n"))
+    assert rows(M.keep_last(df, ["k"], ["ord"])) == [(0, 18, {"a": 18}, None), (1, 19, {"a": 19}, None)]
+
+
 def people(spark, *cells):
     df = spark.createDataFrame(list(cells), f"{META.id} bigint, {META.deleted} boolean, x string")
     return df.withColumn(META.synced, at(BEFORE))

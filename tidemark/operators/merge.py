@@ -6,29 +6,45 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.meta import MetaColumns
 from tidemark.operators.records import at
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row per key in ``order``, which must be a total order within a key.
 
     An aggregate with map-side combine: each task ships at most one row per key, so a key holding
-    a third of all rows costs no more than any other.
+    a third of all rows costs no more than any other. The row is the greatest struct that starts
+    with the order columns; only values without an order of their own (maps) ride beside it.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
+    order = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
         return df.distinct()
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-    picked = df.groupBy(*keys).agg(last)
+    ranked = F.struct(*order, *[c for c in rest if _orderable(df.schema[c].dataType)])
+    loose = [c for c in rest if not _orderable(df.schema[c].dataType)]
+    picks = [F.max(ranked).alias("_last")]
+    if loose:
+        picks.append(F.max_by(F.struct(*loose), ranked).alias("_beside"))
     source = {f.name: f.metadata for f in df.schema}
-    return picked.select(
-        *[
-            F.col(c) if c in keys else F.col("_last").getField(c).alias(c, metadata=source[c])
-            for c in df.columns
-        ]
-    )
+
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        held = "_beside" if c in loose else "_last"
+        return F.col(held).getField(c).alias(c, metadata=source[c])
+
+    return df.groupBy(*keys).agg(*picks).select(*[value(c) for c in df.columns])
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:

@@ -50,4 +50,4 @@ def occurrence_number(
 def number_batches(df: DataFrame, order: list[str], size: int = 100, out: str = "batch") -> DataFrame:
     """Fixed-size batches in ``order``: 0 for the first ``size`` rows, 1 for the next, ..."""
     numbered = occurrence_number(df, [], order, out="_n")
-    return numbered.withColumn(out, F.floor((F.col("_n") - 1) / F.lit(size))).drop("_n")
+    return numbered.withColumn(out, F.expr(f"(_n - 1) div {int(size)}")).drop("_n")

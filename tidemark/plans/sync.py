@@ -140,7 +140,7 @@ def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta:
 
 
 def _publish_edges(
-    house: Warehouse, catalog: Catalog, found: DataFrame, changed: DataFrame, mode: str, small: int
+    house: Warehouse, catalog: Catalog, found: DataFrame, mode: str, small: int
 ) -> int:
     """All edges of the object in one table, and a view per target type under its own names."""
     name = f"{catalog.table}_edges"
@@ -149,8 +149,7 @@ def _publish_edges(
     merge = current is not None and mode == "incremental"
     if merge:
         # Only records whose links came along are replaced; a feed without links changes none.
-        linked = E.attach_edges(fresh, changed, "from_id")
-        fresh = E.replace_edges_of(current, fresh, linked, small, house.buckets)
+        fresh = E.replace_edges_of(current, fresh, found, small, house.buckets)
     published = house.publish(fresh, name, EDGE_KEY, placed=merge)
     types = [r.to_type for r in collect_catalog(published.select("to_type").distinct())]
     for to_type, view in zip(sorted(types), fit_names(f"{catalog.table}_{t}" for t in sorted(types))):
@@ -220,6 +219,8 @@ def sync_object(
         load = align(load, target.schema)
         if mode == "incremental":
             gone = X.archived_since(G.explode_results(G.read_pages(spark, feed.archived)), since, meta)
+            # Both are read several times below; a change feed is small next to the target.
+            load, gone = write_once(load, "load"), write_once(gone.distinct(), "gone")
             new = M.apply_changes(target, load, gone, mark, meta, small_load, house.buckets)
         elif complete:
             new = M.full_sync(target, load, mark, meta, seen=good)
@@ -231,7 +232,7 @@ def sync_object(
     linked = E.attach_edges(read_links(spark, feed, catalog.link_names), good.select(meta.id), meta.id)
     found = E.usable_edges(inline.unionByName(linked.withColumn("_src", F.lit(1))))
     found = write_once(found.withColumn(meta.synced, at(mark)), "edges")
-    tables = _publish_edges(house, catalog, found, good.select(F.col(meta.id).alias("from_id")), mode, small_load)
+    tables = _publish_edges(house, catalog, found, mode, small_load)
 
     of_run = published.where(F.col(meta.synced) == at(mark))
     counts = of_run.agg(

@@ -97,31 +97,31 @@ def edges_v4(t: Tables) -> DataFrame:
 def part_edges(t: Tables) -> DataFrame:
     return t.lineitem.select(
         F.col("l_orderkey").alias("from_id"),
-        F.lit("parts").alias("to_type"),
+        F.concat(F.lit("part_"), F.lower("l_returnflag")).alias("to_type"),
         F.col("l_partkey").alias("to_id"),
-        F.col("l_returnflag").alias("type_id"),
-        F.col("l_linestatus").alias("category"),
+        F.col("l_linestatus").alias("type_id"),
+        F.concat(F.lit("line "), text("l_linenumber")).alias("category"),
         F.struct(*ARRIVAL).alias("arrival"),
     )
 
 
 PART_EDGES = f"""
     arrived AS (
-        SELECT l_orderkey AS from_id, l_partkey AS to_id, l_returnflag AS type_id,
-               l_linestatus AS category, l_extendedprice AS price,
+        SELECT l_orderkey AS from_id, 'part_' || lower(l_returnflag) AS to_type, l_partkey AS to_id,
+               l_linestatus AS type_id, 'line ' || l_linenumber AS category, l_extendedprice AS price,
                l_shipdate >= TIMESTAMP '{SPLIT}' AS late,
                row({', '.join(ARRIVAL)}) AS arrival
         FROM lineitem)"""
 
 
-def last_of(extra: str = "", where: str = "true") -> str:
+def last_of(where: str = "true") -> str:
     return f"""
         SELECT * FROM arrived WHERE {where}
         QUALIFY row_number() OVER (
-            PARTITION BY from_id, to_id, type_id{extra} ORDER BY arrival DESC) = 1"""
+            PARTITION BY from_id, to_type, to_id, type_id ORDER BY arrival DESC) = 1"""
 
 
-@query(f"WITH {PART_EDGES} SELECT from_id, 'parts' AS to_type, to_id, type_id, category, price FROM ({last_of()})")
+@query(f"WITH {PART_EDGES} SELECT from_id, to_type, to_id, type_id, category, price FROM ({last_of()})")
 def edges_keep_last(t: Tables) -> DataFrame:
     kept = E.dedupe_edges(part_edges(t), ["arrival"])
     return kept.select(*FIELDS, F.col("arrival.l_extendedprice").alias("price"))
@@ -139,10 +139,10 @@ def halves(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query(f"""
     WITH {PART_EDGES},
     old AS ({last_of(where='NOT late')}), new AS ({last_of(where='late')})
-    SELECT coalesce(n.from_id, o.from_id) AS from_id, 'parts' AS to_type,
+    SELECT coalesce(n.from_id, o.from_id) AS from_id, coalesce(n.to_type, o.to_type) AS to_type,
            coalesce(n.to_id, o.to_id) AS to_id, coalesce(n.type_id, o.type_id) AS type_id,
            CASE WHEN n.from_id IS NOT NULL THEN n.category ELSE o.category END AS category
-    FROM old o FULL JOIN new n USING (from_id, to_id, type_id)""")
+    FROM old o FULL JOIN new n USING (from_id, to_type, to_id, type_id)""")
 def edges_merge(t: Tables) -> DataFrame:
     old, new = halves(t)
     return E.merge_edges(old, new).select(*FIELDS)
@@ -151,9 +151,9 @@ def edges_merge(t: Tables) -> DataFrame:
 @query(f"""
     WITH {PART_EDGES},
     old AS ({last_of(where='NOT late')}), new AS ({last_of(where='late')})
-    SELECT from_id, 'parts' AS to_type, to_id, type_id, category FROM old o
+    SELECT from_id, to_type, to_id, type_id, category FROM old o
     WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.from_id = o.from_id)
-    UNION ALL SELECT from_id, 'parts', to_id, type_id, category FROM new""")
+    UNION ALL SELECT from_id, to_type, to_id, type_id, category FROM new""")
 def edges_replace_changed(t: Tables) -> DataFrame:
     old, new = halves(t)
     return E.replace_edges_of(old, new, new).select(*FIELDS)
@@ -202,7 +202,7 @@ def edges_by_type(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey AS from_id, l_partkey AS to_id, l_returnflag AS type_id FROM lineitem
+    SELECT l_orderkey AS from_id, l_partkey AS to_id, l_linestatus AS type_id FROM lineitem
     WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
 def attach_edges(t: Tables) -> DataFrame:
     active = t.orders.where(F.col("o_orderstatus") != "P")
