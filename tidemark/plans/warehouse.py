@@ -10,6 +10,14 @@ VERSION = "snapshot.version"
 SOURCE = "snapshot.source"
 
 
+def buckets_for(scan: DataFrame) -> int:
+    """Buckets for a table about the size of ``scan``, a plain file scan: one per split, up to the
+    shuffle partitions, so that small tables are not cut into crumbs and large ones meet shuffled
+    loads without being shuffled themselves."""
+    limit = int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(limit, scan.rdd.getNumPartitions()))
+
+
 class Warehouse:
     """Tables of one database.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.sync import Feed, sync_object
-from tidemark.plans.warehouse import Warehouse
+from tidemark.plans.warehouse import Warehouse, buckets_for
 from tidemark.session import scratch_dir
 from tidemark.streaming.feed import stream_upsert
 from workload.registry import Tables, day, iso, query, text
@@ -16,17 +16,17 @@ from workload.registry import Tables, day, iso, query, text
 SPLIT = "1998-06-01"
 
 
-def fresh_warehouse(t: Tables, purpose: str) -> tuple[Warehouse, str]:
+def fresh_warehouse(t: Tables, purpose: str, sized_like: DataFrame) -> tuple[Warehouse, str]:
     folder = scratch_dir(t.spark, purpose)
     database = f"{purpose}_{folder.rsplit('-', 1)[1]}"
-    return Warehouse(t.spark, database, f"{folder}/tables"), folder
+    return Warehouse(t.spark, database, f"{folder}/tables", buckets_for(sized_like)), folder
 
 
 @query("""
     SELECT user_id, event_id, value FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_upsert_latest(t: Tables) -> DataFrame:
-    house, folder = fresh_warehouse(t, "stream")
+    house, folder = fresh_warehouse(t, "stream", t.events)
     landed = t.events.select("user_id", "event_id", "value", "ts")
     landed.repartition(4).write.parquet(f"{folder}/landed")
     rows = (
@@ -71,7 +71,7 @@ def land(t: Tables, folder: str, orders: DataFrame) -> None:
 
 def two_runs(t: Tables) -> tuple[Warehouse, Feed]:
     """A full run over the orders before the split, then an incremental one over all of them."""
-    house, folder = fresh_warehouse(t, "sync")
+    house, folder = fresh_warehouse(t, "sync", t.orders)
     early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
     land(t, f"{folder}/first", t.orders.where(early))
     land(t, f"{folder}/second", t.orders)
