@@ -138,9 +138,11 @@ def test_failing_object_does_not_stop_the_rest(spark, house, tmp_path):
 def test_versions_switch_and_old_ones_go(spark, house):
     for i in range(4):
         house.publish(spark.range(i + 1), "t", ["id"], source=f"run{i}")
+    house.publish(spark.range(9), "q", ["id"], source="it's \\ odd")
+    assert house.source("q") == "it's \\ odd"
     assert (house.version("t"), house.source("t"), house.read("t").count()) == (4, "run3", 4)
     tables = {r.name for r in spark.catalog.listTables(house.database)}
-    assert tables == {"t", "t__v3", "t__v4"}
+    assert tables == {"t", "t__v3", "t__v4", "q", "q__v1"}
     assert house.version("unknown") == 0 and house.read("unknown") is None
 
 

@@ -83,6 +83,14 @@ def _merged(
     return values
 
 
+def _newer(guard: str | None) -> Column:
+    """Whether the load's row is not older than the target's; an absent or undated row is older."""
+    if guard is None:
+        return F.lit(True)
+    held, given = F.col(guard), F.col(f"_in_{guard}")
+    return held.isNull() | F.coalesce(given >= held, F.lit(False))
+
+
 def _tombstone(
     values: dict[str, Column], doomed: Column, mark: datetime, meta: MetaColumns
 ) -> dict[str, Column]:
@@ -106,12 +114,8 @@ def upsert(
     Both sides must be unique on ``keys`` (see :func:`keep_last`), so no key can be hot. With
     ``guard`` a load row older than its target row is ignored.
     """
-    joined = target.withColumn("_cur", F.lit(True)).join(_incoming(load), _same_key(keys), "full_outer")
-    takes = F.col("_in").isNotNull()
-    if guard:
-        held, given = F.col(guard), F.col(f"_in_{guard}")
-        newer = F.coalesce(given >= held, F.lit(False))
-        takes = takes & (F.col("_cur").isNull() | held.isNull() | newer)
+    joined = target.join(_incoming(load), _same_key(keys), "full_outer")
+    takes = F.col("_in").isNotNull() & _newer(guard)
     return _select(joined, _merged(target, load, keys, takes))
 
 
@@ -143,21 +147,22 @@ def apply_changes(
     meta: MetaColumns = MetaColumns(),
     small: int = 0,
     partitions: int | None = None,
+    guard: str | None = None,
 ) -> DataFrame:
     """Upsert changed rows, then mark the ids in ``gone`` as deleted, in one pass over the target.
 
     Up to ``small`` changes (counted first) are broadcast: the target is read in place and new rows
     are appended, in ``partitions`` partitions by key. More changes meet the target in a full outer
-    join, which shuffles a bucketed target no more than that.
+    join, in which a bucketed target is not shuffled either. ``guard`` is that of :func:`upsert`.
     """
     key = meta.id
     listed = gone.select(F.col(key).alias("_gone_id")).distinct()
     changes = _incoming(load).join(listed, F.col(f"_in_{key}") == F.col("_gone_id"), "full_outer")
     changes = changes.withColumn(f"_in_{key}", F.coalesce(f"_in_{key}", "_gone_id"))
     loaded, doomed = F.col("_in").isNotNull(), F.col("_gone_id").isNotNull()
-    values = _tombstone(_merged(target, load, [key], loaded), doomed, mark, meta)
+    values = _tombstone(_merged(target, load, [key], loaded & _newer(guard)), doomed, mark, meta)
 
-    if not fits_broadcast(changes, small):
+    if small <= 0 or not fits_broadcast(changes, small):
         joined = target.withColumn("_cur", F.lit(True)).join(changes, _same_key([key]), "full_outer")
         return _select(joined.where(F.col("_cur").isNotNull() | loaded), values)
 
@@ -190,7 +195,7 @@ def replace_where_listed(
     is; the load then comes in ``partitions`` partitions by ``by``.
     """
     values = listed.select(on).distinct()
-    if fits_broadcast(values, small):
+    if small > 0 and fits_broadcast(values, small):
         values = F.broadcast(values)
     if partitions:
         load = load.repartition(partitions, *(by or [on]))

@@ -15,6 +15,7 @@ from tidemark.functions.naming import (
     ColumnPlan,
     edge_columns,
     fit_names,
+    normalize_expr,
     normalize_name,
     plan_columns,
 )
@@ -119,7 +120,7 @@ def read_links(spark: SparkSession, feed: Feed, names: DataFrame) -> DataFrame:
         r.type_id: normalize_name(r.name) for r in collect_catalog(names.select("type_id", "name"))
     }
     raw = F.col("to_type").cast("string")
-    to_type = F.replace(raw, F.lit("-"), F.lit("_"))
+    to_type = normalize_expr(raw)
     if named:
         by_id = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
         to_type = F.coalesce(by_id[raw], to_type)
@@ -140,7 +141,7 @@ def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta:
 
 
 def _publish_edges(
-    house: Warehouse, catalog: Catalog, found: DataFrame, mode: str, small: int
+    house: Warehouse, catalog: Catalog, found: DataFrame, mode: str, small: int, meta: MetaColumns
 ) -> int:
     """All edges of the object in one table, and a view per target type under its own names."""
     name = f"{catalog.table}_edges"
@@ -151,12 +152,14 @@ def _publish_edges(
         # Only records whose links came along are replaced; a feed without links changes none.
         fresh = E.replace_edges_of(current, fresh, found, small, house.buckets)
     published = house.publish(fresh, name, EDGE_KEY, placed=merge)
-    types = [r.to_type for r in collect_catalog(published.select("to_type").distinct())]
-    for to_type, view in zip(sorted(types), fit_names(f"{catalog.table}_{t}" for t in sorted(types))):
+    types = sorted(r.to_type for r in collect_catalog(published.select("to_type").distinct()))
+    taken = [name, f"{catalog.table}_pipeline", f"{catalog.table}_pipeline_stage"]
+    views = fit_names([f"{catalog.table}_{t}" for t in types], taken=taken)
+    for to_type, view in zip(types, views):
         from_col, to_col = edge_columns(catalog.table, to_type)
         house.spark.sql(
             f"CREATE OR REPLACE VIEW {house.qualified(view)} AS SELECT from_id AS `{from_col}`,"
-            f" to_id AS `{to_col}`, type_id, category, `{MetaColumns().synced}`"
+            f" to_id AS `{to_col}`, type_id, category, `{meta.synced}`"
             f" FROM {house.qualified(name)} WHERE to_type = '{to_type}'"
         )
     return len(types)
@@ -232,7 +235,7 @@ def sync_object(
     linked = E.attach_edges(read_links(spark, feed, catalog.link_names), good.select(meta.id), meta.id)
     found = E.usable_edges(inline.unionByName(linked.withColumn("_src", F.lit(1))))
     found = write_once(found.withColumn(meta.synced, at(mark)), "edges")
-    tables = _publish_edges(house, catalog, found, mode, small_load)
+    tables = _publish_edges(house, catalog, found, mode, small_load, meta)
 
     of_run = published.where(F.col(meta.synced) == at(mark))
     counts = of_run.agg(

@@ -76,9 +76,10 @@ class Warehouse:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(table)}")
         writer = rows.write.format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys)
         writer.saveAsTable(self.qualified(table))
+        told = source.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.qualified(name)}"
-            f" TBLPROPERTIES ('{VERSION}'='{current + 1}', '{SOURCE}'='{source}')"
+            f" TBLPROPERTIES ('{VERSION}'='{current + 1}', '{SOURCE}'='{told}')"
             f" AS SELECT * FROM {self.qualified(table)}"
         )
         old = current + 1 - self.keep

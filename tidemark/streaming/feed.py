@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.meta import MetaColumns
-from tidemark.operators.merge import keep_last, upsert
+from tidemark.operators.merge import apply_changes, keep_last, upsert
 from tidemark.operators.records import run_mark
 from tidemark.operators.tombstones import mark_listed
 from tidemark.plans.warehouse import Warehouse
@@ -45,8 +45,11 @@ def stream_upsert(
 
     Each micro-batch is reduced to its last row per key and merged. The published version names
     the batch it came from, so a batch replayed after a failure is recognised and skipped. Rows
-    for which ``archived`` holds only mark their target row as deleted.
+    for which ``archived`` holds only mark their target row as deleted; such a table is keyed by
+    its id column.
     """
+    if archived is not None and keys != [meta.id]:
+        raise ValueError(f"archived rows need the key {meta.id}")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         source = f"{checkpoint}#{batch_id}"
@@ -55,10 +58,14 @@ def stream_upsert(
         live = batch if archived is None else batch.where(~archived)
         load = keep_last(live, keys, order)
         target = house.read(table)
-        new = load if target is None else upsert(target, load, keys, guard)
-        if archived is not None:
-            gone = batch.where(archived).select(F.col(keys[0]).alias(meta.id))
-            new = mark_listed(new, gone, run_mark(), meta)
+        if archived is None:
+            new = load if target is None else upsert(target, load, keys, guard)
+        else:
+            gone, mark = batch.where(archived).select(meta.id), run_mark()
+            if target is None:
+                new = mark_listed(load, gone, mark, meta)
+            else:
+                new = apply_changes(target, load, gone, mark, meta, guard=guard)
         house.publish(new, table, keys, source=source, placed=target is not None)
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
