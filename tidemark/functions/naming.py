@@ -76,7 +76,7 @@ def fit_names_frame(
 ) -> DataFrame:
     """Same rule over a column of names: the n-th holder of a cut name gets ``_n``."""
     cut = df.withColumn("_cut", F.substring(F.col(name), 1, limit))
-    numbered = occurrence_number(cut, ["_cut"], [position], out="_nth")
+    numbered = occurrence_number(cut, ["_cut"], [position], out="_nth", costly=True)
     suffix = F.concat(F.lit("_"), F.col("_nth").cast("string"))
     head = F.col("_cut").substr(F.lit(1), F.lit(limit) - F.length(suffix))
     fitted = F.when(F.col("_nth") == 1, F.col("_cut")).otherwise(F.concat(head, suffix))

@@ -9,7 +9,12 @@ from tidemark.session import write_once
 
 
 def occurrence_number(
-    df: DataFrame, group: list[str], order: list[str], out: str = "n", partitions: int | None = None
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    out: str = "n",
+    partitions: int | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)``, for groups of any size.
 
@@ -17,7 +22,11 @@ def occurrence_number(
     partitions. The sorted rows are written once with their partition and running position; each
     row's number is then its distance from the start of its group's run in that partition, plus
     the rows of the group in earlier partitions. ``order`` must be a total order in each group.
+
+    A range sort computes its input twice, first to sample it; with ``costly`` the input is written
+    down before.
     """
+    df = write_once(df, "unnumbered") if costly else df
     by = [F.col(c) for c in [*group, *order]]
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     placed = ranged.sortWithinPartitions(*by).select(
