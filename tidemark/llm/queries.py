@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from tidemark.llm.langid import op9_language_id
 from tidemark.llm.linededup import OP4_SQL, op4_line_dedup
+from tidemark.llm.mixing import op2_source_mix
+from tidemark.llm.neardup import op3_near_duplicates
 from tidemark.llm.shards import op5_histogram_shards
 
 QUERIES = {
+    "op2_source_mix": op2_source_mix,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
     "op5_histogram_shards": op5_histogram_shards,
+    "op9_language_id": op9_language_id,
 }
 
 SQL = {
