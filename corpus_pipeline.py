@@ -10,18 +10,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.langid import drop_unknown
+from tidemark.llm.mixing import mixed_documents
+from tidemark.llm.neardup import drop_near_duplicates
 from tidemark.llm.shards import shard_documents
+from tidemark.llm.tables import table
 from tidemark.session import configure, write_once
 
 N_SHARDS = 16
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or far from every language learned, go."""
+    return drop_unknown(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component of near-duplicates the smallest id stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold question and answer of a benchmark item go."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes: a row for each pass over a document, cut where only part is taken."""
+    return mixed_documents(docs, N_SHARDS)
+
+
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard and its place in it."""
     return shard_documents(docs, N_SHARDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", language_id),
+    ("near-dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
     ("sharding", sharding),
 ]
 

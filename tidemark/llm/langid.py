@@ -141,6 +141,12 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return told.select("_row.*", "_told.*")
 
 
+def drop_unknown(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, by profiles learned from them."""
+    told = language(learn_profiles(docs))(F.col("text"))
+    return docs.where((told["lang_pred"] != UNKNOWN) & (told["score"] >= min_score))
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     profiles = learn_profiles(docs)

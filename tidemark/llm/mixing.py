@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.tables import documents
 from tidemark.session import write_once
@@ -244,7 +245,7 @@ def sized_rows(docs: DataFrame, *carry: Column) -> DataFrame:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def cut_words(texts: pd.Series, pieces: pd.Series) -> pd.Series:
     """The stretches of words that ``pieces`` (first word, words) name, with the white space inside."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontaminate import op7_decontamination
 from tidemark.llm.langid import op9_language_id
 from tidemark.llm.linededup import OP4_SQL, op4_line_dedup
 from tidemark.llm.mixing import op2_source_mix
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
     "op5_histogram_shards": op5_histogram_shards,
+    "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
 }
 
