@@ -14,7 +14,8 @@ the one that meets most others, which in a group of edited copies is the one nex
 then with one drawn by hash. What is confirmed joins components, so groups of copies collapse. Buckets that still
 hold several components are finished exactly: their classes are joined on the rarest quarter of their
 shingles, one of which two sets of similarity 0.75 must share, restricted to pairs of different
-components whose sizes, and whose numbers of shingles that anyone else has, allow that similarity.
+components whose sizes, numbers of shingles that anyone else has, and bitmaps of hashed shingles
+allow that similarity.
 Each such pair is confirmed or refuted on full sets. No bucket, partner or candidate is cut off.
 
 ``component_id`` is the smallest id reachable by links. A document without words or with null text
@@ -25,10 +26,11 @@ is linked with nothing, has a null component and is kept. An empty table gives n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
@@ -40,6 +42,8 @@ HALVES, WIDTH = 12, 2
 #: The least similarity, as a fraction of whole numbers.
 NUM, DEN = 3, 4
 ROUNDS = 2
+#: Longs of a set's bitmap.
+BITS = 16
 
 _N = 2 * HALVES * WIDTH
 MULTIPLY = spread(np.arange(1, _N + 1, dtype=np.uint64)) | np.uint64(1)
@@ -103,8 +107,14 @@ def buckets_of(classes: DataFrame) -> DataFrame:
     return write_once(_met(write_once(keys, "table-keys"), "key"), "buckets")
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    bits = np.zeros(64 * BITS, bool)
+    bits[(hashes % np.uint64(64 * BITS)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``cid, tokens``: the sorted shingle hashes of the classes' smallest documents."""
+    """``cid, tokens, bits``: the sorted shingle hashes of the classes' smallest documents."""
     wanted = classes.select(F.col("cid").alias("doc_id"), "f1")
     texts = docs.select("doc_id", "text").join(wanted, "doc_id")
 
@@ -114,16 +124,19 @@ def class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
             with np.errstate(over="ignore"):
                 own = [int(spread(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
             out = pd.DataFrame({"cid": b["doc_id"], "tokens": [s.view(np.int64) for s in sets]})
+            out["bits"] = [bitmap(s) for s in sets]
             yield out[np.array(own) == b["f1"].to_numpy()]
 
     # An id that repeats may come with several texts, and one text in several rows.
-    hashed_rows = texts.mapInPandas(hashed, "cid long, tokens array<long>")
+    hashed_rows = texts.mapInPandas(hashed, "cid long, tokens array<long>, bits array<long>")
     return write_once(hashed_rows.dropDuplicates(["cid"]), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the similarity."""
-    met = pairs.join(sets.toDF("a", "tokens_a"), "a").join(sets.toDF("b", "tokens_b"), "b")
+    left = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("tokens_a"))
+    right = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tokens_b"))
+    met = pairs.join(left, "a").join(right, "b")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -161,15 +174,14 @@ def _rest(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Every pair of mixed buckets' classes, of different components, that may be similar enough.
 
     With overlap o and sizes n, m, the similarity asks for ``o * (DEN + NUM) >= NUM * (n + m)``; o is at
-    most the number of shingles that another of these classes has too. In the order of frequency
-    here, rarest first, two similar sets share a shingle of their first n - ceil(n * NUM / DEN) + 1.
+    most the number of shingles that another of these classes has too, and at most n less the bits that
+    the other bitmap lacks. In the order of frequency here, rarest first, two similar sets share a shingle of their first n - ceil(n * NUM / DEN) + 1.
     """
     mixed = write_once(_mixed(buckets, labels).select("cid", "label").distinct(), "rest")
     size = mixed.groupBy("label").agg(F.count(F.lit(1)).alias("label_n"))
     mixed = mixed.join(size, "label").withColumn("rank", F.struct("label_n", "label"))
-    tokens = sets.join(mixed.select("cid"), "cid", "left_semi").select(
-        "cid", F.size("tokens").alias("n"), F.explode("tokens").alias("token")
-    )
+    sets = sets.join(mixed.select("cid"), "cid", "left_semi")
+    tokens = sets.select("cid", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     known = tokens.join(often, "token").groupBy("cid", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known")
@@ -178,10 +190,9 @@ def _rest(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     prefix = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1 - (F.col("n") - own)
     known = known.withColumn("c", own).withColumn("prefix", prefix.cast("int")).where("prefix > 0")
     rows = known.select("cid", "n", "c", F.explode(F.slice("known", F.lit(1), F.col("prefix"))).alias("x"))
-    rows = write_once(
-        rows.select("cid", "n", "c", F.col("x.token").alias("token")).join(mixed.select("cid", "rank"), "cid"),
-        "prefixes",
-    )
+    rows = rows.select("cid", "n", "c", F.col("x.token").alias("token"))
+    rows = rows.join(mixed.select("cid", "rank"), "cid").join(sets.select("cid", "bits"), "cid")
+    rows = write_once(rows, "prefixes")
     # A pair is formed from its lower component, so the highest one of a shingle forms none, and
     # neither does a class that is too much its own for even the shortest set there.
     tops = rows.groupBy("token").agg(
@@ -191,7 +202,17 @@ def _rest(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     may = (DEN + NUM) * F.col("c") >= NUM * (F.col("n") + F.greatest("least", F.col("n") * NUM / DEN))
     first = rows.join(tops, "token").where("rank < top").where(may)
     a, b = first.alias("a"), rows.alias("b")
-    shared = F.least("a.c", "b.c") * (DEN + NUM) >= (F.col("a.n") + F.col("b.n")) * NUM
+
+    def enough(most: Column) -> Column:
+        return most * (DEN + NUM) >= (F.col("a.n") + F.col("b.n")) * NUM
+
+    def lacks(x: str, y: str) -> Column:
+        """Bits of one that the other has not."""
+        own = [F.bit_count(F.col(f"{x}.bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{y}.bits")[i]))) for i in range(BITS)]
+        return reduce(Column.__add__, own)
+
+    shared = enough(F.least("a.c", "b.c")) & enough(F.col("a.n") - lacks("a", "b"))
+    shared = shared & enough(F.col("b.n") - lacks("b", "a"))
     near = (F.col("a.n") * DEN >= F.col("b.n") * NUM) & (F.col("b.n") * DEN >= F.col("a.n") * NUM)
     met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rank") < F.col("b.rank")) & shared & near)
     return met.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
