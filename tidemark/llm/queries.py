@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from tidemark.llm.ann import op6_nearest_vectors
 from tidemark.llm.decontaminate import op7_decontamination
 from tidemark.llm.langid import op9_language_id
+from tidemark.llm.licences import op10_licence_scan
 from tidemark.llm.linededup import OP4_SQL, op4_line_dedup
 from tidemark.llm.mixing import op2_source_mix
 from tidemark.llm.neardup import op3_near_duplicates
 from tidemark.llm.shards import op5_histogram_shards
+from tidemark.llm.tokencount import op8_token_counts
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
     "op5_histogram_shards": op5_histogram_shards,
+    "op6_nearest_vectors": op6_nearest_vectors,
     "op7_decontamination": op7_decontamination,
+    "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
+    "op10_licence_scan": op10_licence_scan,
 }
 
 SQL = {
