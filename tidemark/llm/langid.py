@@ -28,6 +28,8 @@ from tidemark.session import collect_catalog
 
 GRAMS = 300
 SAMPLE_ROWS = 2_000
+#: A catalog with more languages is refused.
+MAX_LANGUAGES = 10_000
 GAP = 0x20
 UNKNOWN = "und"
 #: Below this a pipeline takes a text for no language that it knows.
@@ -94,9 +96,11 @@ def learn_profiles(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Profiles:
     """Profiles from labelled rows of ``doc_id, text, lang`` that are not held out."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     labelled = labelled.select("doc_id", "text", "lang")
-    n = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("lang", "_lang")
+    n = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    n = docs.sparkSession.createDataFrame(collect_catalog(n, MAX_LANGUAGES), "lang string, _n long")
     draw = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_000)) * F.col("_n")
-    sample = labelled.join(n, F.col("lang") == F.col("_lang")).where(draw < sample_rows * 1_000_000)
+    # At most MAX_LANGUAGES rows, checked; texts stay where they are.
+    sample = labelled.join(F.broadcast(n), "lang").where(draw < sample_rows * 1_000_000)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -116,7 +120,7 @@ def learn_profiles(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Profiles:
     )
     return [
         (r.lang, np.array([g.code for g in r.grams]), np.array([g.at for g in r.grams]))
-        for r in sorted(collect_catalog(best, 10_000), key=lambda r: r.lang)
+        for r in sorted(collect_catalog(best, MAX_LANGUAGES), key=lambda r: r.lang)
     ]
 
 
