@@ -9,10 +9,12 @@ from tidemark.llm.licences import op10_licence_scan
 from tidemark.llm.linededup import OP4_SQL, op4_line_dedup
 from tidemark.llm.mixing import op2_source_mix
 from tidemark.llm.neardup import op3_near_duplicates
+from tidemark.llm.revisits import OP1_SQL, op1_revisits
 from tidemark.llm.shards import op5_histogram_shards
 from tidemark.llm.tokencount import op8_token_counts
 
 QUERIES = {
+    "op1_revisits": op1_revisits,
     "op2_source_mix": op2_source_mix,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
@@ -25,5 +27,6 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_revisits": OP1_SQL,
     "op4_line_dedup": OP4_SQL,
 }
