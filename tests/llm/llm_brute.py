@@ -1,0 +1,83 @@
+"""Plain versions of the corpus operators, for small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(low)
+
+
+def shingle_set(text):
+    w = words(text)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+
+
+class Forest(dict):
+    def root(self, x):
+        while self.setdefault(x, x) != x:
+            x = self[x]
+        return x
+
+    def tie(self, a, b):
+        a, b = self.root(a), self.root(b)
+        self[max(a, b)] = min(a, b)
+
+
+def near_duplicates(rows):
+    """(doc_id, set size, component) of each row of (doc_id, text)."""
+    sets = [(d, shingle_set(t)) for d, t in rows]
+    forest = Forest()
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if a is None or b is None or not x or not y:
+                continue
+            both = len(x & y)
+            if 100 * both >= 75 * (len(x) + len(y) - both):
+                forest.tie(a, b)
+    return [(d, len(s), d if d is None or not s else forest.root(d)) for d, s in sets]
+
+
+def line_key(line):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+    return low.strip(" \t\n\x0b\x0c\r")
+
+
+def dedup_lines(rows, min_chars=20, min_docs=3):
+    """(doc_id, lines, dropped, sha256 of what stays) of each row of (doc_id, text)."""
+    holders = {}
+    for d, t in rows:
+        for line in (t or "").split("\n"):
+            if len(line_key(line)) >= min_chars:
+                holders.setdefault(line_key(line), set()).add(d)
+    rank = lambda d: -1 if d is None else d
+    top = {k: max(map(rank, v)) for k, v in holders.items() if len(v) >= min_docs}
+    out = []
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if top.get(line_key(x), rank(d)) <= rank(d)]
+        sha = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        out.append((d, len(lines), len(lines) - len(kept), sha))
+    return out
+
+
+def targets(sizes):
+    """Source -> target, by resharing what is above the caps until nothing is."""
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in capped]
+        left = total - sum(capped.values())
+        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        over = [s for s in free if share[s] > 3 * sizes[s]]
+        if not over:
+            return {**capped, **share}
+        capped |= {s: 3.0 * sizes[s] for s in over}
