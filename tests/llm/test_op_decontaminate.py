@@ -1,0 +1,99 @@
+import random
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+from tidemark.llm import decontaminate as dc
+from tidemark.llm.decontaminate import ItemIndex, decontaminate, leaked_items, op7_decontamination, words_of
+
+DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
+ITEM = "Which river runs past the oldest bridge of the town? It is the small river Lenn, of course."
+
+
+def filler(n, seed=0):
+    rng = random.Random(seed)
+    return " ".join(f"f{rng.randrange(5000)}" for _ in range(n))
+
+
+ROWS = [
+    (1, f"{filler(300)} {ITEM} {filler(90)}"),
+    (2, ITEM.upper().replace(",", " --")),
+    (3, filler(500)),
+    (4, "Which river runs past the oldest bridge of the town? Nobody knows it."),
+    (5, None),
+    (6, ""),
+    (7, "the of it is"),
+    (1, ITEM),
+    (None, ITEM),
+    (8, filler(60) + " " + ITEM + " " + filler(20_000)),
+]
+
+
+def test_leaks_need_question_and_answer(spark):
+    items = [(1, ITEM), (1, ITEM), (2, None), (3, ""), (4, "too short"), (5, filler(40, seed=9))]
+    got = leaked_items(spark.createDataFrame(ROWS, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((str(r.doc_id), r.item_id) for r in got) == [("1", 1), ("2", 1), ("8", 1), ("None", 1)]
+    assert all(r.question_overlap == r.answer_overlap == 1 and r.score > 0.99 for r in got)
+
+
+def test_dropping_keeps_columns(spark):
+    docs = spark.createDataFrame(ROWS, DOCS).withColumns({"score": F.lit("mine"), "item_id": F.lit(3)})
+    got = decontaminate(docs, spark.createDataFrame([(1, ITEM)], ITEMS))
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == [3, 4, 5, 6, 7]
+
+
+def test_empty_sides(spark):
+    docs, items = spark.createDataFrame(ROWS, DOCS), spark.createDataFrame([(1, ITEM)], ITEMS)
+    assert leaked_items(docs.limit(0), items).collect() == []
+    assert leaked_items(docs, items.limit(0)).collect() == []
+    assert decontaminate(docs, items.limit(0)).count() == len(ROWS)
+
+
+def test_chunks_give_the_same(spark, monkeypatch):
+    items = [(i, filler(30, seed=i)) for i in range(40)]
+    rows = [(i, f"{filler(100, 77)} {text} {filler(40, 78)}") for i, text in items] + ROWS
+    docs, items = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS)
+    whole = sorted((tuple(r) for r in leaked_items(docs, items).collect()), key=str)
+    monkeypatch.setattr(dc, "CHUNK_BYTES", 1500)
+    parts = sorted((tuple(r) for r in leaked_items(docs, items).collect()), key=str)
+    assert len(whole) == 40
+    assert [r[:2] for r in whole] == [r[:2] for r in parts]
+    assert [r[2] for r in whole] == pytest.approx([r[2] for r in parts])
+
+
+def test_wand_finds_all_that_adding_up_finds():
+    rng = random.Random(3)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(rng.randrange(8, 40))) for _ in range(60)]
+    df = {}
+    for t in texts:
+        for w in set(t.split()):
+            df[w] = df.get(w, 0) + 1
+    rows = [Row(item_id=i, text=t, terms=[Row(term=w, df=df[w]) for w in set(t.split())]) for i, t in enumerate(texts)]
+    index = ItemIndex(rows, len(rows), 20.0)
+    for n in range(60):
+        words = [f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(100)] + texts[n].split()[: rng.randrange(40)]
+        terms = sorted({index.terms[w] for w in map(str.encode, words) if w in index.terms})
+        for least in (0.1, 0.3, 0.6):
+            scores = {}
+            for t in terms:
+                for item, impact in zip(*index.postings[t][:2]):
+                    scores[item] = scores.get(item, 0) + impact
+            got = {i for b in range(index.n_blocks) for i, _ in index.retrieve(terms, b, least)}
+            assert got == {i for i, s in scores.items() if s >= least}
+        live = {b for _, b, _ in index.live(index.ids(list(map(str.encode, words))), 1000)}
+        assert {i // dc.BLOCK for i, s in scores.items() if s >= dc.MIN_SCORE} <= live
+
+
+def test_planted_passages(spark):
+    """Every document that holds most of an item's n-grams is found, and no other."""
+    folder = "/root/testdata/sf0.01"
+    items = {r.item_id: words_of(r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
+    want = set()
+    for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        grams = dc.ngrams(words_of(r.text), 5)
+        for i, w in items.items():
+            own = dc.ngrams(w, 5)
+            if own and len(own & grams) >= 0.6 * len(own):
+                want.add((r.doc_id, i))
+    assert want and {(r.doc_id, r.item_id) for r in op7_decontamination(spark, folder).collect()} == want

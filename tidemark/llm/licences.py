@@ -225,7 +225,7 @@ RULES = [
 UNKNOWN = "unknown"
 KNOWN = {text: name for name, texts in SENTENCES.items() for text in texts}
 
-_END = re.compile(r"(?<=[.!?;:])\s+|\n\s*\n")
+_END = re.compile(r"(?<=[.!?;])\s+|\n\s*\n")
 _MARKS = re.compile(r"^[\s/*#;%>|-]+|[\s*/]+$")
 _BULLET = re.compile(r"^\s*(?:\(?[0-9a-z]{1,2}[.)]\s+|[*-]\s+)")
 _PUNCT = re.compile(r"[^\w.]+|\.(?!\w)|(?<!\w)\.|_")
