@@ -9,13 +9,13 @@ there is in no table of that half, so table keys are formed of the halves that m
 documents form none.
 
 Classes that share a bucket are candidates. All pairs of a bucket are never formed. In rounds, every
-class is compared with one class of its buckets that is not known to be in its component: first with
-the one that meets most others, which in a group of edited copies is the one next to the original,
-then with one drawn by hash. What is confirmed joins components, so groups of copies collapse. Buckets that still
-hold several components are finished exactly: their classes are joined on the rarest quarter of their
-shingles, one of which two sets of similarity 0.75 must share, restricted to pairs of different
-components whose sizes, numbers of shingles that anyone else has, and bitmaps of hashed shingles
-allow that similarity.
+class is compared with one class of its buckets that is not known to be in its component: the one
+that meets most others, which in a group of edited copies is the one next to the original; in a
+second round, the next such one. What is confirmed joins components, so groups of copies collapse.
+Buckets that still hold several components are finished exactly: their classes are joined on the
+rarest quarter of their shingles, one of which two sets of similarity 0.75 must share, restricted to
+pairs of different components whose sizes, places of the shingle, numbers of shingles that anyone
+else has, and bitmaps of hashed shingles allow that similarity.
 Each such pair is confirmed or refuted on full sets. No bucket, partner or candidate is cut off.
 
 ``component_id`` is the smallest id reachable by links. A document without words or with null text
@@ -174,8 +174,9 @@ def _rest(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Every pair of mixed buckets' classes, of different components, that may be similar enough.
 
     With overlap o and sizes n, m, the similarity asks for ``o * (DEN + NUM) >= NUM * (n + m)``; o is at
-    most the number of shingles that another of these classes has too, and at most n less the bits that
-    the other bitmap lacks. In the order of frequency here, rarest first, two similar sets share a shingle of their first n - ceil(n * NUM / DEN) + 1.
+    most the number of shingles that another of these classes has too, at most n less the bits that the
+    other bitmap lacks, and, if a shingle is the first that both have, at most what follows it in either.
+    In the order of frequency here, rarest first, two similar sets share a shingle of their first n - ceil(n * NUM / DEN) + 1.
     """
     mixed = write_once(_mixed(buckets, labels).select("cid", "label").distinct(), "rest")
     size = mixed.groupBy("label").agg(F.count(F.lit(1)).alias("label_n"))
@@ -189,8 +190,9 @@ def _rest(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     own = F.size("known")
     prefix = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1 - (F.col("n") - own)
     known = known.withColumn("c", own).withColumn("prefix", prefix.cast("int")).where("prefix > 0")
-    rows = known.select("cid", "n", "c", F.explode(F.slice("known", F.lit(1), F.col("prefix"))).alias("x"))
-    rows = rows.select("cid", "n", "c", F.col("x.token").alias("token"))
+    first = F.posexplode(F.slice("known", F.lit(1), F.col("prefix"))).alias("at", "x")
+    rows = known.select("cid", "n", "c", first)
+    rows = rows.select("cid", "n", "c", F.col("x.token").alias("token"), (F.col("c") - F.col("at")).alias("rest"))
     rows = rows.join(mixed.select("cid", "rank"), "cid").join(sets.select("cid", "bits"), "cid")
     rows = write_once(rows, "prefixes")
     # A pair is formed from its lower component, so the highest one of a shingle forms none, and
@@ -199,7 +201,7 @@ def _rest(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
         F.max("rank").alias("top"), F.min("rank").alias("low"), F.min("n").alias("least")
     )
     tops = tops.where("low < top")
-    may = (DEN + NUM) * F.col("c") >= NUM * (F.col("n") + F.greatest("least", F.col("n") * NUM / DEN))
+    may = (DEN + NUM) * F.col("rest") >= NUM * (F.col("n") + F.greatest("least", F.col("n") * NUM / DEN))
     first = rows.join(tops, "token").where("rank < top").where(may)
     a, b = first.alias("a"), rows.alias("b")
 
@@ -211,7 +213,7 @@ def _rest(buckets: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
         own = [F.bit_count(F.col(f"{x}.bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{y}.bits")[i]))) for i in range(BITS)]
         return reduce(Column.__add__, own)
 
-    shared = enough(F.least("a.c", "b.c")) & enough(F.col("a.n") - lacks("a", "b"))
+    shared = enough(F.least("a.rest", "b.rest")) & enough(F.col("a.n") - lacks("a", "b"))
     shared = shared & enough(F.col("b.n") - lacks("b", "a"))
     near = (F.col("a.n") * DEN >= F.col("b.n") * NUM) & (F.col("b.n") * DEN >= F.col("a.n") * NUM)
     met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rank") < F.col("b.rank")) & shared & near)
@@ -243,14 +245,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     degree = buckets.join(counted, "key").groupBy("cid").agg(F.sum("_n").alias("rank"))
     degree = write_once(degree, "degrees")
     for turn in range(ROUNDS + 1):
-        if turn == 0:
-            pairs = _round(buckets, degree, labels)
-        elif turn < ROUNDS:
-            drawn = degree.withColumn("rank", F.xxhash64(F.lit(turn), "cid"))
-            pairs = _round(buckets, drawn, labels)
-        else:
-            pairs = _rest(buckets, sets, labels)
-        found = write_once(confirmed(write_once(pairs, "candidates"), sets), "links")
+        pairs = _round(buckets, degree, labels) if turn < ROUNDS else _rest(buckets, sets, labels)
+        pairs = write_once(pairs, "candidates")
+        # Whom others were compared with comes last in the next round.
+        used = pairs.select(F.col("b").alias("cid"), F.lit(0).alias("_used")).distinct()
+        degree = degree.join(used, "cid", "left").select("cid", F.coalesce("_used", "rank").alias("rank"))
+        found = write_once(confirmed(pairs, sets), "links")
         links = links.union(found)
         labels = components(links)
 
