@@ -16,15 +16,16 @@ def linked(*items):
 
 
 PEOPLE = [
-    record("101", associations={"companies": linked(("201", "1", "HUBSPOT_DEFINED")), "deals": linked(("301", "3"))},
-           firstname="Juan", lastname="Pérez", hs_lastmodifieddate="2024-06-01T10:00:00Z"),
-    record("102", associations={"companies": linked(("202", "1"))},
-           firstname="María", lastname="García", hs_lastmodifieddate="2024-06-02T10:00:00Z"),
-    record("103", associations={}, firstname="Carlos", lastname="López", hs_lastmodifieddate="2024-06-03T10:00:00Z"),
-    record("104", associations={"companies": linked(("201", "1"), ("203", "1"))},
-           firstname="Ana", lastname="Martínez", hs_lastmodifieddate="2024-06-04T10:00:00Z"),
-    record("105", archived=True, associations={"deals": linked(("302", "3"))},
-           firstname="Pedro", lastname="Sánchez", hs_lastmodifieddate="2024-06-05T10:00:00Z"),
+    record("811", associations={"companies": linked(("4411", "1", "HUBSPOT_DEFINED")), "deals": linked(("6602", "3"))},
+           firstname="Ilse", lastname="Ødegård", hs_lastmodifieddate="2024-05-21T08:30:00Z"),
+    record("824", associations={"companies": linked(("4425", "1"))},
+           firstname="Noor", lastname="van der Berg", hs_lastmodifieddate="2024-05-23T17:05:00Z"),
+    record("839", associations={}, firstname="Tariq", lastname="Aziz", hs_lastmodifieddate="2024-05-26T00:00:00Z"),
+    record("852", associations={"companies": linked(("4411", "1"), ("4438", "1"))},
+           firstname="Wren", lastname="Ó Briain", hs_lastmodifieddate="2024-05-29T23:59:59Z"),
+    record("867", archived=True, associations={"deals": linked(("6617", "3"))},
+           firstname="Sol", lastname="Nguyễn", hs_lastmodifieddate="2024-06-02T12:00:00Z"),
+    record("878", archived=True, firstname="", lastname=None, hs_lastmodifieddate="not a date"),
 ]
 
 CATALOG = [

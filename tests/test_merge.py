@@ -94,13 +94,12 @@ def test_full_sync_equals_upsert_then_mark(spark):
     assert state == {1: (False, None), 2: (True, "b"), 3: (False, "back"), 4: (False, "new"), 5: (True, "e")}
 
 
-@pytest.mark.parametrize("small, partitions", [(0, None), (3, 2), (100, 3), (100, None)])
-def test_changes_in_one_pass_equal_upsert_then_mark(spark, small, partitions):
+def test_changes_in_one_pass_equal_upsert_then_mark(spark):
     target = people(spark, (1, False, "a"), (2, False, "b"), (3, True, "c"), (5, None, "e"), (6, False, "f"))
     load = people(spark, (1, False, None), (3, False, "back"), (4, False, "new"), (6, False, "g"))
     load = load.withColumn(META.synced, at(MARK)).withColumn("extra", F.lit(7))
     gone = spark.createDataFrame([(2,), (3,), (4,), (5,), (5,), (99,)], f"{META.id} bigint")
-    one = M.apply_changes(target, load, gone, MARK, META, small, partitions)
+    one = M.apply_changes(target, load, gone, MARK, META)
     two = X.mark_listed(M.upsert(target, load, [META.id]), gone, MARK)
     assert rows(one) == rows(two.select(*one.columns))
 
@@ -128,6 +127,4 @@ def test_archive_mark_is_exclusive(spark):
 def test_replace_where_listed(spark):
     target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     load = spark.createDataFrame([(1, "z")], "k int, v string")
-    for small in (0, 5):
-        got = M.replace_where_listed(target, load, "k", load, small, partitions=small or None)
-        assert rows(got) == [(1, "z"), (2, "c")]
+    assert rows(M.replace_where_listed(target, load, ["k"], load)) == [(1, "z"), (2, "c")]

@@ -1,5 +1,6 @@
 """What the physical plans look like: shuffles, pushed filters, skew, and what must not occur."""
 
+import os
 import re
 import uuid
 from datetime import datetime
@@ -8,11 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import parse_instant
+from tidemark.meta import EDGE_PLACE
 from tidemark.operators import edges as E
 from tidemark.operators import merge as M
 from tidemark.operators.records import at
 from tidemark.operators.state import modified_since
 from tidemark.plans.warehouse import Warehouse
+from tidemark.sources import pages as G
 from workload import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,15 +65,57 @@ def test_full_sync_shuffles_the_load_only(spark, bucketed):
     assert exchanges(text) == 1 and text.count("FullOuter") == 1
 
 
-def test_few_changes_leave_the_target_in_place(spark, bucketed):
+def test_changes_leave_the_target_in_place(spark, bucketed):
     target, load = bucketed
     few = load.where("ord < 510").drop("ord")
     gone = few.select(ID).limit(1)
-    out = M.apply_changes(target, few, gone, MARK, small=100)
-    target_side = plan(out).split("Union")[1].split("BroadcastExchange")[0]
-    assert "LeftOuter, BuildRight" in target_side and "FileScan" in target_side
-    assert exchanges(target_side) == 0
-    assert out.count() == 1000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = M.apply_changes(target, few, gone, MARK)
+        text = plan(out)
+        assert out.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = text.index(".t__v1")
+    assert "Exchange" not in text[text.rindex("FullOuter", 0, scan) : scan]
+
+
+def test_replaced_edges_leave_the_target_in_place(spark):
+    """Also where a third of all edges start at one record, which lie in several buckets."""
+    house = Warehouse(spark, "p" + uuid.uuid4().hex, buckets=4)
+    cells = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("from_id"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("to_type"), F.col("id").alias("to_id"), F.lit("1").alias("type_id"))
+    house.publish(E.salted(cells), "e", EDGE_PLACE, partition_by=["to_type"])
+    old = house.read("e")
+    load = cells.where("to_id < 30").withColumn("type_id", F.lit("2"))
+    listed = load.select("from_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = E.replace_edges_of(old, E.salted(load).repartition(4, *EDGE_PLACE), listed)
+        text = plan(new)
+        house.publish(new, "e", EDGE_PLACE, placed=True, partition_by=["to_type"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = text.index(".e__v1")
+    assert "Exchange" not in text[text.rindex("LeftAnti", 0, scan) : scan]
+    got = house.read("e")
+    assert got.count() == 3000 - 1000 - 20 + 30 and got.where("type_id = '2'").count() == 30
+    files = got.select(F.input_file_name().alias("f"), "to_type", "_salt", "from_id")
+    per_bucket = files.select("to_type", F.regexp_extract("f", "_([0-9]{5})", 1).alias("b"), "f").distinct()
+    assert max(r["count"] for r in per_bucket.groupBy("to_type", "b").count().collect()) <= 2
+    hot = old.where("from_id = 7").select(F.input_file_name().alias("f")).distinct()
+    assert hot.count() > 2
+
+
+def test_old_files_are_not_opened(spark, tmp_path):
+    for name, when in (("old", 1_000_000_000), ("new", 1_800_000_000)):
+        path = tmp_path / f"{name}.json"
+        path.write_text('{"results": [{"id": "%d"}]}' % when)
+        os.utime(path, (when, when))
+    pages = G.read_pages(spark, str(tmp_path), landed_after="2020-01-01T00:00:00")
+    assert [f.rsplit("/", 1)[1] for f in pages.inputFiles()] == ["new.json"]
+    assert G.explode_results(pages).count() == 1
 
 
 def test_keep_last_combines_before_its_only_shuffle(spark):

@@ -21,8 +21,8 @@ def test_pages_to_records_in_arrival_order(spark, tmp_path):
     land(tmp_path / "records", *pages(PEOPLE[:2], PEOPLE[2:4], []))
     land(tmp_path / "records", *pages(PEOPLE[4:]))
     rows = G.explode_results(G.read_pages(spark, str(tmp_path / "records")))
-    assert [r.id for r in rows.orderBy("_ord").collect()] == ["101", "102", "103", "104", "105"]
-    assert {r.id for r in G.active_records(rows).collect()} == {"101", "102", "103", "104"}
+    assert [r.id for r in rows.orderBy("_ord").collect()] == ["811", "824", "839", "852", "867", "878"]
+    assert {r.id for r in G.active_records(rows).collect()} == {"811", "824", "839", "852"}
 
 
 def test_absent_feed_is_empty(spark, tmp_path):
@@ -32,7 +32,7 @@ def test_absent_feed_is_empty(spark, tmp_path):
 def test_unreadable_pages_are_kept_beside_the_good_ones(spark, tmp_path):
     feed = landed(spark, tmp_path, *pages(PEOPLE[:1]), '{"results": [{"id": "1"', '{"results": 7}', '{"other": 1}')
     rows = G.explode_results(feed, keep_unreadable=True).collect()
-    assert sorted(r.id or "-" for r in rows) == ["-", "-", "101"]
+    assert sorted(r.id or "-" for r in rows) == ["-", "-", "811"]
     assert sum(r._corrupt is not None for r in rows) == 2
 
 
@@ -50,10 +50,10 @@ def test_flatten_types_every_declared_property(spark, tmp_path):
     flat = R.flatten_records(G.explode_results(feed), COLUMNS, MARK)
     good, rejects = R.split_rejects(flat)
     rows = {r.hs_object_id: r for r in good.collect()}
-    assert rejects.count() == 0 and sorted(rows) == [101, 102, 103, 104, 105, 106]
-    assert rows[101].lastname == "Pérez"
-    assert rows[101].fivetran_deleted is False and rows[105].fivetran_deleted is True
-    assert rows[101].fivetran_synced == MARK
+    assert rejects.count() == 0 and sorted(rows) == [106, 811, 824, 839, 852, 867, 878]
+    assert rows[811].lastname == "Ødegård"
+    assert rows[811].fivetran_deleted is False and rows[867].fivetran_deleted is True
+    assert rows[811].fivetran_synced == MARK
     assert rows[106].num_employees == 12.5 and rows[106].es_activo is True
     assert rows[106].firstname == '{"a":[1,2]}' and rows[106].lastname is None
     assert good.schema["es_activo"].metadata == {"source": "Es Activo"}

@@ -19,10 +19,11 @@ def house(spark):
 
 
 def run(spark, house, folder, checkpoint, files_per_batch=1):
-    rows = flatten_records(stream_pages(spark, str(folder), files_per_batch=files_per_batch), COLUMNS, datetime(2024, 7, 1), carry=("_ord",))
+    rows = flatten_records(
+        stream_pages(spark, str(folder), files_per_batch=files_per_batch), COLUMNS, datetime(2024, 7, 1), carry=("_ord", "_corrupt"))
     query = stream_upsert(
-        rows.where("_bad_id IS NULL").drop("_bad_id"), house, "people", ["hs_object_id"], ["hs_lastmodifieddate", "_ord"],
-        str(checkpoint), guard="hs_lastmodifieddate", archived=F.col("fivetran_deleted"))
+        rows, house, "people", ["hs_object_id"], ["hs_lastmodifieddate", "_ord"],
+        str(checkpoint), guard="hs_lastmodifieddate", archived=F.col("fivetran_deleted"), rejects="rejects")
     query.awaitTermination()
     return query
 
@@ -79,3 +80,19 @@ def test_batching_does_not_change_the_result(spark, tmp_path):
         run(spark, house, folder, tmp_path / f"checkpoint{size}", size)
         results.append(state(house))
     assert results[0] == results[1]
+
+
+def test_the_later_page_of_a_file_wins(spark, house, tmp_path):
+    folder = tmp_path / "records"
+    land(folder, *pages([version("0", "x", 1), version("1", "first", 5)], [version("1", "second", 5)]))
+    run(spark, house, folder, tmp_path / "checkpoint")
+    assert state(house)[1] == ("second", False)
+
+
+def test_unreadable_pages_and_bad_ids_are_told(spark, house, tmp_path):
+    folder = tmp_path / "records"
+    land(folder, *pages([version("1", "a", 1), version("x7", "b", 1)]), '{"results": [{"id": "9", ')
+    run(spark, house, folder, tmp_path / "checkpoint")
+    assert state(house) == {1: ("a", False)}
+    told = {(r.error_type, r.id_text) for r in house.read("rejects").collect()}
+    assert ("ValueError", "x7") in told and any(kind == "JSONDecodeError" for kind, _ in told)

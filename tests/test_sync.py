@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from samples import CATALOG, PEOPLE, land, linked, pages, record
 from tidemark.plans.sync import Feed, sync_all, sync_object
-from tidemark.plans.warehouse import Warehouse
+from tidemark.plans.warehouse import ConcurrentPublish, Warehouse
 
 JUNE, JULY, AUGUST = datetime(2024, 6, 10), datetime(2024, 7, 1), datetime(2024, 8, 1)
 TREES = [{"id": "p1", "label": "Sales", "stages": [{"id": "77-a", "label": "New"}, {"id": "78", "label": "Won"}]}]
@@ -29,10 +29,10 @@ def landing(root, people=PEOPLE, archived=(), links=True, catalog=CATALOG):
     land(base / "archived", {"results": list(archived)})
     if links:
         land(base / "links" / "to_type=2-9", {"results": [
-            {"from": {"id": "101"}, "to": [{"toObjectId": 900, "associationTypes": [{"typeId": 1}, {"typeId": 2}]}]},
+            {"from": {"id": "811"}, "to": [{"toObjectId": 900, "associationTypes": [{"typeId": 1}, {"typeId": 2}]}]},
             {"from": {"id": "555"}, "to": [{"toObjectId": 901, "associationTypes": [{"typeId": 1}]}]}]})
         land(base / "links" / "to_type=0-1", {"results": [
-            {"from": {"id": "102"}, "to": [{"toObjectId": 101, "associationTypes": [{"typeId": 3}]}]}]})
+            {"from": {"id": "824"}, "to": [{"toObjectId": 811, "associationTypes": [{"typeId": 3}]}]}]})
     return Feed.under(str(root), "contacts")
 
 
@@ -43,9 +43,9 @@ def people(house, *columns):
 def test_full_load_builds_every_table(spark, house, tmp_path):
     summary = sync_object(spark, landing(tmp_path), house, mark=JUNE)
     assert people(house, "firstname", "fivetran_deleted") == {
-        101: ("Juan", False), 102: ("María", False), 103: ("Carlos", False), 104: ("Ana", False)}
+        811: ("Ilse", False), 824: ("Noor", False), 839: ("Tariq", False), 852: ("Wren", False)}
     assert "hs_date_entered_77_a" in house.read("contact").columns
-    assert {tuple(r)[:3] for r in house.read("contact_meters").collect()} == {(101, 900, "1"), (101, 900, "2")}
+    assert {tuple(r)[:3] for r in house.read("contact_meters").collect()} == {(811, 900, "1"), (811, 900, "2")}
     assert house.read("contact_contact").columns[:2] == ["from_contact_id", "to_contact_id"]
     assert house.read("contact_companies").count() == 4
     assert house.read("contact_pipeline").count() == 1 and house.read("contact_pipeline_stage").count() == 2
@@ -60,38 +60,37 @@ def test_full_load_builds_every_table(spark, house, tmp_path):
 def test_full_load_marks_vanished_and_revives(spark, house, tmp_path):
     sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
     summary = sync_object(spark, landing(tmp_path / "b", PEOPLE[1:4]), house, force_full=True, mark=JULY)
-    assert summary.records_deleted == 1 and people(house, "fivetran_deleted", "fivetran_synced")[101] == (True, JULY)
+    assert summary.records_deleted == 1 and people(house, "fivetran_deleted", "fivetran_synced")[811] == (True, JULY)
     sync_object(spark, landing(tmp_path / "c"), house, force_full=True, mark=AUGUST)
-    assert people(house, "fivetran_deleted")[101] == (False,)
+    assert people(house, "fivetran_deleted")[811] == (False,)
 
 
 def test_incomplete_load_marks_nothing(spark, house, tmp_path):
     sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
     feed = landing(tmp_path / "b", PEOPLE[1:4])
-    land(tmp_path / "b" / "contacts" / "records", '{"results": [{"id": "101", ')
+    land(tmp_path / "b" / "contacts" / "records", '{"results": [{"id": "811", ')
     summary = sync_object(spark, feed, house, force_full=True, mark=JULY)
     assert summary.records_deleted == 0 and summary.status == "with_errors"
-    assert people(house, "fivetran_deleted")[101] == (False,)
+    assert people(house, "fivetran_deleted")[811] == (False,)
 
 
-@pytest.mark.parametrize("small_load", [0, 1000])
-def test_incremental_load(spark, house, tmp_path, small_load):
+def test_incremental_load(spark, house, tmp_path):
     sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
     changed = [
-        record("102", firstname="Maria", hs_lastmodifieddate="2024-06-10T00:00:00Z", associations={"deals": linked(("9", "1"))}),
-        record("103", firstname="stale", hs_lastmodifieddate="2024-06-09T23:59:59Z"),
-        record("201", firstname="Neu", hs_lastmodifieddate="2024-06-20T00:00:00Z"),
+        record("824", firstname="Maria", hs_lastmodifieddate="2024-06-10T00:00:00Z", associations={"deals": linked(("9", "1"))}),
+        record("839", firstname="stale", hs_lastmodifieddate="2024-06-09T23:59:59Z"),
+        record("4411", firstname="Neu", hs_lastmodifieddate="2024-06-20T00:00:00Z"),
     ]
-    gone = [{"id": "104", "archived": True, "archivedAt": "2024-06-15T00:00:00Z"},
-            {"id": "101", "archived": True, "archivedAt": "2024-06-01T00:00:00Z"}]
-    summary = sync_object(spark, landing(tmp_path / "b", changed, gone, links=False), house, small_load=small_load, mark=JULY)
+    gone = [{"id": "852", "archived": True, "archivedAt": "2024-06-15T00:00:00Z"},
+            {"id": "811", "archived": True, "archivedAt": "2024-06-01T00:00:00Z"}]
+    summary = sync_object(spark, landing(tmp_path / "b", changed, gone, links=False), house, mark=JULY)
     assert (summary.sync_mode, summary.records_fetched, summary.records_deleted) == ("incremental", 2, 1)
     assert people(house, "firstname", "fivetran_deleted") == {
-        101: ("Juan", False), 102: ("Maria", False), 103: ("Carlos", False), 104: ("Ana", True), 201: ("Neu", False)}
-    assert people(house, "lastname")[102] == (None,)
+        811: ("Ilse", False), 824: ("Maria", False), 839: ("Tariq", False), 852: ("Wren", True), 4411: ("Neu", False)}
+    assert people(house, "lastname")[824] == (None,)
     # Only the record that brought links has its links replaced.
     edges = {(r.from_id, r.to_type, r.to_id) for r in house.read("contact_edges").collect()}
-    assert (102, "deals", 9) in edges and (102, "companies", 202) not in edges and (101, "meters", 900) in edges
+    assert (824, "deals", 9) in edges and (824, "companies", 4425) not in edges and (811, "meters", 900) in edges
 
 
 def test_too_many_changes_mean_a_full_load(spark, house, tmp_path):
@@ -117,10 +116,10 @@ def test_full_after_incremental_equals_full_alone(spark, tmp_path):
 def test_new_columns_are_added(spark, house, tmp_path):
     sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
     more = [*CATALOG, {"name": "Teléfono", "type": "phone_number"}]
-    late = [record("101", **{"Teléfono": "555"}, hs_lastmodifieddate="2024-06-20T00:00:00Z")]
+    late = [record("811", **{"Teléfono": "555"}, hs_lastmodifieddate="2024-06-20T00:00:00Z")]
     summary = sync_object(spark, landing(tmp_path / "b", late, catalog=more), house, mark=JULY)
     assert summary.schema_changes == 1
-    assert people(house, "telefono")[101] == ("555",) and people(house, "telefono")[102] == (None,)
+    assert people(house, "telefono")[811] == ("555",) and people(house, "telefono")[824] == (None,)
 
 
 def test_failing_object_does_not_stop_the_rest(spark, house, tmp_path):
@@ -135,17 +134,79 @@ def test_failing_object_does_not_stop_the_rest(spark, house, tmp_path):
     assert house.read("sync_runs").where("status = 'healthy'").count() == 2
 
 
-def test_versions_switch_and_old_ones_go(spark, house):
-    for i in range(4):
+def test_versions_switch_and_old_ones_stay_until_vacuum(spark, house):
+    for i in range(3):
         house.publish(spark.range(i + 1), "t", ["id"], source=f"run{i}")
+        reader = reader if i else house.read("t")
     house.publish(spark.range(9), "q", ["id"], source="it's \\ odd")
     assert house.source("q") == "it's \\ odd"
-    assert (house.version("t"), house.source("t"), house.read("t").count()) == (4, "run3", 4)
-    tables = {r.name for r in spark.catalog.listTables(house.database)}
-    assert tables == {"t", "t__v3", "t__v4", "q", "q__v1"}
+    assert (house.version("t"), house.source("t"), house.read("t").count()) == (3, "run2", 3)
+    assert reader.count() == 1
+    assert house.vacuum() == []
+    assert len(house.vacuum(older_than=0)) == 2
+    tables = [r.name.split("_")[0] + r.name[1:5] for r in spark.catalog.listTables(house.database) if not r.isTemporary]
+    assert len(tables) == 4 and house.read("t").count() == 3
     assert house.version("unknown") == 0 and house.read("unknown") is None
 
 
+def test_a_second_run_on_one_table_fails(spark, house, monkeypatch):
+    house.publish(spark.range(1), "t", ["id"])
+    versions = iter([1, 2])
+    monkeypatch.setattr(house, "version", lambda name: next(versions))
+    with pytest.raises(ConcurrentPublish):
+        house.publish(spark.range(2), "t", ["id"])
+    monkeypatch.undo()
+    assert house.version("t") == 1 and house.read("t").count() == 1
+
+
+def edges(house):
+    return sorted((r.from_id, r.to_type, r.to_id) for r in house.read("contact_edges").collect())
+
+
+BROKEN = '{"results": [{"id": "811", '
+
+
+def test_incremental_run_keeps_unreadable_and_undated(spark, house, tmp_path):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    feed = landing(tmp_path / "b", [record("900", firstname="undated"), record("901", firstname="odd", hs_lastmodifieddate="?")])
+    land(tmp_path / "b" / "contacts" / "records", BROKEN)
+    summary = sync_object(spark, feed, house, mark=JULY)
+    assert (summary.status, summary.records_failed, summary.sync_mode) == ("with_errors", 1, "incremental")
+    assert {900, 901} <= set(people(house))
+    state = house.read("sync_state").collect()
+    assert [r.last_sync_timestamp for r in state] == [JUNE]
+    reject = house.read("sync_rejects").first()
+    assert (reject.error_type, reject.content.strip()) == ("JSONDecodeError", BROKEN.strip())
+    assert reject.page.endswith(".json")
+
+
+def test_full_run_over_an_empty_feed_changes_nothing(spark, house, tmp_path):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    before = edges(house)
+    summary = sync_object(spark, landing(tmp_path / "b", [], links=False), house, force_full=True, mark=JULY)
+    assert edges(house) == before and summary.records_deleted == 0
+    assert not any(deleted for (deleted,) in people(house, "fivetran_deleted").values())
+
+
+def test_incomplete_full_run_replaces_only_edges_it_saw(spark, house, tmp_path):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    before = edges(house)
+    feed = landing(tmp_path / "b", [record("824", firstname="Noor", associations={}, hs_lastmodifieddate="2024-06-20T00:00:00Z")], links=False)
+    land(tmp_path / "b" / "contacts" / "records", BROKEN)
+    sync_object(spark, feed, house, force_full=True, mark=JULY)
+    assert edges(house) == [e for e in before if e[0] != 824]
+
+
+def test_records_that_lose_all_links(spark, house, tmp_path):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    before = edges(house)
+    late = [record("811", associations={"companies": linked()}, hs_lastmodifieddate="2024-06-20T00:00:00Z"),
+            record("824", hs_lastmodifieddate="2024-06-20T00:00:00Z")]
+    sync_object(spark, landing(tmp_path / "b", late, links=False), house, mark=JULY)
+    # A record that came without any associations says nothing about them.
+    assert edges(house) == [e for e in before if e[0] != 811]
+
+
 def test_counts_do_not_grow_on_a_repeated_run(spark, house, tmp_path):
     feed = landing(tmp_path)
     sync_object(spark, feed, house, force_full=True, mark=JUNE)

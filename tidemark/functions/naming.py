@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.meta import MAX_NAME, MetaColumns
 from tidemark.operators.ordinal import occurrence_number
+from tidemark.session import write_once
 
 _KEPT = set(string.ascii_lowercase + string.digits + "_")
 
@@ -39,11 +40,16 @@ _FROM, _TO = _translate_table()
 
 
 def normalize_expr(text: Column) -> Column:
-    """snake_case ASCII form of a text column; null becomes the empty name."""
-    folded = F.translate(F.lower(text), _FROM, _TO)
+    """snake_case ASCII form of a text column; null becomes the empty name.
+
+    Text that is ASCII already needs no table of letters, and a name in this form nothing at all.
+    """
+    ascii_only = F.translate(F.lower(text), " -", "__")
+    folded = F.when(text.rlike(r"^[\x00-\x7F]*$"), ascii_only).otherwise(F.translate(F.lower(text), _FROM, _TO))
     kept = F.regexp_replace(folded, "[^a-z0-9_]", "")
     squeezed = F.regexp_replace(kept, "_{2,}", "_")
-    return F.coalesce(F.btrim(squeezed, F.lit("_")), F.lit(""))
+    done = F.coalesce(F.btrim(squeezed, F.lit("_")), F.lit(""))
+    return F.when(text.rlike("^[a-z0-9]+(_[a-z0-9]+)*$"), text).otherwise(done)
 
 
 def normalize_name(text: object) -> str:
@@ -74,13 +80,28 @@ def fit_names(names: Iterable[str], limit: int = MAX_NAME, taken: Iterable[str]
 def fit_names_frame(
     df: DataFrame, name: str, position: str, out: str = "final", limit: int = MAX_NAME
 ) -> DataFrame:
-    """Same rule over a column of names: the n-th holder of a cut name gets ``_n``."""
+    """Same rule over a column of names: the n-th holder of a cut name gets ``_n``, and goes on to the
+    next number while an earlier row holds that name.
+
+    Rows that clash are few; each pass moves all but the first holder of a name on by one, which
+    ends where numbering row after row ends, as an earlier row always keeps its name. ``position``
+    must be unique.
+    """
     cut = df.withColumn("_cut", F.substring(F.col(name), 1, limit))
     numbered = occurrence_number(cut, ["_cut"], [position], out="_nth", costly=True)
     suffix = F.concat(F.lit("_"), F.col("_nth").cast("string"))
     head = F.col("_cut").substr(F.lit(1), F.lit(limit) - F.length(suffix))
     fitted = F.when(F.col("_nth") == 1, F.col("_cut")).otherwise(F.concat(head, suffix))
-    return numbered.withColumn(out, fitted).drop("_cut", "_nth")
+    while True:
+        named = write_once(numbered.withColumn(out, fitted), "names")
+        held = named.groupBy(out).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_holders"))
+        clash = held.where("_holders > 1").select(F.col(out).alias("_clash"), "_first")
+        if clash.isEmpty():
+            return named.drop("_cut", "_nth")
+        late = F.col("_clash").isNotNull() & (F.col(position) > F.col("_first"))
+        met = named.join(clash, F.col(out) == F.col("_clash"), "left")
+        moved = met.withColumn("_nth", F.col("_nth") + late.cast("long"))
+        numbered = moved.drop(out, "_clash", "_first")
 
 
 @dataclass(frozen=True)

@@ -23,6 +23,9 @@ STAGE_PREFIXES = [
 ]
 
 EDGE_KEY = ["from_id", "to_type", "to_id", "type_id"]
+#: Edge tables are bucketed by these; a from-id's edges are dealt over so many salts.
+EDGE_PLACE = ["from_id", "_salt"]
+EDGE_SALTS = 8
 
 
 @dataclass(frozen=True)

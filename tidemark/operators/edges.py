@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casts import parse_id
 from tidemark.functions.naming import edge_columns, normalize_expr
-from tidemark.meta import DEFAULT_CATEGORY, EDGE_KEY
+from tidemark.meta import DEFAULT_CATEGORY, EDGE_KEY, EDGE_PLACE, EDGE_SALTS
 from tidemark.operators.merge import keep_last, replace_where_listed, upsert
 
 
@@ -15,13 +15,12 @@ ITEM = "struct<id:string, type:string, category:string>"
 LINKS = f"map<string, struct<results:array<{ITEM}>>>"
 
 
-def _links(text: Column) -> Column:
+def _links(text: Column, strict: Column) -> Column:
     """Association JSON as a map of item lists.
 
     One strict parse does for sound text. Where that leaves a gap (a value that is no object, an
     item that is none), the text is taken apart level by level, so that only the odd part is lost.
     """
-    strict = F.from_json(text, LINKS)
     gap = F.exists(F.map_values(strict), lambda v: v.isNotNull() & v["results"].isNull())
     loose = F.transform_values(
         F.from_json(text, "map<string,string>"),
@@ -44,16 +43,25 @@ def normalize_edges(records: DataFrame, order: str = "_ord") -> DataFrame:
     ``associations`` is JSON text of an object of lists; values that are no object and items
     without an id are passed over.
     """
-    entries = records.select(
+    # The strict parse has a projection of its own, so that the generator reads it and parses nothing.
+    parsed = records.select(
         parse_id(F.col("id")).alias("from_id"),
         F.col(order).alias("_rec"),
-        F.explode_outer(_links(F.col("associations"))).alias("_type", "_value"),
+        "associations",
+        F.from_json("associations", LINKS).alias("_strict"),
+    )
+    entries = parsed.select(
+        "from_id",
+        "_rec",
+        F.explode_outer(_links(F.col("associations"), F.col("_strict"))).alias("_type", "_value"),
     ).where(F.col("_type").isNotNull())
-    items = entries.select(
+    # Names are normalised per entry, below the second generator.
+    named = entries.select("from_id", "_rec", "_type", normalize_expr(F.col("_type")).alias("to_type"), "_value")
+    items = named.select(
         "from_id",
         "_rec",
         "_type",
-        normalize_expr(F.col("_type")).alias("to_type"),
+        "to_type",
         F.posexplode_outer("_value.results").alias("_at", "_i"),
     )
     return items.where(F.col("_i.id").isNotNull()).select(
@@ -126,15 +134,22 @@ def merge_edges(target: DataFrame, load: DataFrame) -> DataFrame:
     return upsert(target, load, EDGE_KEY)
 
 
-def replace_edges_of(
-    target: DataFrame,
-    load: DataFrame,
-    changed: DataFrame,
-    small: int = 0,
-    partitions: int | None = None,
-) -> DataFrame:
-    """All edges of the changed records (column ``from_id``) become the load's edges."""
-    return replace_where_listed(target, load, "from_id", changed, small, partitions, EDGE_KEY)
+def salted(edges: DataFrame) -> DataFrame:
+    """Edges with ``_salt``: the edges of one record lie in up to ``EDGE_SALTS`` buckets."""
+    return edges.withColumn("_salt", F.pmod(F.xxhash64("to_id"), F.lit(EDGE_SALTS)).cast("int"))
+
+
+def replace_edges_of(target: DataFrame, load: DataFrame, changed: DataFrame) -> DataFrame:
+    """All edges of the changed records (column ``from_id``) become the load's edges.
+
+    A target with salts is met on both columns that it is bucketed by, so it stays in place: each
+    listed record comes once for every salt.
+    """
+    if "_salt" not in target.columns:
+        return replace_where_listed(target, load, ["from_id"], changed)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(EDGE_SALTS - 1))).alias("_salt")
+    listed = changed.select("from_id").distinct().select("from_id", salts)
+    return replace_where_listed(target, salted(load), EDGE_PLACE, listed)
 
 
 def edge_table(edges: DataFrame, own: str, to_type: str) -> DataFrame:

@@ -47,11 +47,6 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*picks).select(*[value(c) for c in df.columns])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counting stops soon after the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _incoming(load: DataFrame) -> DataFrame:
     renamed = [F.col(c).alias(f"_in_{c}") for c in load.columns]
     return load.select(*renamed, F.lit(True).alias("_in"))
@@ -145,15 +140,12 @@ def apply_changes(
     gone: DataFrame,
     mark: datetime,
     meta: MetaColumns = MetaColumns(),
-    small: int = 0,
-    partitions: int | None = None,
     guard: str | None = None,
 ) -> DataFrame:
     """Upsert changed rows, then mark the ids in ``gone`` as deleted, in one pass over the target.
 
-    Up to ``small`` changes (counted first) are broadcast: the target is read in place and new rows
-    are appended, in ``partitions`` partitions by key. More changes meet the target in a full outer
-    join, in which a bucketed target is not shuffled either. ``guard`` is that of :func:`upsert`.
+    The changes meet the target in a full outer join, in which a bucketed target is not shuffled.
+    ``guard`` is that of :func:`upsert`.
     """
     key = meta.id
     listed = gone.select(F.col(key).alias("_gone_id")).distinct()
@@ -162,41 +154,11 @@ def apply_changes(
     loaded, doomed = F.col("_in").isNotNull(), F.col("_gone_id").isNotNull()
     values = _tombstone(_merged(target, load, [key], loaded & _newer(guard)), doomed, mark, meta)
 
-    if small <= 0 or not fits_broadcast(changes, small):
-        joined = target.withColumn("_cur", F.lit(True)).join(changes, _same_key([key]), "full_outer")
-        return _select(joined.where(F.col("_cur").isNotNull() | loaded), values)
-
-    rewritten = _select(target.join(F.broadcast(changes), _same_key([key]), "left"), values)
-    known = target.select(key).join(
-        F.broadcast(changes.select(F.col(f"_in_{key}").alias(key))), key, "left_semi"
-    )
-    fresh = changes.where(loaded).join(
-        F.broadcast(known.select(F.col(key).alias("_known"))), F.col(f"_in_{key}") == F.col("_known"), "left_anti"
-    )
-    fresh = fresh.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema])
-    fresh = _select(fresh, values)
-    if partitions:
-        fresh = fresh.repartition(partitions, key)
-    return rewritten.unionByName(fresh)
-
-
-def replace_where_listed(
-    target: DataFrame,
-    load: DataFrame,
-    on: str,
-    listed: DataFrame,
-    small: int = 0,
-    partitions: int | None = None,
-    by: list[str] | None = None,
-) -> DataFrame:
-    """Swap all target rows whose ``on`` value is listed for the load's rows.
+    joined = target.withColumn("_cur", F.lit(True)).join(changes, _same_key([key]), "full_outer")
+    return _select(joined.where(F.col("_cur").isNotNull() | loaded), values)
 
-    Up to ``small`` listed values (counted first) are broadcast, so that the target stays where it
-    is; the load then comes in ``partitions`` partitions by ``by``.
-    """
-    values = listed.select(on).distinct()
-    if small > 0 and fits_broadcast(values, small):
-        values = F.broadcast(values)
-    if partitions:
-        load = load.repartition(partitions, *(by or [on]))
+
+def replace_where_listed(target: DataFrame, load: DataFrame, on: list[str], listed: DataFrame) -> DataFrame:
+    """Swap all target rows whose ``on`` values are listed for the load's rows."""
+    values = listed.select(*on).distinct()
     return target.join(values, on, "left_anti").unionByName(load, allowMissingColumns=True)

@@ -97,6 +97,34 @@ def split_rejects(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, flat.where(F.col("_bad_id").isNotNull())
 
 
+REJECT = (
+    "object_type STRING, rejected_at TIMESTAMP_NTZ, id_text STRING, page STRING, error_type STRING,"
+    " message STRING, class STRING, content STRING"
+)
+
+
+def reject_rows(staged: DataFrame, object_type: str, mark: datetime) -> DataFrame:
+    """What a load could not take, one row each, as :data:`REJECT`: unusable ids, unreadable pages.
+
+    ``staged`` is the output of :func:`flatten_records` with ``_ord`` and ``_corrupt`` carried along.
+    """
+    broken = F.col("_corrupt").isNotNull()
+    kind = F.when(broken, "JSONDecodeError").otherwise("ValueError")
+    message = F.when(broken, "unreadable page").otherwise(
+        F.concat(F.lit('no whole number: "'), F.col("_bad_id"), F.lit('"'))
+    )
+    return staged.where(broken | F.col("_bad_id").isNotNull()).select(
+        F.lit(object_type).alias("object_type"),
+        at(mark).alias("rejected_at"),
+        F.col("_bad_id").alias("id_text"),
+        F.col("_ord._page.file").alias("page"),
+        kind.alias("error_type"),
+        message.alias("message"),
+        classify_error(kind, message).alias("class"),
+        F.col("_corrupt").alias("content"),
+    )
+
+
 def classify_error(kind: Column, message: Column) -> Column:
     """Load-error class from an error's type name and message; the first class that fits wins."""
     text = F.lower(message)

@@ -29,13 +29,15 @@ def last_mark(log: DataFrame, object_type: str) -> datetime | None:
 
 
 def modified_since(
-    records: DataFrame, modified: Column, since: datetime, ordered: bool = False
+    records: DataFrame, modified: Column, since: datetime, ordered: bool = False, undated: bool = False
 ) -> DataFrame:
     """Records changed at or after ``since``; sorted by change time only on request.
 
-    Merges do not need the order, so the global sort is left out by default.
+    Merges do not need the order, so the global sort is left out by default. With ``undated`` rows
+    without a readable time count as changed, unreadable pages among them.
     """
-    changed = records.where(modified >= instant(since))
+    recent = modified >= instant(since)
+    changed = records.where(recent | modified.isNull() if undated else recent)
     return changed.orderBy(modified) if ordered else changed
 
 

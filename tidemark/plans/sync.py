@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.casts import parse_instant
+from tidemark.functions.casts import parse_id, parse_instant
 from tidemark.functions.naming import (
     ColumnPlan,
     edge_columns,
@@ -19,7 +19,7 @@ from tidemark.functions.naming import (
     normalize_name,
     plan_columns,
 )
-from tidemark.meta import EDGE_KEY, MetaColumns
+from tidemark.meta import EDGE_PLACE, MetaColumns
 from tidemark.operators import edges as E
 from tidemark.operators import hierarchy as H
 from tidemark.operators import merge as M
@@ -28,7 +28,7 @@ from tidemark.operators import resolve as R
 from tidemark.operators import state as S
 from tidemark.operators import tombstones as X
 from tidemark.operators.evolve import align, new_columns
-from tidemark.operators.records import at, flatten_records, run_mark, split_rejects
+from tidemark.operators.records import REJECT, at, flatten_records, reject_rows, run_mark, split_rejects
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import collect_catalog, write_once
 from tidemark.sources import pages as G
@@ -109,22 +109,22 @@ def read_catalog(spark: SparkSession, feed: Feed, meta: MetaColumns = MetaColumn
     return Catalog(table, columns, link_names, trees)
 
 
-def read_links(spark: SparkSession, feed: Feed, names: DataFrame) -> DataFrame:
-    """Edges from link-batch pages, which land per target type id (``to_type=<id>`` folders)."""
-    pages = G.read_pages(spark, feed.links, G.LINK_BATCH)
+def read_links(
+    spark: SparkSession, feed: Feed, names: DataFrame, landed_after: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Edges from link-batch pages, which land per target type id (``to_type=<id>`` folders), and
+    the ``from_id`` of every record that the pages name, links or not."""
+    pages = G.read_pages(spark, feed.links, G.LINK_BATCH, landed_after=landed_after)
     if "to_type" not in pages.columns:
         pages = pages.withColumn("to_type", F.lit(None).cast("string"))
     batches = pages.select("_page", "to_type", F.posexplode("results").alias("_pos", "_result"))
     batches = batches.select("_result.*", "to_type", F.struct("_page", "_pos").alias("_ord"))
-    named = {
-        r.type_id: normalize_name(r.name) for r in collect_catalog(names.select("type_id", "name"))
-    }
+    # Type names meet the pages by a join: there may be any number of link types.
+    named = names.select(F.col("type_id").alias("_type_id"), normalize_expr(F.col("name")).alias("_type_name"))
     raw = F.col("to_type").cast("string")
-    to_type = normalize_expr(raw)
-    if named:
-        by_id = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
-        to_type = F.coalesce(by_id[raw], to_type)
-    return E.flatten_links(batches, to_type)
+    batches = batches.join(named.dropDuplicates(["_type_id"]), raw == F.col("_type_id"), "left")
+    sources = batches.select(parse_id(F.col("from.id")).alias("from_id")).where("from_id is not null")
+    return E.flatten_links(batches, F.coalesce("_type_name", normalize_expr(raw))), sources
 
 
 def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta: MetaColumns) -> tuple[int, int]:
@@ -141,26 +141,37 @@ def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta:
 
 
 def _publish_edges(
-    house: Warehouse, catalog: Catalog, found: DataFrame, mode: str, small: int, meta: MetaColumns
+    house: Warehouse, catalog: Catalog, found: DataFrame, touched: DataFrame, whole: bool, meta: MetaColumns
 ) -> int:
-    """All edges of the object in one table, and a view per target type under its own names."""
+    """All edges of the object in one table, and a view per target type under its own names.
+
+    A ``whole`` load replaces the table; any other one replaces the edges of the records that it
+    ``touched``, whether it brought links for them or not.
+    """
     name = f"{catalog.table}_edges"
     fresh = E.dedupe_edges(found, ["_src", "_ord"]).drop("_src", "_ord")
     current = house.read(name)
-    merge = current is not None and mode == "incremental"
+    merge = current is not None and not whole
     if merge:
-        # Only records whose links came along are replaced; a feed without links changes none.
-        fresh = E.replace_edges_of(current, fresh, found, small, house.buckets)
-    published = house.publish(fresh, name, EDGE_KEY, placed=merge)
-    types = sorted(r.to_type for r in collect_catalog(published.select("to_type").distinct()))
+        fresh = E.salted(fresh).repartition(house.buckets, *EDGE_PLACE)
+        fresh = E.replace_edges_of(current, fresh, touched)
+    else:
+        fresh = E.salted(fresh)
+    # The views are planned before anything is switched.
+    held = fresh if current is None else current.select("to_type").union(found.select("to_type"))
+    listed = collect_catalog(held.select("to_type").distinct())
+    types = sorted({r.to_type or "" for r in listed})
     taken = [name, f"{catalog.table}_pipeline", f"{catalog.table}_pipeline_stage"]
     views = fit_names([f"{catalog.table}_{t}" for t in types], taken=taken)
+    house.publish(fresh, name, EDGE_PLACE, placed=merge, partition_by=["to_type"])
     for to_type, view in zip(types, views):
         from_col, to_col = edge_columns(catalog.table, to_type)
+        # An empty folder name reads back as null.
+        of_type = f"to_type = '{to_type}'" if to_type else "to_type IS NULL"
         house.spark.sql(
             f"CREATE OR REPLACE VIEW {house.qualified(view)} AS SELECT from_id AS `{from_col}`,"
             f" to_id AS `{to_col}`, type_id, category, `{meta.synced}`"
-            f" FROM {house.qualified(name)} WHERE to_type = '{to_type}'"
+            f" FROM {house.qualified(name)} WHERE {of_type}"
         )
     return len(types)
 
@@ -171,28 +182,39 @@ def sync_object(
     house: Warehouse,
     force_full: bool = False,
     max_changes: int | None = None,
-    small_load: int = 100_000,
     mark: datetime | None = None,
+    overlap: timedelta | None = timedelta(days=1),
     meta: MetaColumns = MetaColumns(),
 ) -> Row:
     """Bring one object's tables up to date and return its run summary.
 
     Data is published first and the mark saved last, so a failed run is simply repeated. All
     counters are read off written tables and stay right when tasks are retried.
+
+    An incremental run opens only files that landed since the saved mark less ``overlap`` (all, if
+    that is ``None``). Rows without a readable change time count as changed. Unreadable pages and
+    unusable ids go to ``sync_rejects``; a run that met any is incomplete: it marks no vanished rows,
+    replaces only edges of records that it saw, and leaves the mark where it was, so the next run
+    reads the same span again. A load without a row changes neither records nor edges.
     """
     started = time.monotonic()
     mark = mark or run_mark()
     catalog = read_catalog(spark, feed, meta)
     since = S.last_mark(house.log("sync_state", S.STATE), feed.object_type)
 
-    pages = G.read_pages(spark, feed.records)
-    records = G.active_records(G.explode_results(pages, keep_unreadable=True))
-    mode = S.choose_mode(since, force_full=force_full)
+    def landed(after: str | None) -> DataFrame:
+        pages = G.read_pages(spark, feed.records, landed_after=after)
+        return G.active_records(G.explode_results(pages, keep_unreadable=True))
+
+    mode, after = S.choose_mode(since, force_full=force_full), None
     if mode == "incremental":
+        after = (since - overlap).strftime("%Y-%m-%dT%H:%M:%S") if overlap is not None else None
         modified = parse_instant(F.get_json_object("properties", f"$.{meta.modified}"))
-        changed = S.modified_since(records, modified, since)
-        mode = S.choose_mode(since, S.exceeds(changed, max_changes))
-        records = changed if mode == "incremental" else records
+        records = S.modified_since(landed(after), modified, since, undated=True)
+        mode = S.choose_mode(since, S.exceeds(records, max_changes))
+    if mode == "full":
+        after = None
+        records = landed(None)
 
     # The pages are parsed once; everything after reads this table.
     staged = write_once(
@@ -205,11 +227,12 @@ def sync_object(
     load = M.keep_last(good.drop("id", "associations", "_corrupt"), [meta.id], ["_ord"]).drop("_ord")
     tally = staged.agg(
         F.count(F.lit(1)).alias("fetched"),
-        F.count_if(F.col("_bad_id").isNotNull()).alias("failed"),
-        F.count_if(F.col("_corrupt").isNotNull()).alias("unreadable"),
+        F.count_if(F.col("_bad_id").isNotNull() | F.col("_corrupt").isNotNull()).alias("failed"),
     ).first()
     failed, fetched = tally.failed, tally.fetched
-    complete = failed == 0 and tally.unreadable == 0
+    complete = failed == 0
+    if failed:
+        house.append(reject_rows(staged, feed.object_type, mark), "sync_rejects", REJECT)
 
     pipelines, stages = publish_pipelines(house, catalog, mark, meta)
 
@@ -221,10 +244,9 @@ def sync_object(
         added = new_columns(target.schema, load.schema)
         load = align(load, target.schema)
         if mode == "incremental":
-            gone = X.archived_since(G.explode_results(G.read_pages(spark, feed.archived)), since, meta)
-            # Both are read several times below; a change feed is small next to the target.
-            load, gone = write_once(load, "load"), write_once(gone.distinct(), "gone")
-            new = M.apply_changes(target, load, gone, mark, meta, small_load, house.buckets)
+            archived = G.read_pages(spark, feed.archived, landed_after=after)
+            gone = X.archived_since(G.explode_results(archived), since, meta)
+            new = M.apply_changes(target, load, gone, mark, meta)
         elif complete:
             new = M.full_sync(target, load, mark, meta, seen=good)
         else:
@@ -232,10 +254,18 @@ def sync_object(
     published = house.publish(new, catalog.table, [meta.id], placed=target is not None)
 
     inline = E.normalize_edges(good).withColumn("_src", F.lit(0))
-    linked = E.attach_edges(read_links(spark, feed, catalog.link_names), good.select(meta.id), meta.id)
+    links, sources = read_links(spark, feed, catalog.link_names, after)
+    linked = E.attach_edges(links, good.select(meta.id), meta.id)
     found = E.usable_edges(inline.unionByName(linked.withColumn("_src", F.lit(1))))
     found = write_once(found.withColumn(meta.synced, at(mark)), "edges")
-    tables = _publish_edges(house, catalog, found, mode, small_load, meta)
+    # Records whose links this run has read, even if there were none.
+    told = good.where(F.ltrim("associations").startswith("{")).select(parse_id(F.col("id")).alias("from_id"))
+    named = E.attach_edges(sources, good.select(meta.id), meta.id)
+    touched = told.union(named).where("from_id is not null")
+    seen = not good.isEmpty()
+    tables = 0
+    if seen or house.read(f"{catalog.table}_edges") is None:
+        tables = _publish_edges(house, catalog, found, touched, mode == "full" and complete and seen, meta)
 
     of_run = published.where(F.col(meta.synced) == at(mark))
     counts = of_run.agg(
@@ -244,7 +274,7 @@ def sync_object(
     ).first()
     summary = Row(
         object_type=feed.object_type,
-        status="healthy" if failed == 0 else "with_errors",
+        status="healthy" if complete else "with_errors",
         duration_seconds=round(time.monotonic() - started, 2),
         records_fetched=fetched,
         records_processed_ok=fetched - failed,
@@ -261,13 +291,14 @@ def sync_object(
         sync_mode=mode,
         finished_at=run_mark(),
     )
-    state = spark.createDataFrame([(feed.object_type, fetched, mode)], "o string, n bigint, m string")
-    saved = at(mark).cast("timestamp")
-    house.append(
-        state.select("o", saved.alias("t"), "n", "m", F.current_timestamp().alias("u")),
-        "sync_state",
-        S.STATE,
-    )
+    if complete:
+        state = spark.createDataFrame([(feed.object_type, fetched, mode)], "o string, n bigint, m string")
+        saved = at(mark).cast("timestamp")
+        house.append(
+            state.select("o", saved.alias("t"), "n", "m", F.current_timestamp().alias("u")),
+            "sync_state",
+            S.STATE,
+        )
     house.append(spark.createDataFrame([summary], P.SUMMARY), "sync_runs", P.SUMMARY)
     return summary
 

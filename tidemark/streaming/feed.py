@@ -8,25 +8,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.meta import MetaColumns
 from tidemark.operators.merge import apply_changes, keep_last, upsert
-from tidemark.operators.records import run_mark
+from tidemark.operators.records import REJECT, reject_rows, run_mark
 from tidemark.operators.tombstones import mark_listed
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources.pages import RECORD, page_type
 
 
 def stream_pages(spark: SparkSession, path: str, result: str = RECORD, files_per_batch: int = 1000) -> DataFrame:
-    """Landed pages as a stream; results keep their file and place in the page."""
+    """Landed pages as a stream; results keep their file.
+
+    A page that cannot be read comes as a row of its own with its text in ``_corrupt``. The order of
+    results within a file is that in which the rows of a micro-batch come (see :func:`stream_upsert`).
+    """
     pages = (
         spark.readStream.schema(page_type(result))
         .option("columnNameOfCorruptRecord", "_corrupt")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(path)
     )
-    placed = pages.select(
-        F.struct("_metadata.file_path", "_metadata.file_block_start").alias("_page"),
-        F.posexplode("results").alias("_pos", "_result"),
+    page = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     )
-    return placed.select("_result.*", F.struct("_page", "_pos").alias("_ord"))
+    placed = pages.select(
+        page.alias("_page"), "_corrupt", F.posexplode_outer("results").alias("_pos", "_result")
+    ).where(F.col("_pos").isNotNull() | F.col("_corrupt").isNotNull())
+    return placed.select("_result.*", F.struct("_page").alias("_ord"), "_corrupt")
 
 
 def stream_upsert(
@@ -40,11 +46,14 @@ def stream_upsert(
     archived: Column | None = None,
     meta: MetaColumns = MetaColumns(),
     available_now: bool = True,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Start upserting a stream into ``house``.``table``; late rows lose against ``guard``.
 
-    Each micro-batch is reduced to its last row per key and merged. The published version names
-    the batch it came from, so a batch replayed after a failure is recognised and skipped. Rows
+    Each micro-batch is reduced to its last row per key and merged; rows that tie in ``order`` rank by
+    their place in the batch, which within a file is that in the file. The published version names
+    the batch it came from, so a batch replayed after a failure is recognised and skipped. With
+    ``rejects`` rows that carry ``_bad_id`` or ``_corrupt`` go to that table instead. Rows
     for which ``archived`` holds only mark their target row as deleted; such a table is keyed by
     its id column.
     """
@@ -55,8 +64,12 @@ def stream_upsert(
         source = f"{checkpoint}#{batch_id}"
         if house.source(table) == source:
             return
+        batch = batch.withColumn("_seq", F.monotonically_increasing_id())
+        if rejects:
+            house.append(reject_rows(batch, table, run_mark()), rejects, REJECT)
+            batch = batch.where("_bad_id IS NULL").drop("_bad_id", "_corrupt")
         live = batch if archived is None else batch.where(~archived)
-        load = keep_last(live, keys, order)
+        load = keep_last(live, keys, [*order, "_seq"]).drop("_seq")
         target = house.read(table)
         if archived is None:
             new = load if target is None else upsert(target, load, keys, guard)

@@ -202,6 +202,5 @@ def evolved_table(t: Tables) -> DataFrame:
     ]
     for load in loads:
         add_columns(t.spark, table, load.schema)
-        load.createOrReplaceTempView("evolving_load")
-        t.spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM evolving_load")
+        t.spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{load}}", load=load)
     return t.spark.table(table).select("id", "deleted", "segment", "balance")
