@@ -48,7 +48,34 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made(spark)[0].append(path)
+    return path
+
+
+#: Folders and databases made for intermediate results, by the application that made them.
+_MADE: dict[str, tuple[list[str], list[str]]] = {}
+
+
+def _made(spark: SparkSession) -> tuple[list[str], list[str]]:
+    return _MADE.setdefault(spark.sparkContext.applicationId, ([], []))
+
+
+def scratch_database(spark: SparkSession, name: str) -> str:
+    """Note a database that :func:`clean_scratch` is to drop."""
+    _made(spark)[1].append(name)
+    return name
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate folders and databases; results that read them must have been used."""
+    folders, databases = _made(spark)
+    while databases:
+        spark.sql(f"DROP DATABASE IF EXISTS `{databases.pop()}` CASCADE")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    while folders:
+        path = hadoop.Path(folders.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def write_once(df: DataFrame, purpose: str) -> DataFrame:

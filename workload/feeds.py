@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.sync import Feed, sync_object
 from tidemark.plans.warehouse import Warehouse, buckets_for
-from tidemark.session import scratch_dir
-from tidemark.streaming.feed import stream_upsert
+from tidemark.session import scratch_database, scratch_dir
+from tidemark.functions.naming import plan_columns
+from tidemark.operators.records import flatten_records
+from tidemark.streaming.feed import stream_pages, stream_upsert
 from workload.registry import Tables, day, iso, query, text
 
 SPLIT = "1998-06-01"
@@ -18,7 +20,7 @@ SPLIT = "1998-06-01"
 
 def fresh_warehouse(t: Tables, purpose: str, sized_like: DataFrame) -> tuple[Warehouse, str]:
     folder = scratch_dir(t.spark, purpose)
-    database = f"{purpose}_{folder.rsplit('-', 1)[1]}"
+    database = scratch_database(t.spark, f"{purpose}_{folder.rsplit('-', 1)[1]}")
     return Warehouse(t.spark, database, f"{folder}/tables", buckets_for(sized_like)), folder
 
 
@@ -28,7 +30,7 @@ def fresh_warehouse(t: Tables, purpose: str, sized_like: DataFrame) -> tuple[War
 def stream_upsert_latest(t: Tables) -> DataFrame:
     house, folder = fresh_warehouse(t, "stream", t.events)
     landed = t.events.select("user_id", "event_id", "value", "ts")
-    landed.repartition(4).write.parquet(f"{folder}/landed")
+    landed.write.parquet(f"{folder}/landed")
     rows = (
         t.spark.readStream.schema(landed.schema)
         .option("maxFilesPerTrigger", 2)
@@ -41,8 +43,11 @@ def stream_upsert_latest(t: Tables) -> DataFrame:
     return house.read("latest").select("user_id", "event_id", "value")
 
 
-def land(t: Tables, folder: str, orders: DataFrame) -> None:
-    """Orders as landed pages of records with links to their customers, plus the catalogs."""
+def land(t: Tables, folder: str, orders: DataFrame, broken: Column | None = None) -> None:
+    """Orders as landed pages of records with links to their customers, plus the catalogs.
+
+    Where ``broken`` holds the page stops after half of its text.
+    """
     record = F.struct(
         text("o_orderkey").alias("id"),
         F.struct(
@@ -56,7 +61,10 @@ def land(t: Tables, folder: str, orders: DataFrame) -> None:
         ).alias("associations"),
         F.lit(False).alias("archived"),
     )
-    pages = orders.select(F.to_json(F.struct(F.array(record).alias("results"))))
+    page = F.to_json(F.struct(F.array(record).alias("results")))
+    if broken is not None:
+        page = F.when(broken, page.substr(F.lit(1), F.floor(F.length(page) / 2).cast("int"))).otherwise(page)
+    pages = orders.select(page)
     pages.write.text(f"{folder}/orders/records")
     gone = t.orders.where(F.col("o_orderstatus") == "P").select(
         F.struct(text("o_orderkey").alias("id"), F.lit(True).alias("archived")).alias("r")
@@ -104,3 +112,160 @@ def sync_two_runs(t: Tables) -> DataFrame:
 def sync_edge_view(t: Tables) -> DataFrame:
     house = two_runs(t)
     return house.read("order_customers").drop("fivetran_synced")
+
+
+@query("""
+    SELECT count(*) FILTER (early)::BIGINT AS records_fetched, count(*) FILTER (early)::BIGINT AS db_upserts,
+           0::BIGINT AS records_failed, 0::BIGINT AS records_deleted,
+           count(*) FILTER (early)::BIGINT AS associations_found, 'full' AS sync_mode, 'healthy' AS status
+    FROM (SELECT *, o_orderdate < TIMESTAMP '1998-06-01' AS early FROM orders)
+    UNION ALL
+    SELECT count(*) FILTER (late), count(*) FILTER (late AND o_orderstatus <> 'P'), 0,
+           count(*) FILTER (o_orderstatus = 'P'), count(*) FILTER (late), 'incremental', 'healthy'
+    FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-06-01' AS late FROM orders)""")
+def sync_run_log(t: Tables) -> DataFrame:
+    """The counters that two runs wrote down."""
+    return two_runs(t).read("sync_runs").select(
+        "records_fetched", "db_upserts", "records_failed", "records_deleted", "associations_found", "sync_mode", "status"
+    )
+
+
+def incomplete_run(t: Tables) -> Warehouse:
+    """A sound full run, then a full run in which orders are missing and pages are broken."""
+    house, folder = fresh_warehouse(t, "incomplete", t.orders)
+    early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
+    land(t, f"{folder}/first", t.orders.where(early))
+    key = F.col("o_orderkey")
+    land(t, f"{folder}/second", t.orders.where(key % 5 != 0), broken=key % 7 == 0)
+    sync_object(t.spark, Feed.under(f"{folder}/first", "orders"), house, mark=datetime(1998, 6, 1))
+    second = Feed.under(f"{folder}/second", "orders")
+    sync_object(t.spark, second, house, force_full=True, mark=datetime(2002, 1, 1))
+    return house
+
+
+@query("""
+    WITH o AS (SELECT *, o_orderdate < TIMESTAMP '1998-06-01' AS early,
+                      o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AS seen FROM orders)
+    SELECT o_orderkey AS id, false AS deleted,
+           CASE WHEN seen THEN '2002-01-01' ELSE '1998-06-01' END AS synced_on,
+           o_custkey AS customer, CASE WHEN seen THEN '2002-01-01' ELSE '1998-06-01' END AS edge_synced_on,
+           '1998-06-01' AS saved_mark
+    FROM o WHERE early OR seen""")
+def sync_incomplete_run(t: Tables) -> DataFrame:
+    """Nothing is marked, no edge of an unseen record goes, and the mark stays."""
+    house = incomplete_run(t)
+    edges = house.read("order_customers").select(
+        F.col("order_id").alias("id"), F.col("customers_id").alias("customer"), day("fivetran_synced").alias("edge_synced_on")
+    )
+    saved = house.read("sync_state").agg(day(F.max("last_sync_timestamp")).alias("saved_mark"))
+    main = house.read("order").select(
+        F.col("hs_object_id").alias("id"),
+        F.col("fivetran_deleted").alias("deleted"),
+        day("fivetran_synced").alias("synced_on"),
+    )
+    # One row: the saved mark of one object type.
+    return main.join(edges, "id", "left").withColumn("saved_mark", F.lit(saved.first().saved_mark))
+
+
+@query("""
+    SELECT o_orderkey AS id, 'JSONDecodeError' AS error_type, 'unknown' AS class, '2002-01-01' AS rejected_on
+    FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0""")
+def sync_rejects(t: Tables) -> DataFrame:
+    rejects = incomplete_run(t).read("sync_rejects")
+    return rejects.select(
+        F.regexp_extract("content", '"id":"([0-9]+)"', 1).cast("bigint").alias("id"),
+        "error_type",
+        "class",
+        day("rejected_at").alias("rejected_on"),
+    )
+
+
+@query("""
+    SELECT o_orderkey AS id, 'second' AS version, o_orderstatus = 'P' AS deleted FROM orders""")
+def stream_pages_sync(t: Tables) -> DataFrame:
+    """A stream of pages: two versions with one time, archived records, and broken pages between."""
+    house, folder = fresh_warehouse(t, "pages", t.orders)
+
+    def page(version: str, archived: bool) -> Column:
+        props = F.struct(F.lit(version).alias("version"), iso("o_orderdate").alias("hs_lastmodifieddate"))
+        record = F.struct(text("o_orderkey").alias("id"), props.alias("properties"), F.lit(archived).alias("archived"))
+        return F.to_json(F.struct(F.array(record).alias("results")))
+
+    lines = F.array_compact(
+        F.array(
+            page("first", False),
+            F.when(F.col("o_orderkey") % 7 == 0, F.lit('{"results": [{"id": "1", ')),
+            page("second", False),
+            F.when(F.col("o_orderstatus") == "P", page("gone", True)),
+        )
+    )
+    t.orders.select(F.array_join(lines, "\n")).write.text(f"{folder}/records")
+    columns = plan_columns([("version", "string"), ("hs_lastmodifieddate", "datetime")])
+    rows = flatten_records(
+        stream_pages(t.spark, f"{folder}/records", files_per_batch=2), columns, datetime(2002, 1, 1), carry=("_ord", "_corrupt")
+    )
+    stream = stream_upsert(
+        rows, house, "orders", ["hs_object_id"], ["hs_lastmodifieddate", "_ord"], f"{folder}/checkpoint",
+        guard="hs_lastmodifieddate", archived=F.col("fivetran_deleted"), rejects="rejects",
+    )
+    stream.awaitTermination()
+    return house.read("orders").select(
+        F.col("hs_object_id").alias("id"), "version", F.col("fivetran_deleted").alias("deleted")
+    )
+
+
+@query("""
+    SELECT event_id, '{"kind":"' || event_type || '","user":' || user_id || '}' AS nested FROM events""")
+def nested_property(t: Tables) -> DataFrame:
+    """A nested value in JSON text stays JSON text."""
+    nested = F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("user"))
+    records = t.events.select(
+        text("event_id").alias("id"),
+        F.to_json(F.struct(nested.alias("nested"))).alias("properties"),
+        F.lit("false").alias("archived"),
+    )
+    flat = flatten_records(records, plan_columns([("nested", "string")]), datetime(2002, 1, 1))
+    return flat.select(F.col("hs_object_id").alias("event_id"), "nested")
+
+
+def linked_run(t: Tables) -> Warehouse:
+    """A full run with link batches and with pipelines and stages made of regions and nations."""
+    house, folder = fresh_warehouse(t, "linked", t.orders)
+    land(t, folder, t.orders)
+    none = F.lit(None).cast("string")
+    kinds = F.array(
+        *[F.struct(F.lit(k).alias("typeId"), c.alias("category")) for k, c in (("7", none), ("8", F.lit("USER")))]
+    )
+    batch = F.struct(
+        F.struct(text("o_orderkey").alias("id")).alias("from"),
+        F.array(F.struct(text("o_custkey").alias("toObjectId"), kinds.alias("associationTypes"))).alias("to"),
+    )
+    pages = t.orders.select(F.to_json(F.struct(F.array(batch).alias("results"))))
+    pages.write.text(f"{folder}/orders/links/to_type=2-9")
+    stage = F.struct(text("n_nationkey").alias("id"), F.col("n_name").alias("label"))
+    trees = (
+        t.nation.groupBy("n_regionkey").agg(F.collect_list(stage).alias("stages")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    tree = F.struct(text("r_regionkey").alias("id"), F.col("r_name").alias("label"), "stages")
+    trees.select(F.to_json(F.struct(F.array(tree).alias("results")))).write.text(f"{folder}/orders/pipelines")
+    sync_object(t.spark, Feed.under(folder, "orders"), house, mark=datetime(2002, 1, 1))
+    return house
+
+
+@query("""
+    SELECT o_orderkey AS order_id, o_custkey AS target_id, k.type_id, k.category FROM orders,
+    (VALUES ('7', 'HUBSPOT_DEFINED'), ('8', 'USER')) AS k(type_id, category)""")
+def sync_link_batches(t: Tables) -> DataFrame:
+    return linked_run(t).read("order_2_9").select(
+        "order_id", F.col("`2_9_id`").alias("target_id"), "type_id", "category"
+    )
+
+
+@query("""
+    SELECT r_regionkey::VARCHAR AS pipeline_id, r_name AS pipeline, n_nationkey::VARCHAR AS stage_id, n_name AS stage
+    FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def sync_pipeline_stages(t: Tables) -> DataFrame:
+    house = linked_run(t)
+    pipelines = house.read("order_pipeline").select("pipeline_id", F.col("label").alias("pipeline"))
+    stages = house.read("order_pipeline_stage").select("pipeline_id", "stage_id", F.col("label").alias("stage"))
+    return stages.join(pipelines, "pipeline_id").select("pipeline_id", "pipeline", "stage_id", "stage")

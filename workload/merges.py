@@ -11,7 +11,7 @@ from tidemark.meta import MetaColumns
 from tidemark.operators import merge as M
 from tidemark.operators import tombstones as X
 from tidemark.operators.evolve import add_columns, align, base_columns, create_database, create_table, stack
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_database, scratch_dir
 from workload.registry import Tables, day, iso, query, text
 
 SPLIT = "1998-06-01"
@@ -192,7 +192,7 @@ def evolve_union(t: Tables) -> DataFrame:
 def evolved_table(t: Tables) -> DataFrame:
     """A catalog table that gains a column with each of two loads."""
     folder = scratch_dir(t.spark, "evolved")
-    database = "evolved_" + folder.rsplit("-", 1)[1]
+    database = scratch_database(t.spark, "evolved_" + folder.rsplit("-", 1)[1])
     create_database(t.spark, database, folder)
     table = f"{database}.customer"
     create_table(t.spark, table, base_columns(META))
