@@ -1,0 +1,75 @@
+import re
+from collections import Counter
+
+import corpus_pipeline
+import llm_brute
+import pytest
+from tidemark.llm.decontaminate import ngrams, words_of
+from tidemark.llm.mixing import WORD
+from tidemark.session import write_once
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What goes into the first stage and comes out of each."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = write_once(stage(spark, docs, FOLDER), "stage")
+        out.append(docs)
+    return [d.collect() for d in out], [d.columns for d in out]
+
+
+def test_stages_and_columns(stages):
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["language ID", "near-dedup", "decontamination", "mixing", "sharding"]
+    columns = stages[1]
+    assert all(c == columns[0] for c in columns[1:-1])
+    assert columns[-1] == [*columns[0], "shard", "slot"]
+
+
+def test_filters_match_brute_force(spark, stages):
+    docs, languages, unique, clean = stages[0][:4]
+    letters = {d.doc_id for d in docs if d.text and any(c.isalpha() for c in d.text)}
+    assert {d.doc_id for d in languages} == letters
+    brute = llm_brute.near_duplicates([(d.doc_id, d.text) for d in languages])
+    assert sorted(d.doc_id for d in unique) == sorted(d for d, _, c in brute if d == c)
+    items = [ngrams(words_of(r.text), 5) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    grams = {d.doc_id: ngrams(words_of(d.text), 5) for d in unique}
+    leaked = {d for d, g in grams.items() if any(i and len(i & g) >= 0.6 * len(i) for i in items)}
+    assert {d.doc_id for d in clean} == set(grams) - leaked
+
+
+def test_mix_and_shards(stages):
+    clean, mixed, sharded = stages[0][3:]
+    count = lambda t: len(re.findall(WORD, t or ""))
+    size, taken = Counter(), Counter()
+    for d in clean:
+        size[d.source] += count(d.text)
+    for d in mixed:
+        taken[d.source] += count(d.text)
+    want = llm_brute.targets(dict(size))
+    assert all(taken[s] == int(want[s] + 0.5) for s in size)
+    row = lambda d: (d.doc_id, d.text, d.lang, d.source, d.n_chars)
+    assert Counter(map(row, sharded)) == Counter(map(row, mixed))
+    slots = {}
+    for d in sharded:
+        slots.setdefault(d.shard, []).append(d.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert set(slots) <= set(range(16))
+
+
+def test_rows_of_any_kind_go_through(spark):
+    rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (2, "One two three.", "en", None, 14), (2, "One two three.", "en", None, 14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", "'x' AS label", "1 AS _h", "2 AS rid")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = write_once(stage(spark, docs, FOLDER), "stage")
+    got = docs.collect()
+    assert {(r.doc_id, r.label, r._h, r.rid) for r in got} == {(2, "x", 1, 2)}
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        empty = write_once(stage(spark, empty, FOLDER), "stage")
+    assert empty.collect() == []
