@@ -146,8 +146,14 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
 
 
 def drop_unknown(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, by profiles learned from them."""
-    told = language(learn_profiles(docs))(F.col("text"))
+    """The rows of ``docs`` whose text has a language, by profiles learned from them.
+
+    Where no row has a label to learn from, every text with a letter stays.
+    """
+    profiles = learn_profiles(docs)
+    if not profiles:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = language(profiles)(F.col("text"))
     return docs.where((told["lang_pred"] != UNKNOWN) & (told["score"] >= min_score))
 
 
