@@ -96,3 +96,19 @@ def test_edge_columns():
 def test_table_name(spark):
     df = spark.createDataFrame([("SERVICE", "services"), (None, "x"), ("", "y")], "n string, o string")
     assert [r[0] for r in df.select(table_name(F.col("n"), F.col("o"))).collect()] == ["service", "x", "y"]
+
+
+@pytest.mark.parametrize(
+    "names",
+    [
+        ["a", "a", "a_2"],
+        ["a_2", "a", "a", "a"],
+        ["a", "a_2", "a", "a_2", "a_2_2", "a"],
+        ["x" * 63, "x" * 70, "x" * 61 + "_2", "x" * 64],
+        ["b", "b", "b", "b_3", "b_2", "b_3_2", "b_3"],
+    ],
+)
+def test_both_forms_agree_and_never_clash(spark, names):
+    df = spark.createDataFrame(list(enumerate(names, start=1)), "position int, name string")
+    got = [r.final for r in fit_names_frame(df, "name", "position").orderBy("position").collect()]
+    assert got == fit_names(names) and len(set(got)) == len(got)
