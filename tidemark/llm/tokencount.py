@@ -32,7 +32,7 @@ from tidemark.llm.tables import documents
 #: Fixed value: the mark that stands for the space before a word.
 START = "▁"
 MAX_PIECES = 1_000_000
-MAX_NODES = 300_000
+MAX_NODES = 800_000
 #: Pre-tokens of more characters share too few prefixes to stay in the trie.
 MAX_LENGTH = 64
 TOKENIZER = "piece_bpe_32k.model"
@@ -60,50 +60,62 @@ def piece_scores(pieces: list[str]) -> dict[str, float]:
     return scores
 
 
+def suffix_table(scores: dict[str, float]) -> dict[str, float]:
+    """Scores of pieces, and 0 for what is only the end of some piece."""
+    table = dict.fromkeys((p[i:] for p in scores for i in range(len(p))), 0.0)
+    return table | scores
+
+
 class CountTrie:
-    """Nodes of a trie with the best score, and its number of tokens, from the root to each."""
+    """Nodes of a trie with the best score, and its number of tokens, from the root to each.
+
+    Edges are held as (node, letter) in one number. A node looks back over the ends of pieces only as
+    far as there is a piece that ends so.
+    """
 
     def __init__(self, scores: dict[str, float]) -> None:
         self.scores = scores
+        self.table = suffix_table(scores)
         self.longest = max(map(len, scores), default=0)
         self.byte = -math.log(len(scores) + 2)
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
-        self.best: list[tuple[float, int]] = [(0.0, 0)]
+        self.edges: dict[int, int] = {}
+        self.best = [0.0]
+        self.tokens = [0]
         self.counts: dict[bytes, int] = {}
 
     def insert(self, token: str) -> int:
         """The number of tokens of a pre-token; only nodes that are new are scored."""
+        edges, best, tokens, ends = self.edges, self.best, self.tokens, self.table.get
         path, node = [0], 0
         for end, letter in enumerate(token, 1):
-            below = self.children[node].get(letter)
+            edge = node << 21 | ord(letter)
+            below = edges.get(edge)
             if below is None:
-                below = len(self.best)
-                self.children[node][letter] = below
-                self.children.append({})
-                self.best.append(self._score(token, end, path))
+                top, fewest, start = -math.inf, 0, end - 1
+                while start >= 0:
+                    score = ends(token[start:end])
+                    if score is None:
+                        break
+                    if score:
+                        score += best[path[start]]
+                        n = tokens[path[start]] + 1
+                        if score > top or score == top and n < fewest:
+                            top, fewest = score, n
+                    start -= 1
+                if not ends(letter):
+                    n = len(letter.encode("utf-8", "surrogatepass"))
+                    score, n = best[node] + n * self.byte, tokens[node] + n
+                    if score > top or score == top and n < fewest:
+                        top, fewest = score, n
+                below = edges[edge] = len(best)
+                best.append(top)
+                tokens.append(fewest)
             node = below
             path.append(node)
-        return -self.best[node][1]
-
-    def _score(self, token: str, end: int, path: list[int]) -> tuple[float, int]:
-        """Best (score, minus tokens) of the first ``end`` characters."""
-        scores, best = self.scores, None
-        for start in range(max(0, end - self.longest), end):
-            score = scores.get(token[start:end])
-            if score is not None:
-                before = self.best[path[start]]
-                found = (before[0] + score, before[1] - 1)
-                if best is None or found > best:
-                    best = found
-        if token[end - 1] not in scores:
-            before, n = self.best[path[end - 1]], len(token[end - 1].encode("utf-8", "surrogatepass"))
-            found = (before[0] + n * self.byte, before[1] - n)
-            if best is None or found > best:
-                best = found
-        return best
+        return tokens[node]
 
     def count(self, word: bytes) -> int:
         """The tokens of a word, from where its pre-token ends in the trie."""
