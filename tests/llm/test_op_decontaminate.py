@@ -43,6 +43,15 @@ def test_dropping_keeps_columns(spark):
     assert sorted(r.doc_id for r in got.collect()) == [3, 4, 5, 6, 7]
 
 
+def test_a_leak_takes_no_other_row_of_its_id(spark):
+    rows = [(None, ITEM), (None, filler(50)), (None, None), (1, ITEM), (1, filler(60)), (2, ITEM)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"_row": F.lit(1), "_Row_": F.lit(2)})
+    got = decontaminate(docs, spark.createDataFrame([(1, ITEM)], ITEMS))
+    assert got.columns == docs.columns
+    want = [(None, filler(50), 1, 2), (None, None, 1, 2), (1, filler(60), 1, 2)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_sides(spark):
     docs, items = spark.createDataFrame(ROWS, DOCS), spark.createDataFrame([(1, ITEM)], ITEMS)
     assert leaked_items(docs.limit(0), items).collect() == []

@@ -290,10 +290,15 @@ def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that hold a leaked item."""
-    leaked = write_once(leaked_items(docs, items).select("doc_id").distinct(), "leaked")
-    kept = docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["doc_id"]), "left_anti")
-    return kept.select(*[docs[c] for c in docs.columns])
+    """The rows of ``docs`` without those that hold a leaked item, each judged by itself."""
+    row = "_row"
+    while row in map(str.lower, docs.columns):
+        row += "_"
+    # Written with its numbers, which would differ if the rows were read anew.
+    numbered = write_once(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    leaked = leaked_items(numbered.select(F.col(row).alias("doc_id"), "text"), items)
+    leaked = write_once(leaked.select(F.col("doc_id").alias(row)).distinct(), "leaked")
+    return numbered.join(leaked, row, "left_anti").drop(row)
 
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
