@@ -71,6 +71,41 @@ def test_recall(spark, folder):
     assert len(got) == sum(ids % 20 == 0) and hits >= 0.9 * 20 * len(got)
 
 
+def recall(got, x):
+    hits = 0
+    for q, best in got.items():
+        score = x @ x[q]
+        score[q] = -np.inf
+        want = np.argsort(-score, kind="stable")[: min(20, len(x) - 1)]
+        assert len(best) == len(want)
+        hits += len({*want.tolist()} & {b[1] for b in best}) / len(want)
+    return hits / len(got)
+
+
+@pytest.mark.parametrize("n, sigma, least", [(20, 0, 1), (41, 0, 1), (500, 1, 1), (5000, 1, 0.99), (5000, 1.5, 0.99)])
+def test_few_rows_and_uneven_lengths(spark, n, sigma, least):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    x *= rng.lognormal(0, sigma, (n, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], VECTORS)
+    got = found(search(df, (F.col("vec_id") % 20 == 0) & (F.col("vec_id") < 1000)))
+    assert len(got) == min(50, -(-n // 20)) and recall(got, x.astype(float)) >= least
+
+
+def test_a_query_far_from_all_finds_all_it_can(spark, monkeypatch):
+    from tidemark.llm import ann
+
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    rng = np.random.default_rng(1)
+    x = np.full((60, 16), 1.0) + rng.normal(size=(60, 16)) * 0.01
+    x[0] = -x[0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.astype(np.float32).tolist())], VECTORS)
+    got = found(search(df, F.col("vec_id") % 20 == 0, tables=1, probes=1))
+    assert recall({0: got[0]}, x.astype(np.float32).astype(float)) == 1
+    assert all(len(best) == 20 for best in got.values())
+
+
 def brute_count(scores, byte, token):
     """The best of all ways to cut a token."""
     best = None

@@ -6,6 +6,10 @@ is in one bucket of each table. A query looks into the ``PROBES`` buckets of eac
 nearest to it, all vectors there are candidates, and candidates are ranked exactly: by inner product
 in double precision on the original vectors, ties to the smaller id.
 
+Buckets see directions only, but a long vector can score high from afar. So the longest vectors of
+each dimension are candidates of every query: about as many as a bucket holds, at least about half a block, and
+all of them if they fit into one. A query that still finds fewer than ``top`` is compared with all.
+
 Buckets are cut into blocks of about ``BLOCK`` vectors and ``BLOCK`` queries, counted before, so a
 bucket that a common vector fills is spread over tasks; a block is one matrix product and gives the
 best ``top`` of each of its queries, which is all that the best of the union need. The signed axes of
@@ -13,9 +17,8 @@ all tables bound the counts that are broadcast.
 
 Vectors that are null, empty or zero or hold a null, an infinity or a NaN take no part, and neither
 do rows without id. Vectors of another length are never candidates of each other. Rows that repeat an
-id count with their best score; a query never finds its own id. A query with fewer candidates than
-``top`` returns what it found. Directions choose the candidates, so recall is meant for vectors of
-like length.
+id count with their best score; a query never finds its own id. Only a query with fewer than ``top``
+others of its dimension returns fewer.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ BLOCK = 2048
 TOP = 20
 QUERY_STEP = 20
 SPOT = ["dim", "tab", "axis", "vb", "qb"]
+#: Shares of the longest vectors, as powers of 1/2, of which one is chosen.
+SHARES = 40
+#: Numbers of the tables that hold the longest vectors and all vectors.
+LONGEST, ALL = -1, -2
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -110,24 +117,36 @@ def best_of_block(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.nda
     return pd.DataFrame(dict(zip(["query_id", "vec_id", "score"], cols)))
 
 
-def search(
-    vectors: DataFrame,
-    is_query: Column,
-    key: str = "vec_id",
-    vector: str = "embedding",
-    top: int = TOP,
-    tables: int = TABLES,
-    probes: int = PROBES,
-) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the nearest found of every query, among all rows."""
-    index = write_once(hashed(usable(vectors, key, vector), tables, 1), "axis-index")
-    asked = write_once(hashed(usable(vectors.where(is_query), key, vector), tables, probes), "axis-probes")
+def sized(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+    """Usable rows with ``dim`` and ``norm``, which differs by a trifle where lengths are equal."""
+    square = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    norm = F.sqrt(square) * (1 + F.pmod(F.xxhash64("id"), F.lit(1_000_000)) * 1e-12)
+    return usable(vectors, key, vector).select("id", "vector", F.size("vector").alias("dim"), norm.alias("norm"))
+
+
+def lengths(rows: DataFrame) -> DataFrame:
+    """``dim, n, least``: vectors of a dimension, and above what norm they are candidates of every query."""
+    shares = F.array(*[F.lit(1 - 0.5**k) for k in range(1, SHARES + 1)])
+    per = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("norm", shares).alias("norms"))
+    parts = F.col("n") / F.greatest(F.lit(BLOCK), F.col("n") / (2 * F.col("dim")))
+    level = F.least(F.lit(SHARES), F.ceil(F.log2(parts)).cast("int"))
+    least = F.when(F.col("n") <= BLOCK, F.lit(-1.0)).otherwise(F.element_at("norms", F.greatest(F.lit(1), level)))
+    return per.select("dim", "n", least.alias("least"))
+
+
+def in_table(rows: DataFrame, tab: int) -> DataFrame:
+    """Rows of ``id, vector, dim`` as one bucket of each dimension."""
+    return rows.select("id", "vector", "dim", F.lit(tab).alias("tab"), F.lit(0).alias("axis"))
+
+
+def best_found(index: DataFrame, asked: DataFrame, top: int) -> DataFrame:
+    """``query_id, vec_id, score, rank``: the best that each query finds in its buckets."""
     place = ["dim", "tab", "axis"]
     # Two rows at most for each table, dimension and sign.
-    sized = index.groupBy(*place).agg(F.count(F.lit(1)).alias("nv")).join(
+    counts = index.groupBy(*place).agg(F.count(F.lit(1)).alias("nv")).join(
         asked.groupBy(*place).agg(F.count(F.lit(1)).alias("nq")), place
     )
-    blocks = sized.select(
+    blocks = counts.select(
         *place, F.ceil(F.col("nv") / BLOCK).cast("int").alias("nvb"), F.ceil(F.col("nq") / BLOCK).cast("int").alias("nqb")
     )
     blocks = F.broadcast(write_once(blocks, "axis-blocks"))
@@ -149,11 +168,43 @@ def search(
 
     cols = [*SPOT, "id", "vector"]
     found = left.select(*cols).groupBy(*SPOT).cogroup(right.select(*cols).groupBy(*SPOT))
-    found = found.applyInPandas(rank, "query_id long, vec_id long, score double")
+    return best_of(found.applyInPandas(rank, "query_id long, vec_id long, score double"), top)
+
+
+def best_of(found: DataFrame, top: int) -> DataFrame:
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
+def search(
+    vectors: DataFrame,
+    is_query: Column,
+    key: str = "vec_id",
+    vector: str = "embedding",
+    top: int = TOP,
+    tables: int = TABLES,
+    probes: int = PROBES,
+) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the nearest found of every query, among all rows."""
+    rows = write_once(sized(vectors, key, vector), "vectors")
+    long = F.broadcast(write_once(lengths(rows), "lengths"))
+    rows = rows.join(long, "dim")
+    asks = write_once(sized(vectors.where(is_query), key, vector), "queries").join(long, "dim")
+    # What fits into a block is compared whole.
+    many = F.col("n") > BLOCK
+    index = hashed(rows.where(many).select("id", "vector"), tables, 1)
+    index = write_once(index.union(in_table(rows.where("norm > least"), LONGEST)), "axis-index")
+    asked = hashed(asks.where(many).select("id", "vector"), tables, probes)
+    asked = write_once(asked.union(in_table(asks, LONGEST)), "axis-probes")
+    found = write_once(best_found(index, asked, top), "found")
+    full = found.where(F.col("rank") == top).select(F.col("query_id").alias("id"))
+    short = write_once(in_table(asks.where(many).join(full, "id", "left_anti"), ALL), "short")
+    if not short.isEmpty():
+        dims = F.broadcast(short.select("dim").distinct())
+        rest = best_found(in_table(rows.join(dims, "dim", "left_semi"), ALL), short, top)
+        found = best_of(found.drop("rank").unionByName(rest.drop("rank")), top)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op6_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
