@@ -180,6 +180,33 @@ def test_incremental_run_keeps_unreadable_and_undated(spark, house, tmp_path):
     assert reject.page.endswith(".json")
 
 
+def test_unreadable_archived_page_holds_the_mark(spark, house, tmp_path):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    feed = landing(tmp_path / "b", archived=[])
+    land(tmp_path / "b" / "contacts" / "archived", BROKEN)
+    summary = sync_object(spark, feed, house, mark=JULY)
+    assert (summary.status, summary.records_failed, summary.sync_mode) == ("with_errors", 1, "incremental")
+    assert [r.last_sync_timestamp for r in house.read("sync_state").collect()] == [JUNE]
+    reject = house.read("sync_rejects").first()
+    assert reject.content.strip() == BROKEN.strip() and "/archived/" in reject.page
+
+
+@pytest.mark.parametrize("full", [True, False])
+def test_unreadable_link_page_takes_no_edges(spark, house, tmp_path, full):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    before = edges(house)
+    told = {"companies": linked(("77", "1"))}
+    changed = [record(i, associations=told, hs_lastmodifieddate="2024-06-20T00:00:00Z") for i in ("811", "824")]
+    feed = landing(tmp_path / "b", changed, links=False)
+    land(tmp_path / "b" / "contacts" / "links" / "to_type=2-9", BROKEN)
+    summary = sync_object(spark, feed, house, force_full=full, mark=JULY)
+    assert (summary.status, summary.records_failed) == ("with_errors", 1)
+    assert summary.records_processed_ok == summary.records_fetched == 2
+    assert edges(house) == sorted([*before, (811, "companies", 77), (824, "companies", 77)])
+    assert [r.last_sync_timestamp for r in house.read("sync_state").collect()] == [JUNE]
+    assert "/links/" in house.read("sync_rejects").first().page
+
+
 def test_full_run_over_an_empty_feed_changes_nothing(spark, house, tmp_path):
     sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
     before = edges(house)

@@ -141,18 +141,23 @@ def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta:
 
 
 def _publish_edges(
-    house: Warehouse, catalog: Catalog, found: DataFrame, touched: DataFrame, whole: bool, meta: MetaColumns
+    house: Warehouse, catalog: Catalog, found: DataFrame, touched: DataFrame | None, whole: bool, meta: MetaColumns
 ) -> int:
     """All edges of the object in one table, and a view per target type under its own names.
 
     A ``whole`` load replaces the table; any other one replaces the edges of the records that it
-    ``touched``, whether it brought links for them or not.
+    ``touched``, whether it brought links for them or not. Without ``touched`` no edge goes.
     """
     name = f"{catalog.table}_edges"
     fresh = E.dedupe_edges(found, ["_src", "_ord"]).drop("_src", "_ord")
     current = house.read(name)
     merge = current is not None and not whole
-    if merge:
+    placed = merge and touched is not None
+    if merge and touched is None:
+        # An empty folder name reads back as null, which would meet nothing.
+        held, load = (d.withColumn("to_type", F.coalesce("to_type", F.lit(""))) for d in (current, E.salted(fresh)))
+        fresh = E.merge_edges(held, align(load, current.schema))
+    elif merge:
         fresh = E.salted(fresh).repartition(house.buckets, *EDGE_PLACE)
         fresh = E.replace_edges_of(current, fresh, touched)
     else:
@@ -163,7 +168,7 @@ def _publish_edges(
     types = sorted({r.to_type or "" for r in listed})
     taken = [name, f"{catalog.table}_pipeline", f"{catalog.table}_pipeline_stage"]
     views = fit_names([f"{catalog.table}_{t}" for t in types], taken=taken)
-    house.publish(fresh, name, EDGE_PLACE, placed=merge, partition_by=["to_type"])
+    house.publish(fresh, name, EDGE_PLACE, placed=placed, partition_by=["to_type"])
     for to_type, view in zip(types, views):
         from_col, to_col = edge_columns(catalog.table, to_type)
         # An empty folder name reads back as null.
@@ -192,10 +197,11 @@ def sync_object(
     counters are read off written tables and stay right when tasks are retried.
 
     An incremental run opens only files that landed since the saved mark less ``overlap`` (all, if
-    that is ``None``). Rows without a readable change time count as changed. Unreadable pages and
+    that is ``None``). Rows without a readable change time count as changed. Unreadable pages (of
+    records, links or, in an incremental run, archived records) and
     unusable ids go to ``sync_rejects``; a run that met any is incomplete: it marks no vanished rows,
-    replaces only edges of records that it saw, and leaves the mark where it was, so the next run
-    reads the same span again. A load without a row changes neither records nor edges.
+    replaces only edges of records that it saw (none, if a link page was unreadable), and leaves the mark
+    where it was, so the next run reads the same span again. A load without a row changes neither records nor edges.
     """
     started = time.monotonic()
     mark = mark or run_mark()
@@ -229,10 +235,19 @@ def sync_object(
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(F.col("_bad_id").isNotNull() | F.col("_corrupt").isNotNull()).alias("failed"),
     ).first()
-    failed, fetched = tally.failed, tally.fetched
+    unread = G.unreadable_pages(G.read_pages(spark, feed.links, G.LINK_BATCH, landed_after=after))
+    unread = unread.withColumn("of_links", F.lit(True))
+    if mode == "incremental":
+        archived = G.read_pages(spark, feed.archived, landed_after=after)
+        unread = unread.union(G.unreadable_pages(archived).withColumn("of_links", F.lit(False)))
+    unread = write_once(unread.withColumn("_bad_id", F.lit(None).cast("string")), "unreadable")
+    pages = unread.agg(F.count(F.lit(1)).alias("n"), F.count_if("of_links").alias("of_links")).first()
+    fetched, failed = tally.fetched, tally.failed + pages.n
     complete = failed == 0
     if failed:
-        house.append(reject_rows(staged, feed.object_type, mark), "sync_rejects", REJECT)
+        rejects = reject_rows(staged, feed.object_type, mark)
+        rejects = rejects.unionByName(reject_rows(unread, feed.object_type, mark))
+        house.append(rejects, "sync_rejects", REJECT)
 
     pipelines, stages = publish_pipelines(house, catalog, mark, meta)
 
@@ -244,7 +259,6 @@ def sync_object(
         added = new_columns(target.schema, load.schema)
         load = align(load, target.schema)
         if mode == "incremental":
-            archived = G.read_pages(spark, feed.archived, landed_after=after)
             gone = X.archived_since(G.explode_results(archived), since, meta)
             new = M.apply_changes(target, load, gone, mark, meta)
         elif complete:
@@ -261,7 +275,7 @@ def sync_object(
     # Records whose links this run has read, even if there were none.
     told = good.where(F.ltrim("associations").startswith("{")).select(parse_id(F.col("id")).alias("from_id"))
     named = E.attach_edges(sources, good.select(meta.id), meta.id)
-    touched = told.union(named).where("from_id is not null")
+    touched = told.union(named).where("from_id is not null") if not pages.of_links else None
     seen = not good.isEmpty()
     tables = 0
     if seen or house.read(f"{catalog.table}_edges") is None:
@@ -277,7 +291,7 @@ def sync_object(
         status="healthy" if complete else "with_errors",
         duration_seconds=round(time.monotonic() - started, 2),
         records_fetched=fetched,
-        records_processed_ok=fetched - failed,
+        records_processed_ok=fetched - tally.failed,
         records_failed=failed,
         db_upserts=counts.live,
         db_insert_errors=0,

@@ -103,6 +103,13 @@ def explode_results(pages: DataFrame, keep_unreadable: bool = False) -> DataFram
     return each.where(F.col("_pos").isNotNull()).select("_result.*", place)
 
 
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """``_ord, _corrupt``: the pages that are no JSON of the expected shape, one row each."""
+    each = pages.select("_page", "_corrupt", F.posexplode_outer("results").alias("_pos", "_result"))
+    broken = each.where(F.col("_corrupt").isNotNull() & (F.coalesce("_pos", F.lit(0)) == 0))
+    return broken.select(F.struct("_page", "_pos").alias("_ord"), "_corrupt")
+
+
 def is_archived() -> Column:
     return F.coalesce(F.col("archived") == "true", F.lit(False))
 
