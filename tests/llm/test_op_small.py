@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -204,6 +205,107 @@ def test_licences(text, ids, licences):
     assert match_rules(ids)[0] == licences
 
 
+GPL = """This program is free software{} you can redistribute it and/or modify it under the terms of the GNU
+General Public License as published by the Free Software Foundation{} either version {} of the License, or (at
+your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program{}"""
+AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+BSD_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+"""
+BSD_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED."""
+#: Notices as published, and the licence that each is.
+NOTICES = [
+    (GPL.format(";", ";", 2, "; if not, write to the Free Software Foundation, Inc."), "GPL-2.0-or-later"),
+    (GPL.format(":", ",", 3, ". If not, see <https://www.gnu.org/licenses/>."), "GPL-3.0-or-later"),
+    ("""Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License.""", "Apache-2.0"),
+    ("""This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""", "MPL-2.0"),
+    ("""Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+""" + AS_IS + """ IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+OTHER DEALINGS IN THE SOFTWARE.""", "MIT"),
+    ("""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+SOFTWARE.""", "ISC"),
+    (BSD + BSD_WARRANTY, "BSD-2-Clause"),
+    (BSD + BSD_3 + BSD_WARRANTY, "BSD-3-Clause"),
+    ("""This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution.""", "Zlib"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+]
+
+
+def wrapped(text, mark, width):
+    lines = []
+    for part in text.split("\n\n"):
+        lines += [*textwrap.wrap(part, width, break_long_words=False, break_on_hyphens=False), ""]
+    return "\n".join(f"{mark}{line}".rstrip() for line in lines)
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", ";; ", "-- "])
+@pytest.mark.parametrize("width", [10_000, 76, 24, 1])
+def test_published_notices(mark, width):
+    for text, licence in NOTICES:
+        ids = sentence_ids(wrapped(text, mark, width))
+        assert (ids, licence) in RULES
+        assert match_rules(ids) == ([licence], [])
+    for text, name in KNOWN.items():
+        assert sentence_ids(wrapped(text, mark, width)) == [name] or name == "copyright"
+
+
+def test_semicolons_part_what_is_not_known():
+    text = "Copyright 2020 A Body; licensed under the MIT license; see our licence; and permission terms."
+    assert sentence_ids(text) == ["copyright", "mit-named", "unknown", "unknown"]
+
+
 def test_longer_rules_win():
     grant = ["mit-grant", "mit-notice", "mit-warranty", "mit-liability"]
     assert match_rules([*grant, "unknown", "bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]) == (

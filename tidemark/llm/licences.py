@@ -7,8 +7,10 @@ identifiers of a document, in order, are then matched with ordered rules: at eve
 rule whose identifiers follow there names a licence and takes them; an identifier that no rule takes
 is left over. Rules stand with longer ones first, so a full licence is not read as its first lines.
 
-A statement ends at a full stop, mark or semicolon before white space, or at a blank line; if it runs over
-lines, every run of up to ``MAX_LINES`` of them is tried, longest first. A null or empty text, or one
+A statement ends at a full stop or mark before white space ("v. 2.0" is none), or at a blank line. Its
+pieces are its lines, cut after semicolons; at every piece the longest known sentence that the pieces
+from there on spell is taken, over any number of them. What is left between is ``unknown`` once for
+every stretch up to a semicolon that has a cue. A null or empty text, or one
 without a cue, has no sentences and no licence. Every row is answered by itself; an empty table gives
 no rows.
 """
@@ -24,8 +26,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tables import documents
 
-MAX_LINES = 12
-
 # Words without which no statement is looked at, in lower case.
 CUES = [
     "licen",
@@ -41,6 +41,7 @@ CUES = [
     "endorse",
     "origin of this software",
     "altered source",
+    "copy of the mpl",
 ]
 
 # Known sentences, normalised as :func:`normal` does, by identifier.
@@ -88,6 +89,16 @@ SENTENCES = {
         " is hereby granted provided that the above copyright notice and this permission notice appear in"
         " all copies"
     ],
+    "isc-warranty": [
+        "the software is provided as is and the author disclaims all warranties with regard to this software"
+        " including all implied warranties of merchantability and fitness"
+    ],
+    "isc-liability": [
+        "in no event shall the author be liable for any special direct indirect or consequential damages or"
+        " any damages whatsoever resulting from loss of use data or profits whether in an action of contract"
+        " negligence or other tortious action arising out of or in connection with the use or performance of"
+        " this software"
+    ],
     "apache-named": [
         "licensed under the apache license version 2.0",
         "licensed under the apache license version 2.0 the license",
@@ -96,6 +107,7 @@ SENTENCES = {
     ],
     "apache-comply": ["you may not use this file except in compliance with the license"],
     "apache-obtain": ["you may obtain a copy of the license at"],
+    "apache-url": ["http www.apache.org licenses license 2.0", "https www.apache.org licenses license 2.0"],
     "apache-as-is": [
         "unless required by applicable law or agreed to in writing software distributed under the license"
         " is distributed on an as is basis without warranties or conditions of any kind either express or"
@@ -154,6 +166,7 @@ SENTENCES = {
     ],
     "gpl-details": ["see the gnu general public license for more details"],
     "gpl-received": ["you should have received a copy of the gnu general public license along with this program"],
+    "gpl-url": ["if not see http www.gnu.org licenses", "if not see https www.gnu.org licenses"],
     "lgpl-named": ["licensed under the gnu lesser general public license version 3"],
     "agpl-named": ["licensed under the gnu affero general public license version 3"],
     "mpl-named": [
@@ -162,7 +175,9 @@ SENTENCES = {
     ],
     "mpl-copy": [
         "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl"
-        " 2.0 because the license asks for it"
+        " 2.0 because the license asks for it",
+        "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl 2.0",
+        "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla.org mpl 2.0",
     ],
     "cc-by": ["licensed under cc by 4.0", "this work is licensed under cc by 4.0"],
     "cc-by-sa": ["licensed under cc by sa 4.0", "this work is licensed under cc by sa 4.0"],
@@ -172,8 +187,23 @@ SENTENCES = {
     "cc0": ["to the public domain under cc0 1.0", "licensed under cc0 1.0"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
     "zlib-as-is": ["this software is provided as is without any express or implied warranty"],
-    "zlib-origin": ["the origin of this software must not be misrepresented"],
-    "zlib-altered": ["altered source versions must be plainly marked as such"],
+    "zlib-liability": [
+        "in no event will the authors be held liable for any damages arising from the use of this software"
+    ],
+    "zlib-grant": [
+        "permission is granted to anyone to use this software for any purpose including commercial"
+        " applications and to alter it and redistribute it freely subject to the following restrictions"
+    ],
+    "zlib-origin": [
+        "the origin of this software must not be misrepresented",
+        "the origin of this software must not be misrepresented you must not claim that you wrote the original"
+        " software",
+    ],
+    "zlib-altered": [
+        "altered source versions must be plainly marked as such",
+        "altered source versions must be plainly marked as such and must not be misrepresented as being the"
+        " original software",
+    ],
 }
 
 # Identifiers that follow each other, and the licence that they are, first match first.
@@ -183,10 +213,13 @@ RULES = [
     (["bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty"], "BSD-2-Clause"),
     (["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"], "BSD-3-Clause"),
     (["bsd-grant", "bsd-source", "bsd-binary"], "BSD-2-Clause"),
+    (["apache-named", "apache-comply", "apache-obtain", "apache-url", "apache-as-is", "apache-see"], "Apache-2.0"),
     (["apache-named", "apache-comply", "apache-obtain", "apache-as-is", "apache-see"], "Apache-2.0"),
     (["apache-named", "apache-comply"], "Apache-2.0"),
     (["apache-named"], "Apache-2.0"),
+    (["gpl-later-3", "gpl-no-warranty", "gpl-details", "gpl-received", "gpl-url"], "GPL-3.0-or-later"),
     (["gpl-later-3", "gpl-no-warranty", "gpl-details", "gpl-received"], "GPL-3.0-or-later"),
+    (["gpl-later-2", "gpl-no-warranty", "gpl-details", "gpl-received", "gpl-url"], "GPL-2.0-or-later"),
     (["gpl-later-2", "gpl-no-warranty", "gpl-details", "gpl-received"], "GPL-2.0-or-later"),
     (["gpl-later-3"], "GPL-3.0-or-later"),
     (["gpl-later-2"], "GPL-2.0-or-later"),
@@ -199,10 +232,12 @@ RULES = [
     (["mit-named", "mit-grant", "mit-notice", "mit-warranty", "mit-liability"], "MIT"),
     (["mit-grant", "mit-notice"], "MIT"),
     (["mit-named"], "MIT"),
+    (["isc-grant", "isc-warranty", "isc-liability"], "ISC"),
     (["isc-grant", "mit-warranty"], "ISC"),
     (["isc-grant"], "ISC"),
     (["bsd-3-named"], "BSD-3-Clause"),
     (["bsd-named"], "BSD"),
+    (["zlib-as-is", "zlib-liability", "zlib-grant", "zlib-origin", "zlib-altered"], "Zlib"),
     (["zlib-as-is", "zlib-origin", "zlib-altered"], "Zlib"),
     (["unlicense"], "Unlicense"),
     (["cc-by"], "CC-BY-4.0"),
@@ -225,45 +260,70 @@ RULES = [
 UNKNOWN = "unknown"
 KNOWN = {text: name for name, texts in SENTENCES.items() for text in texts}
 
-_END = re.compile(r"(?<=[.!?;])\s+|\n\s*\n")
+#: All beginnings of known sentences, in whole words.
+STARTS = {" ".join(words[:n]) for words in map(str.split, KNOWN) for n in range(len(words) + 1)}
+
+_GAP = r"\s[\s/*#;%>|-]*"
+_END = re.compile(rf"(?<=[.!?])(?!(?<=\b[vV]\.){_GAP}\d)\s+|\n\s*\n")
+_CUT = re.compile(r"(?<=;)\s+")
+#: Cues of several words may have a line break and comment marks between them.
+_CUE_WORDS = [c for c in CUES if " " not in c]
+_CUE_PHRASES = [(max(c.split(), key=len), re.compile(_GAP.join(c.split()))) for c in CUES if " " in c]
 _MARKS = re.compile(r"^[\s/*#;%>|-]+|[\s*/]+$")
-_BULLET = re.compile(r"^\s*(?:\(?[0-9a-z]{1,2}[.)]\s+|[*-]\s+)")
+_BULLET = re.compile(r"^\s*(?:(?!v\.\s+\d)\(?[0-9a-z]{1,2}[.)]\s+|[*-]\s+)")
 _PUNCT = re.compile(r"[^\w.]+|\.(?!\w)|(?<!\w)\.|_")
 _HOLDER = re.compile(r"^(?:copyright|c)(?: c)?(?: [12]\d{3}\b).*|^copyright (?:c )?by .*")
 
 
+def plain(piece: str) -> str:
+    """A line or part of one in lower case: words and dotted numbers only."""
+    return " ".join(_PUNCT.sub(" ", _BULLET.sub("", _MARKS.sub("", piece.lower()))).split())
+
+
 def normal(statement: str) -> str:
     """Lower case, words and dotted numbers only; a copyright line without its names."""
-    lines = (_BULLET.sub("", _MARKS.sub("", line)) for line in statement.lower().split("\n"))
-    flat = " ".join(_PUNCT.sub(" ", " ".join(lines)).split())
+    flat = " ".join(filter(None, map(plain, statement.split("\n"))))
     return "copyright holder" if "\n" not in statement and _HOLDER.match(flat) else flat
 
 
 def cued(text: str) -> bool:
     low = text.lower()
-    return any(c in low for c in CUES)
+    return any(c in low for c in _CUE_WORDS) or any(w in low and p.search(low) for w, p in _CUE_PHRASES)
+
+
+def unknown_ids(pieces: list[str]) -> list[str]:
+    """``unknown`` for every stretch of pieces, up to one that ends in a semicolon, that has a cue."""
+    stretches = [[]]
+    for piece in pieces:
+        stretches[-1].append(piece)
+        if piece.endswith(";"):
+            stretches.append([])
+    return [UNKNOWN for s in stretches if cued(" ".join(s))]
 
 
 def statement_ids(statement: str) -> list[str]:
-    """Identifiers of a statement: of itself, or of the runs of its lines that are known."""
-    known = KNOWN.get(normal(statement))
-    if known:
-        return [known]
-    lines = statement.split("\n")
+    """Identifiers of a statement: of the runs of its pieces that are known, and of what is between."""
+    pieces = [p.rstrip() for line in statement.split("\n") for p in _CUT.split(_MARKS.sub("", line))]
+    words = [plain(p) for p in pieces]
     found, at, left = [], 0, []
-    while at < len(lines):
-        for end in range(min(len(lines), at + MAX_LINES), at, -1):
-            known = KNOWN.get(normal("\n".join(lines[at:end])))
-            if known:
-                break
+    while at < len(pieces):
+        known, end, run = None, at, ""
+        if _HOLDER.match(words[at]):
+            known, end = "copyright", at + 1
+        elif words[at]:
+            for k in range(at, len(pieces)):
+                run = f"{run} {words[k]}".strip()
+                if run not in STARTS:
+                    break
+                if run in KNOWN:
+                    known, end = KNOWN[run], k + 1
         if known:
-            found += [UNKNOWN] if cued(" ".join(left)) else []
-            found.append(known)
+            found += [*unknown_ids(left), known]
             at, left = end, []
         else:
-            left.append(lines[at])
+            left.append(pieces[at])
             at += 1
-    return found + ([UNKNOWN] if cued(" ".join(left)) else [])
+    return found + unknown_ids(left)
 
 
 def sentence_ids(text: str | None) -> list[str]:
