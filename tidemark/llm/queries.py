@@ -9,9 +9,12 @@ from tidemark.llm.licences import op10_licence_scan
 from tidemark.llm.linededup import OP4_SQL, op4_line_dedup
 from tidemark.llm.mixing import op2_source_mix
 from tidemark.llm.neardup import op3_near_duplicates
+from tidemark.llm.pieces import op11_sentencepiece
 from tidemark.llm.revisits import OP1_SQL, op1_revisits
 from tidemark.llm.shards import op5_histogram_shards
 from tidemark.llm.tokencount import op8_token_counts
+from tidemark.llm.variants import OP13_SQL, op13_spelling_variants
+from tidemark.llm.whitening import op12_whitening
 
 QUERIES = {
     "op1_revisits": op1_revisits,
@@ -24,9 +27,13 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_licence_scan": op10_licence_scan,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL = {
     "op1_revisits": OP1_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
