@@ -24,10 +24,14 @@ def agenda(model):
     return PairAgenda(model)
 
 
+def ids_of(agenda, text):
+    return np.frombuffer(agenda.encode(text), "<u4").tolist()
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.text(st.characters(exclude_categories=["Cs"])) | st.text(st.sampled_from(LETTERS)))
 def test_same_ids_as_the_library(model, agenda, text):
-    assert agenda.encode(text) == model.encode(text, add_bos=True, add_eos=True)
+    assert ids_of(agenda, text) == model.encode(text, add_bos=True, add_eos=True)
 
 
 def test_stretches_lose_no_letter(agenda):
@@ -40,15 +44,15 @@ def test_stretches_lose_no_letter(agenda):
 def test_one_agenda_for_a_whole_text_gives_the_same(model, agenda):
     text = "It was, as they say, the best of times; 12 days… «voilà» the end.\n\n  Fin"
     whole = agenda.ids_of(agenda.merged(agenda.normalize(text)))
-    assert [model.bos_id(), *whole, model.eos_id()] == agenda.encode(text)
+    assert [model.bos_id(), *whole, model.eos_id()] == ids_of(agenda, text)
 
 
 def test_a_letter_without_end_and_forgotten_stretches(model, agenda, monkeypatch):
     long = "a" * 200_000 + "é" * 50_000
-    assert agenda.encode(long) == model.encode(long, add_bos=True, add_eos=True)
+    assert ids_of(agenda, long) == model.encode(long, add_bos=True, add_eos=True)
     monkeypatch.setattr(pieces, "MAX_KEPT", 3)
     text = " ".join(map(chr, range(97, 123))) * 3
-    assert agenda.encode(text) == model.encode(text, add_bos=True, add_eos=True)
+    assert ids_of(agenda, text) == model.encode(text, add_bos=True, add_eos=True)
 
 
 def test_equal_scores_go_left_first():
@@ -65,9 +69,9 @@ def test_equal_scores_go_left_first():
         is_unknown = lambda self, i: i == 0
 
     tied = PairAgenda(Tied())
-    assert tied.encode("aaaa") == [3, 1]
+    assert ids_of(tied, "aaaa") == [3, 1]
     # Without bytes, neighbouring unknowns are one.
-    assert tied.encode("bbab") == [0, 1, 0]
+    assert ids_of(tied, "bbab") == [0, 1, 0]
 
 
 def test_odd_rows(spark, model):

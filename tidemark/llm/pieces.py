@@ -21,9 +21,11 @@ U+FFFD. Rows that repeat, or have no id, are encoded each; an empty table gives
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,26 @@ def model_path(path: str | None = None) -> str:
     return str(path)
 
 
+class Kept(dict):
+    """Packed ids of stretches; what is missing is encoded, and forgotten with all else beyond a bound."""
+
+    def __init__(self, ids_of: Callable[[str], list[int]]) -> None:
+        super().__init__()
+        self.ids_of = ids_of
+
+    def __missing__(self, stretch: str) -> bytes:
+        ids = packed(self.ids_of(stretch))
+        if len(stretch) <= MAX_LENGTH:
+            if len(self) >= MAX_KEPT:
+                self.clear()
+            self[stretch] = ids
+        return ids
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PairAgenda:
     """Encodes texts with the pieces, scores and byte ids of a loaded model."""
 
@@ -61,9 +83,9 @@ class PairAgenda:
         self.rank = {piece: -model.get_score(i) for piece, i in self.ids.items()}
         self.bytes = [i for i in ids if model.is_byte(i)]
         self.unknown = model.unk_id()
-        self.ends = [[i] if i >= 0 else [] for i in (model.bos_id(), model.eos_id())]
+        self.begin, self.end = (packed([i]) if i >= 0 else b"" for i in (model.bos_id(), model.eos_id()))
         self.normalize = model.normalize
-        self.kept: dict[str, list[int]] = {}
+        self.kept = Kept(lambda stretch: self.ids_of(self.merged(stretch)))
         self.stretches = self._stretches()
 
     def _stretches(self) -> re.Pattern[str]:
@@ -85,22 +107,14 @@ class PairAgenda:
         kinds = [f"[{alone}]"] * bool(alone) + [f"{SPACE}*[{rest}]+"] * bool(rest)
         return re.compile("|".join([*kinds, f"{SPACE}*[^{SPACE}{alone}{rest}]+", f"{SPACE}+"]))
 
-    def encode(self, text: str) -> list[int]:
-        """All ids of a text, begin and end included."""
-        kept, out = self.kept, list(self.ends[0])
-        for stretch in self.stretches.findall(self.normalize(text)):
-            ids = kept.get(stretch)
-            if ids is None:
-                ids = self.ids_of(self.merged(stretch))
-                if len(stretch) <= MAX_LENGTH:
-                    if len(kept) >= MAX_KEPT:
-                        kept.clear()
-                    kept[stretch] = ids
-            out += ids
+    def encode(self, text: str) -> bytes:
+        """All ids of a text, begin and end included, as little-endian unsigned 32-bit numbers."""
+        found = b"".join(map(self.kept.__getitem__, self.stretches.findall(self.normalize(text))))
         if not self.bytes:
             # Neighbouring unknowns are one.
-            out = [i for n, i in enumerate(out) if i != self.unknown or n == 0 or out[n - 1] != i]
-        return out + self.ends[1]
+            ids = np.frombuffer(found, "<u4")
+            found = ids[np.append(True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown))[: len(ids)]].tobytes()
+        return self.begin + found + self.end
 
     def merged(self, stretch: str) -> list[str]:
         """The symbols of a stretch when no pair of neighbours makes a piece any more."""
@@ -172,7 +186,6 @@ def encode_pieces(docs: DataFrame, path: str | None = None, key: str = "doc_id",
     sent = docs.sparkSession.sparkContext.broadcast(held)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
@@ -183,11 +196,12 @@ def encode_pieces(docs: DataFrame, path: str | None = None, key: str = "doc_id",
                 own = texts[part]
                 ids = [agenda.encode(t) for t in own]
                 told = model.encode(own, add_bos=True, add_eos=True, num_threads=1)
+                decoded = model.decode([np.frombuffer(i, "<u4").tolist() for i in ids], num_threads=1)
                 columns = [
                     batch.column(0)[part],
-                    pa.array([np.array(i, "<u4").tobytes() for i in ids], pa.binary()),
-                    pa.array(model.decode(ids, num_threads=1), pa.string()),
-                    pa.array([a == b for a, b in zip(ids, told)], pa.bool_()),
+                    pa.array(ids, pa.binary()),
+                    pa.array(decoded, pa.string()),
+                    pa.array([a == packed(b) for a, b in zip(ids, told)], pa.bool_()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=ENCODED)
 

@@ -5,9 +5,10 @@ one order, rarest first. A word's prefix is its three first bigrams in that orde
 rare as the third; of these, dynamic programming picks two that do not overlap and are rarest together:
 the pivots. One edit spoils at most one of two disjoint bigrams. So of two words at one edit, the one
 whose prefix ends earlier in the order shares a pivot with the other's prefix. Where the pivot can stand
-is limited too: one edit moves it by one place at most, and only together with the other word's length.
-So pivots meet prefixes on equality of (bigram, place, length), for the five (place, length) that one edit
-allows, and the words that meet are verified by their edit distance.
+is limited too. The edit is on one side of it, so on the other side it is as far from the word's end as
+in the other word, and all letters there are the same. Pivots therefore meet prefixes on equality of
+(bigram, side, place from that side, checksum of that side, length), for each side and the three lengths
+that one edit allows, and the words that meet are verified by their edit distance.
 
 The alphabet bounds the bigrams' order, the only thing that passes through the driver: at most
 ``MAX_BIGRAMS`` entries. Counts are summed up before they are shuffled, so frequent words and documents
@@ -36,8 +37,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_BIGRAMS = 90 * 90
 MIN_LENGTH, MIN_COUNT = 5, 3
 MISSPELT = 97
-#: (place, length) of a bigram in the other word, less those in this one, that one edit allows.
-SHIFTS = [(0, 0), (0, 1), (0, -1), (1, 1), (-1, -1)]
+#: Lengths of the other word, less that of this one, that one edit allows.
+SHIFTS = (0, 1, -1)
+SPOT = ["gram", "side", "place", "flank", "length"]
 
 
 def lowered(run: Column) -> Column:
@@ -119,18 +121,19 @@ def prefixes(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
 def near_pairs(words: DataFrame) -> DataFrame:
     """``a, na, b, nb`` with ``a < b``: all pairs of words (``word, n``) at exactly one edit."""
     grams = write_once(prefixes(words, bigram_order(words)), "bigram-prefixes")
-    shifts = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d")) for p, d in SHIFTS])
-    pivots = grams.where("pivot").select("*", F.explode(shifts).alias("shift"))
-    asked = pivots.select(
-        "gram",
-        (F.col("place") + F.col("shift.p")).alias("place"),
-        (F.col("length") + F.col("shift.d")).alias("length"),
-        F.col("word").alias("a"),
-        F.col("n").alias("na"),
-        F.col("last").alias("last_a"),
+    left, right = F.col("place") + 2, F.col("length") - F.col("place")
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), left.alias("at"), F.xxhash64(F.substring("word", F.lit(1), left)).alias("flank")),
+        F.struct(F.lit(1).alias("side"), right.alias("at"), F.xxhash64(F.substring("word", F.col("place") + 1, right)).alias("flank")),
     )
-    held = grams.select("gram", "place", "length", F.col("word").alias("b"), F.col("n").alias("nb"), "last")
-    met = asked.join(held, ["gram", "place", "length"]).where("last_a <= last and a <> b")
+    flanked = grams.select("word", "n", "gram", "length", "last", "pivot", F.inline(sides)).withColumnRenamed("at", "place")
+    lengths = F.explode(F.array(*[F.col("length") + d for d in SHIFTS]))
+    asked = flanked.where("pivot").select(
+        "gram", "side", "place", "flank", lengths.alias("length"),
+        F.col("word").alias("a"), F.col("n").alias("na"), F.col("last").alias("last_a"),
+    )
+    held = flanked.select(*SPOT, F.col("word").alias("b"), F.col("n").alias("nb"), "last")
+    met = asked.join(held, SPOT).where("last_a <= last and a <> b")
     met = met.where(F.levenshtein("a", "b", 1) == 1)
     first = F.col("a") < F.col("b")
     pair = [
