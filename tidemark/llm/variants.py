@@ -6,8 +6,9 @@ rare as the third; of these, dynamic programming picks two that do not overlap a
 the pivots. One edit spoils at most one of two disjoint bigrams. So of two words at one edit, the one
 whose prefix ends earlier in the order shares a pivot with the other's prefix. Where the pivot can stand
 is limited too. The edit is on one side of it, so on the other side it is as far from the word's end as
-in the other word, and all letters there are the same. Pivots therefore meet prefixes on equality of
-(bigram, side, place from that side, checksum of that side, length), for each side and the three lengths
+in the other word, and all letters there are the same. An edit behind the first pivot leaves alone that
+one and all before it, any other edit the second pivot and all behind it. Pivots therefore meet prefixes
+on equality of (bigram, side, place from that side, checksum of that side, length), for the three lengths
 that one edit allows, and the words that meet are verified by their edit distance.
 
 The alphabet bounds the bigrams' order, the only thing that passes through the driver: at most
@@ -102,7 +103,8 @@ def prefix_of(word: str, ranks: dict[str, tuple[int, int]]) -> tuple[list[tuple[
 
 
 def prefixes(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
-    """The prefix bigrams of every word: ``word, n, gram, place, length, last, pivot``."""
+    """The prefix bigrams of every word: ``word, n, gram, place, length, last, pivot``,
+    which is 0 for the first pivot, 1 for the second and null for all others."""
     sent = words.sparkSession.sparkContext.broadcast(ranks)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,10 +113,11 @@ def prefixes(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
             for word, n in zip(b["word"], b["n"]):
                 prefix, last = prefix_of(word, sent.value)
                 pivots = pivotal(prefix)
-                rows += [(word, n, order, place, len(word), last, place in pivots) for place, order, _ in prefix]
-            yield pd.DataFrame(rows, columns=["word", "n", "gram", "place", "length", "last", "pivot"])
+                rows += [(word, n, order, place, len(word), last, pivots.index(place) if place in pivots else None) for place, order, _ in prefix]
+            out = pd.DataFrame(rows, columns=["word", "n", "gram", "place", "length", "last", "pivot"])
+            yield out.astype({"pivot": "Int32"})
 
-    schema = "word string, n long, gram int, place int, length int, last int, pivot boolean"
+    schema = "word string, n long, gram int, place int, length int, last int, pivot int"
     return words.mapInPandas(cut, schema)
 
 
@@ -128,7 +131,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     )
     flanked = grams.select("word", "n", "gram", "length", "last", "pivot", F.inline(sides)).withColumnRenamed("at", "place")
     lengths = F.explode(F.array(*[F.col("length") + d for d in SHIFTS]))
-    asked = flanked.where("pivot").select(
+    asked = flanked.where("pivot = side").select(
         "gram", "side", "place", "flank", lengths.alias("length"),
         F.col("word").alias("a"), F.col("n").alias("na"), F.col("last").alias("last_a"),
     )

@@ -249,9 +249,10 @@ def leaders(spectra: DataFrame) -> DataFrame:
 
 
 def whitened(x: np.ndarray, fit: Fit) -> np.ndarray:
-    """The components of each row, NaN where one has no variance."""
+    """The components of each row, NaN where one has no variance; equal rows give equal bits."""
     scale = np.where(fit.varied, np.sqrt(fit.values), np.nan)
-    return (x - fit.mean) @ fit.basis / scale
+    apart = x - fit.mean
+    return np.stack([(apart * column).sum(axis=1) for column in fit.basis.T], axis=1) / scale
 
 
 def deviations(x: np.ndarray, fit: Fit) -> list[int]:
