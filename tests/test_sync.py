@@ -221,7 +221,8 @@ def test_incomplete_full_run_replaces_only_edges_it_saw(spark, house, tmp_path):
     feed = landing(tmp_path / "b", [record("824", firstname="Noor", associations={}, hs_lastmodifieddate="2024-06-20T00:00:00Z")], links=False)
     land(tmp_path / "b" / "contacts" / "records", BROKEN)
     sync_object(spark, feed, house, force_full=True, mark=JULY)
-    assert edges(house) == [e for e in before if e[0] != 824]
+    # What the link feed told of the record stays.
+    assert edges(house) == [e for e in before if e[:2] != (824, "companies")]
 
 
 def test_records_that_lose_all_links(spark, house, tmp_path):
@@ -230,8 +231,68 @@ def test_records_that_lose_all_links(spark, house, tmp_path):
     late = [record("811", associations={"companies": linked()}, hs_lastmodifieddate="2024-06-20T00:00:00Z"),
             record("824", hs_lastmodifieddate="2024-06-20T00:00:00Z")]
     sync_object(spark, landing(tmp_path / "b", late, links=False), house, mark=JULY)
-    # A record that came without any associations says nothing about them.
-    assert edges(house) == [e for e in before if e[0] != 811]
+    # A record that came without any associations says nothing about them, and none about the link feed's.
+    assert edges(house) == [e for e in before if e[0] != 811 or e[1] == "meters"]
+
+
+def metered(*pairs):
+    """A link page: (record, target) with one link type, no target for a record without links."""
+    return {"results": [
+        {"from": {"id": i}, "to": [{"toObjectId": t, "associationTypes": [{"typeId": 1}]}] if t else []} for i, t in pairs]}
+
+
+def meters(house):
+    return sorted((r.contact_id, r.meters_id) for r in house.read("contact_meters").collect())
+
+
+@pytest.mark.parametrize("same_folder", [True, False])
+def test_links_of_unchanged_and_of_later_records(spark, house, tmp_path, same_folder):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    root = tmp_path / ("a" if same_folder else "b")
+    if not same_folder:
+        landing(root, [], links=False)
+    links = root / "contacts" / "links" / "to_type=2-9"
+    # 839 did not change; 811 is told to have no meters any more; 555 is not there yet, and told anew.
+    land(links, metered(("839", 910), ("811", None), ("555", 902), ("556", 903)))
+    before = edges(house)
+    summary = sync_object(spark, Feed.under(str(root), "contacts"), house, mark=JULY)
+    assert (summary.sync_mode, summary.status) == ("incremental", "healthy")
+    assert meters(house) == [(839, 910)]
+    assert [e for e in edges(house) if e[1] != "meters"] == [e for e in before if e[1] != "meters"]
+    waiting = {(r.from_id, r.to_type, r.to_id) for r in house.read("contact_links_waiting").collect()}
+    assert waiting == {(555, "meters", 902), (556, "meters", 903)}
+    # The record comes, its link page was read long ago.
+    late = [record("555", firstname="Late", hs_lastmodifieddate="2024-07-20T00:00:00Z")]
+    sync_object(spark, landing(tmp_path / "c", late, links=False), house, mark=AUGUST)
+    assert meters(house) == [(555, 902), (839, 910)]
+    assert [r.from_id for r in house.read("contact_links_waiting").collect()] == [556]
+
+
+def test_a_changed_record_keeps_the_links_of_its_feed(spark, house, tmp_path):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    changed = [record("811", associations={"companies": linked(("77", "1"))}, hs_lastmodifieddate="2024-06-20T00:00:00Z")]
+    summary = sync_object(spark, landing(tmp_path / "b", changed, links=False), house, mark=JULY)
+    assert {e[1:] for e in edges(house) if e[0] == 811} == {("companies", 77), ("meters", 900)}
+    assert summary.associations_found == 1
+
+
+def test_an_edge_told_twice_is_shown_once(spark, house, tmp_path):
+    told = [record("811", associations={"meters": linked(("900", "1"))}, hs_lastmodifieddate="2024-06-01T00:00:00Z")]
+    sync_object(spark, landing(tmp_path / "a", told), house, mark=JUNE)
+    # Type 1 is told by the record and by the link feed, type 2 by the feed alone.
+    assert house.read("contact_edges").where("to_type = 'meters'").count() == 3 and meters(house) == [(811, 900)] * 2
+    gone = [record("811", associations={}, hs_lastmodifieddate="2024-06-20T00:00:00Z")]
+    sync_object(spark, landing(tmp_path / "b", gone, links=False), house, mark=JULY)
+    assert meters(house) == [(811, 900)] * 2
+
+
+def test_links_of_a_deleted_record_wait(spark, house, tmp_path):
+    sync_object(spark, landing(tmp_path / "a"), house, mark=JUNE)
+    feed = landing(tmp_path / "b", [], [{"id": "839", "archived": True}], links=False)
+    land(tmp_path / "b" / "contacts" / "links" / "to_type=2-9", metered(("839", 910)))
+    sync_object(spark, feed, house, mark=JULY)
+    assert (839, 910) not in meters(house)
+    assert 839 in {r.from_id for r in house.read("contact_links_waiting").collect()}
 
 
 def test_counts_do_not_grow_on_a_repeated_run(spark, house, tmp_path):

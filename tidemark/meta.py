@@ -23,6 +23,10 @@ STAGE_PREFIXES = [
 ]
 
 EDGE_KEY = ["from_id", "to_type", "to_id", "type_id"]
+#: Where an edge was told: in its record (``INLINE``) or by the link feed of one target type. Each origin
+#: speaks for its own edges only.
+EDGE_ORIGIN = "_origin"
+INLINE = "inline"
 #: Edge tables are bucketed by these; a from-id's edges are dealt over so many salts.
 EDGE_PLACE = ["from_id", "_salt"]
 EDGE_SALTS = 8

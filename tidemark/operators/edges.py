@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casts import parse_id
 from tidemark.functions.naming import edge_columns, normalize_expr
-from tidemark.meta import DEFAULT_CATEGORY, EDGE_KEY, EDGE_PLACE, EDGE_SALTS
+from tidemark.meta import DEFAULT_CATEGORY, EDGE_KEY, EDGE_ORIGIN, EDGE_PLACE, EDGE_SALTS
 from tidemark.operators.merge import keep_last, replace_where_listed, upsert
+from tidemark.session import write_once
 
 
 ITEM = "struct<id:string, type:string, category:string>"
@@ -79,28 +80,38 @@ def usable_edges(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
 
 
-def flatten_links(batches: DataFrame, to_type: Column | str, order: str = "_ord") -> DataFrame:
-    """Link batches (one from-id, many targets, several link types each) to edge rows."""
+def flatten_links(
+    batches: DataFrame, to_type: Column | str, order: str = "_ord", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Link batches (one from-id, many targets, several link types each) to edge rows.
+
+    ``carry`` names columns to pass along; with any, a batch without links (or without a from-id)
+    still gives a row, whose ``to_id`` is null.
+    """
     target = F.lit(to_type) if isinstance(to_type, str) else to_type
-    named = batches.where(F.coalesce(F.col("from.id"), F.lit("")) != "")
+    named = batches if carry else batches.where(F.coalesce(F.col("from.id"), F.lit("")) != "")
     each = named.select(
+        *carry,
         F.col("from.id").alias("_from"),
         target.alias("to_type"),
         F.col(order).alias("_rec"),
         F.posexplode_outer("to").alias("_at", "_to"),
     )
     kinds = each.select(
+        *carry,
         "_from",
         "to_type",
         F.col("_to.toObjectId").alias("_to_id"),
         "_rec",
         "_at",
         F.posexplode_outer("_to.associationTypes").alias("_k", "_kind"),
-    ).where(F.col("_k").isNotNull())
-    return kinds.select(
+    )
+    found = F.col("_k").isNotNull()
+    return (kinds if carry else kinds.where(found)).select(
+        *carry,
         parse_id(F.col("_from")).alias("from_id"),
         "to_type",
-        parse_id(F.col("_to_id")).alias("to_id"),
+        F.when(found, parse_id(F.col("_to_id"))).alias("to_id"),
         F.coalesce("_kind.typeId", F.lit("")).alias("type_id"),
         F.coalesce("_kind.category", F.lit(DEFAULT_CATEGORY)).alias("category"),
         F.struct("_rec", F.lit("").alias("_type"), "_at", "_k").alias("_ord"),
@@ -118,9 +129,13 @@ def edge_counts(edges: DataFrame) -> DataFrame:
     return edges.groupBy("to_type").agg(F.count(F.lit(1)).alias("edges"))
 
 
+def _key(edges: DataFrame) -> list[str]:
+    return [*EDGE_KEY, EDGE_ORIGIN] if EDGE_ORIGIN in edges.columns else EDGE_KEY
+
+
 def dedupe_edges(edges: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """One edge per (from, type, to, link type): the last to arrive."""
-    return keep_last(edges, EDGE_KEY, order or ["_ord"])
+    """One edge per (from, type, to, link type) and origin, if there is one: the last to arrive."""
+    return keep_last(edges, _key(edges), order or ["_ord"])
 
 
 def replace_edge_types(target: DataFrame, load: DataFrame, declared: list[str]) -> DataFrame:
@@ -131,7 +146,7 @@ def replace_edge_types(target: DataFrame, load: DataFrame, declared: list[str])
 
 def merge_edges(target: DataFrame, load: DataFrame) -> DataFrame:
     """Incremental mode: update known edges, add new ones."""
-    return upsert(target, load, EDGE_KEY)
+    return upsert(target, load, _key(target))
 
 
 def salted(edges: DataFrame) -> DataFrame:
@@ -142,14 +157,36 @@ def salted(edges: DataFrame) -> DataFrame:
 def replace_edges_of(target: DataFrame, load: DataFrame, changed: DataFrame) -> DataFrame:
     """All edges of the changed records (column ``from_id``) become the load's edges.
 
-    A target with salts is met on both columns that it is bucketed by, so it stays in place: each
-    listed record comes once for every salt.
+    Where ``changed`` names origins too, only a record's edges of that origin are replaced. A target
+    with salts is met on both columns that it is bucketed by, so it stays in place: each listed record
+    comes once for every salt.
     """
+    of = [c for c in ("from_id", EDGE_ORIGIN) if c in changed.columns]
     if "_salt" not in target.columns:
-        return replace_where_listed(target, load, ["from_id"], changed)
+        return replace_where_listed(target, load, of, changed)
     salts = F.explode(F.sequence(F.lit(0), F.lit(EDGE_SALTS - 1))).alias("_salt")
-    listed = changed.select("from_id").distinct().select("from_id", salts)
-    return replace_where_listed(target, salted(load), EDGE_PLACE, listed)
+    listed = changed.select(*of).distinct().select(*of, salts)
+    return replace_where_listed(target, salted(load), [*EDGE_PLACE, *of[1:]], listed)
+
+
+def settle_links(
+    links: DataFrame, told: DataFrame, waiting: DataFrame | None, records: DataFrame, record_id: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links of known records, the (from_id, origin) that they replace, links that wait on).
+
+    ``told`` lists what the feed has spoken about, with links or without; it supersedes what has been
+    ``waiting`` for its record since earlier loads. The known records, which may be many and bucketed by
+    their id, are met by one row for each from-id and stay where they are.
+    """
+    pairs = told.select("from_id", EDGE_ORIGIN)
+    if waiting is not None:
+        old = waiting.join(pairs, ["from_id", EDGE_ORIGIN], "left_anti")
+        links = links.unionByName(old, allowMissingColumns=True)
+        pairs = pairs.union(old.select("from_id", EDGE_ORIGIN)).distinct()
+    ids = pairs.select("from_id").distinct()
+    known = write_once(ids.join(records, F.col("from_id") == F.col(record_id), "left_semi"), "linked-records")
+    attached = links.join(known, "from_id", "left_semi")
+    return attached, pairs.join(known, "from_id", "left_semi"), links.join(known, "from_id", "left_anti")
 
 
 def edge_table(edges: DataFrame, own: str, to_type: str) -> DataFrame:

@@ -19,7 +19,7 @@ from tidemark.functions.naming import (
     normalize_name,
     plan_columns,
 )
-from tidemark.meta import EDGE_PLACE, MetaColumns
+from tidemark.meta import EDGE_ORIGIN, EDGE_PLACE, INLINE, MetaColumns
 from tidemark.operators import edges as E
 from tidemark.operators import hierarchy as H
 from tidemark.operators import merge as M
@@ -109,22 +109,47 @@ def read_catalog(spark: SparkSession, feed: Feed, meta: MetaColumns = MetaColumn
     return Catalog(table, columns, link_names, trees)
 
 
-def read_links(
-    spark: SparkSession, feed: Feed, names: DataFrame, landed_after: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Edges from link-batch pages, which land per target type id (``to_type=<id>`` folders), and
-    the ``from_id`` of every record that the pages name, links or not."""
-    pages = G.read_pages(spark, feed.links, G.LINK_BATCH, landed_after=landed_after)
+LINK = ["from_id", "to_type", "to_id", "type_id", "category", EDGE_ORIGIN]
+
+
+@dataclass(frozen=True)
+class Links:
+    """What link pages say: their links, every (from_id, origin) that they name, and unreadable pages."""
+
+    found: DataFrame
+    told: DataFrame
+    unreadable: DataFrame
+
+
+def read_links(spark: SparkSession, feed: Feed, names: DataFrame, landed_after: str | None = None) -> Links:
+    """Link-batch pages, which land per target type id (``to_type=<id>`` folders), parsed once.
+
+    For each record and target type that file counts which landed last; what one file says adds up.
+    """
+    pages = G.read_pages(spark, feed.links, G.LINK_BATCH, landed_after=landed_after, landed=True)
     if "to_type" not in pages.columns:
         pages = pages.withColumn("to_type", F.lit(None).cast("string"))
-    batches = pages.select("_page", "to_type", F.posexplode("results").alias("_pos", "_result"))
-    batches = batches.select("_result.*", "to_type", F.struct("_page", "_pos").alias("_ord"))
-    # Type names meet the pages by a join: there may be any number of link types.
-    named = names.select(F.col("type_id").alias("_type_id"), normalize_expr(F.col("name")).alias("_type_name"))
     raw = F.col("to_type").cast("string")
-    batches = batches.join(named.dropDuplicates(["_type_id"]), raw == F.col("_type_id"), "left")
-    sources = batches.select(parse_id(F.col("from.id")).alias("from_id")).where("from_id is not null")
-    return E.flatten_links(batches, F.coalesce("_type_name", normalize_expr(raw))), sources
+    origin = F.concat(F.lit("feed "), F.coalesce(raw, F.lit(""))).alias(EDGE_ORIGIN)
+    file = F.struct(F.col("_landed").alias("at"), F.col("_page.file").alias("file")).alias("_file")
+    results = F.posexplode_outer("results").alias("_pos", "_result")
+    each = pages.select(raw.alias("_type_id"), origin, file, "_corrupt", "_page", results)
+    each = each.withColumn("_corrupt", F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_corrupt")))
+    batches = each.select("_result.*", "_type_id", EDGE_ORIGIN, "_file", "_corrupt", F.struct("_page", "_pos").alias("_ord"))
+    batches = batches.withColumn("_result", F.col("_ord"))
+    carry = ("_type_id", EDGE_ORIGIN, "_file", "_corrupt", "_result")
+    rows = E.flatten_links(batches, F.lit(None).cast("string"), carry=carry).drop("to_type")
+    staged = write_once(rows.where("from_id IS NOT NULL OR _corrupt IS NOT NULL"), "links")
+
+    broken = staged.where("_corrupt IS NOT NULL").dropDuplicates(["_result", "_corrupt"])
+    told = staged.where("from_id IS NOT NULL").groupBy("from_id", EDGE_ORIGIN).agg(F.max("_file").alias("_file"))
+    told = write_once(told, "told-links")
+    last = staged.where("to_id IS NOT NULL").join(told, ["from_id", EDGE_ORIGIN, "_file"], "left_semi")
+    # Type names meet the links by a join: there may be any number of link types.
+    named = names.select(F.col("type_id").alias("_type_id"), normalize_expr(F.col("name")).alias("_type_name"))
+    found = last.join(named.dropDuplicates(["_type_id"]), "_type_id", "left")
+    found = found.withColumn("to_type", F.coalesce("_type_name", normalize_expr(F.col("_type_id"))))
+    return Links(found.select(*LINK, "_ord"), told.drop("_file"), broken.select(F.col("_result").alias("_ord"), "_corrupt"))
 
 
 def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta: MetaColumns) -> tuple[int, int]:
@@ -145,12 +170,15 @@ def _publish_edges(
 ) -> int:
     """All edges of the object in one table, and a view per target type under its own names.
 
-    A ``whole`` load replaces the table; any other one replaces the edges of the records that it
-    ``touched``, whether it brought links for them or not. Without ``touched`` no edge goes.
+    A ``whole`` load replaces the table; any other one replaces what it ``touched``: a record's edges of
+    one origin, whether it brought links for them or not. Without ``touched`` no edge goes. The views
+    show an edge once, however many origins tell of it.
     """
     name = f"{catalog.table}_edges"
-    fresh = E.dedupe_edges(found, ["_src", "_ord"]).drop("_src", "_ord")
+    fresh = E.dedupe_edges(found).drop("_ord")
     current = house.read(name)
+    if current is not None and EDGE_ORIGIN not in current.columns:
+        current = current.withColumn(EDGE_ORIGIN, F.lit(INLINE))
     merge = current is not None and not whole
     placed = merge and touched is not None
     if merge and touched is None:
@@ -166,7 +194,7 @@ def _publish_edges(
     held = fresh if current is None else current.select("to_type").union(found.select("to_type"))
     listed = collect_catalog(held.select("to_type").distinct())
     types = sorted({r.to_type or "" for r in listed})
-    taken = [name, f"{catalog.table}_pipeline", f"{catalog.table}_pipeline_stage"]
+    taken = [name, f"{catalog.table}_pipeline", f"{catalog.table}_pipeline_stage", f"{catalog.table}_links_waiting"]
     views = fit_names([f"{catalog.table}_{t}" for t in types], taken=taken)
     house.publish(fresh, name, EDGE_PLACE, placed=placed, partition_by=["to_type"])
     for to_type, view in zip(types, views):
@@ -175,8 +203,9 @@ def _publish_edges(
         of_type = f"to_type = '{to_type}'" if to_type else "to_type IS NULL"
         house.spark.sql(
             f"CREATE OR REPLACE VIEW {house.qualified(view)} AS SELECT from_id AS `{from_col}`,"
-            f" to_id AS `{to_col}`, type_id, category, `{meta.synced}`"
-            f" FROM {house.qualified(name)} WHERE {of_type}"
+            f" to_id AS `{to_col}`, type_id, max_by(category, struct(`{meta.synced}`, {EDGE_ORIGIN} <> '{INLINE}'))"
+            f" AS category, max(`{meta.synced}`) AS `{meta.synced}`"
+            f" FROM {house.qualified(name)} WHERE {of_type} GROUP BY from_id, _salt, to_id, type_id"
         )
     return len(types)
 
@@ -201,7 +230,9 @@ def sync_object(
     records, links or, in an incremental run, archived records) and
     unusable ids go to ``sync_rejects``; a run that met any is incomplete: it marks no vanished rows,
     replaces only edges of records that it saw (none, if a link page was unreadable), and leaves the mark
-    where it was, so the next run reads the same span again. A load without a row changes neither records nor edges.
+    where it was, so the next run reads the same span again. A full load without a row changes neither records
+    nor edges. Links from pages join any live record of the table; those of records that are not there
+    wait in ``<table>_links_waiting`` for a later run.
     """
     started = time.monotonic()
     mark = mark or run_mark()
@@ -235,12 +266,14 @@ def sync_object(
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(F.col("_bad_id").isNotNull() | F.col("_corrupt").isNotNull()).alias("failed"),
     ).first()
-    unread = G.unreadable_pages(G.read_pages(spark, feed.links, G.LINK_BATCH, landed_after=after))
-    unread = unread.withColumn("of_links", F.lit(True))
+    links = read_links(spark, feed, catalog.link_names, after)
+    unread = links.unreadable.withColumn("of_links", F.lit(True))
     if mode == "incremental":
         archived = G.read_pages(spark, feed.archived, landed_after=after)
-        unread = unread.union(G.unreadable_pages(archived).withColumn("of_links", F.lit(False)))
-    unread = write_once(unread.withColumn("_bad_id", F.lit(None).cast("string")), "unreadable")
+        archived = write_once(G.explode_results(archived, keep_unreadable=True), "archived")
+        broken = archived.where("_corrupt IS NOT NULL AND coalesce(_ord._pos, 0) = 0").select("_ord", "_corrupt")
+        unread = unread.union(broken.withColumn("of_links", F.lit(False)))
+    unread = unread.withColumn("_bad_id", F.lit(None).cast("string"))
     pages = unread.agg(F.count(F.lit(1)).alias("n"), F.count_if("of_links").alias("of_links")).first()
     fetched, failed = tally.fetched, tally.failed + pages.n
     complete = failed == 0
@@ -259,7 +292,7 @@ def sync_object(
         added = new_columns(target.schema, load.schema)
         load = align(load, target.schema)
         if mode == "incremental":
-            gone = X.archived_since(G.explode_results(archived), since, meta)
+            gone = X.archived_since(archived, since, meta)
             new = M.apply_changes(target, load, gone, mark, meta)
         elif complete:
             new = M.full_sync(target, load, mark, meta, seen=good)
@@ -267,19 +300,25 @@ def sync_object(
             new = M.upsert(target, load, [meta.id])
     published = house.publish(new, catalog.table, [meta.id], placed=target is not None)
 
-    inline = E.normalize_edges(good).withColumn("_src", F.lit(0))
-    links, sources = read_links(spark, feed, catalog.link_names, after)
-    linked = E.attach_edges(links, good.select(meta.id), meta.id)
-    found = E.usable_edges(inline.unionByName(linked.withColumn("_src", F.lit(1))))
-    found = write_once(found.withColumn(meta.synced, at(mark)), "edges")
+    whole = mode == "full" and complete
+    waiting = None if whole else house.read(f"{catalog.table}_links_waiting")
+    live = published.where(~F.col(meta.deleted)).select(meta.id)
+    linked, spoken, later = E.settle_links(links.found, links.told, waiting, live, meta.id)
+    inline = E.normalize_edges(good).withColumn(EDGE_ORIGIN, F.lit(INLINE))
+    found = E.usable_edges(inline.unionByName(linked)).withColumn(meta.synced, at(mark))
+    found = write_once(found, "edges")
     # Records whose links this run has read, even if there were none.
     told = good.where(F.ltrim("associations").startswith("{")).select(parse_id(F.col("id")).alias("from_id"))
-    named = E.attach_edges(sources, good.select(meta.id), meta.id)
-    touched = told.union(named).where("from_id is not null") if not pages.of_links else None
+    told = told.where("from_id is not null").withColumn(EDGE_ORIGIN, F.lit(INLINE))
+    touched = told.union(spoken) if not pages.of_links else None
     seen = not good.isEmpty()
     tables = 0
-    if seen or house.read(f"{catalog.table}_edges") is None:
-        tables = _publish_edges(house, catalog, found, touched, mode == "full" and complete and seen, meta)
+    # A full load without a record is taken for a failed read.
+    if seen or mode == "incremental" or house.read(f"{catalog.table}_edges") is None:
+        tables = _publish_edges(house, catalog, found, touched, whole and seen, meta)
+        later = write_once(later.select(*LINK).distinct(), "links-waiting")
+        if house.exists(f"{catalog.table}_links_waiting") or not later.isEmpty():
+            house.publish(later, f"{catalog.table}_links_waiting", ["from_id"])
 
     of_run = published.where(F.col(meta.synced) == at(mark))
     counts = of_run.agg(

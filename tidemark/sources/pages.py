@@ -47,11 +47,12 @@ def read_pages(
     result: str = RECORD,
     multi_line: bool = False,
     landed_after: str | None = None,
+    landed: bool = False,
 ) -> DataFrame:
     """Pages of one kind, each with ``_page``, its place among all pages (file, then line).
 
-    ``landed_after`` skips files that landed earlier without opening them. An absent path is an
-    empty feed.
+    ``landed_after`` skips files that landed earlier without opening them; with ``landed`` the time
+    that a page's file landed comes along as ``_landed``. An absent path is an empty feed.
     """
     schema = page_type(result)
     reader = (
@@ -66,8 +67,9 @@ def read_pages(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
+    more = [F.col("_metadata.file_modification_time").alias("_landed")] if landed else []
     try:
-        return reader.json(path).select("*", place.alias("_page"))
+        return reader.json(path).select("*", place.alias("_page"), *more)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -78,7 +80,8 @@ def read_pages(
             none.cast("bigint").alias("block"),
             none.cast("bigint").alias("line"),
         )
-        return empty.select("*", place.alias("_page"))
+        more = [none.cast("timestamp").alias("_landed")] if landed else []
+        return empty.select("*", place.alias("_page"), *more)
 
 
 def parse_pages(df: DataFrame, text: str, order: str, result: str = RECORD) -> DataFrame:

@@ -261,6 +261,42 @@ def sync_link_batches(t: Tables) -> DataFrame:
     )
 
 
+def link_page(target: Column) -> Column:
+    """A link page of one order: to ``target``, or without links where that is null."""
+    kinds = F.array(F.struct(F.lit("7").alias("typeId")))
+    to = F.struct(target.cast("string").alias("toObjectId"), kinds.alias("associationTypes"))
+    batch = F.struct(
+        F.struct(text("o_orderkey").alias("id")).alias("from"),
+        F.filter(F.array(to), lambda x: x["toObjectId"].isNotNull()).alias("to"),
+    )
+    return F.to_json(F.struct(F.array(batch).alias("results")))
+
+
+@query("""
+    WITH o AS (SELECT *, o_orderdate < TIMESTAMP '1998-06-01' AS early FROM orders)
+    SELECT o_orderkey AS order_id, 'customers' AS to_type, o_custkey AS to_id FROM o
+    UNION ALL
+    SELECT o_orderkey, '2_9', CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 ELSE o_custkey END FROM o
+    WHERE NOT (o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0)""")
+def sync_edges_incremental(t: Tables) -> DataFrame:
+    """Link pages of all orders land before the late ones come; later ones tell other links, or none, of
+    orders most of which have not changed. Every order's own link to its customer stays throughout."""
+    house, folder = fresh_warehouse(t, "edges", t.orders)
+    early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
+    land(t, f"{folder}/first", t.orders.where(early))
+    land(t, f"{folder}/second", t.orders)
+    t.orders.select(link_page(F.col("o_custkey"))).write.text(f"{folder}/first/orders/links/to_type=2-9")
+    key = F.col("o_orderkey")
+    told = F.when(key % 5 == 0, F.col("o_custkey") + 1)
+    later = t.orders.where((key % 5 == 0) | (key % 7 == 0)).select(link_page(told))
+    later.write.text(f"{folder}/second/orders/links/to_type=2-9")
+    sync_object(t.spark, Feed.under(f"{folder}/first", "orders"), house, mark=datetime(1998, 6, 1))
+    sync_object(t.spark, Feed.under(f"{folder}/second", "orders"), house, mark=datetime(2002, 1, 1))
+    inline = house.read("order_customers").select("order_id", F.lit("customers").alias("to_type"), F.col("customers_id").alias("to_id"))
+    fed = house.read("order_2_9").select("order_id", F.lit("2_9").alias("to_type"), F.col("`2_9_id`").alias("to_id"))
+    return inline.union(fed)
+
+
 @query("""
     SELECT r_regionkey::VARCHAR AS pipeline_id, r_name AS pipeline, n_nationkey::VARCHAR AS stage_id, n_name AS stage
     FROM nation JOIN region ON n_regionkey = r_regionkey""")
