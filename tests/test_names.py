@@ -1,10 +1,15 @@
+import random
 import unicodedata
+from datetime import date
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.functions import naming
+from tidemark.functions.casts import parse_date, parse_number
+from tidemark.operators import ordinal
 from tidemark.functions.naming import (
     column_lineage,
     edge_columns,
@@ -111,4 +116,40 @@ def test_table_name(spark):
 def test_both_forms_agree_and_never_clash(spark, names):
     df = spark.createDataFrame(list(enumerate(names, start=1)), "position int, name string")
     got = [r.final for r in fit_names_frame(df, "name", "position").orderBy("position").collect()]
-    assert got == fit_names(names) and len(set(got)) == len(got)
+    assert got == fit_names(names, reserve=True) and len(set(got)) == len(got)
+    assert len(set(fit_names(names))) == len(names)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_frame_form_agrees_on_invented_names(spark, seed):
+    rng = random.Random(seed)
+    heads = ["a", "a_2", "b_1", "x" * 7, "x" * 6, "x" * 5 + "_2", "x" * 6 + "_", "y" * 4 + "_10"]
+    names = [rng.choice(heads) + rng.choice(["", "", "", f"_{rng.randint(0, 14)}", "z" * rng.randint(0, 6)]) for _ in range(160)]
+    df = spark.createDataFrame(list(enumerate(names, start=1)), "position int, name string").repartition(3)
+    got = [r.final for r in fit_names_frame(df, "name", "position", limit=8).orderBy("position").collect()]
+    assert got == fit_names(names, limit=8, reserve=True) and len(set(got)) == len(got)
+
+
+def test_passes_do_not_grow_with_repeats(spark, monkeypatch):
+    written = []
+    for module in (naming, ordinal):
+        monkeypatch.setattr(module, "write_once", lambda df, name, write=ordinal.write_once: written.append(name) or write(df, name))
+    counts = []
+    for n in (5, 1000):
+        written.clear()
+        names = ["a_2", *["a"] * n, "a_7"]
+        df = spark.createDataFrame(list(enumerate(names)), "position int, name string")
+        got = [r.final for r in fit_names_frame(df, "name", "position").orderBy("position").collect()]
+        assert got == fit_names(names, reserve=True)
+        counts.append(len(written))
+    # Three sorts: by name, the numbers that are held, both together.
+    assert counts[0] == counts[1] and written.count("occurrences") == 3
+
+
+@pytest.mark.parametrize("end", ["\n", "\r", "\r\n", "\x85", "\u2028", "\u2029"])
+def test_line_ends_are_no_part_of_a_name_or_value(spark, end):
+    df = spark.createDataFrame([(f"abc{end}", f"12{end}", f"2024-05-06{end}")], "n string, v string, d string")
+    row = df.select(normalize_expr(F.col("n")), parse_number(F.col("v")), parse_date(F.col("d"))).first()
+    assert row[0] == normalize_name(f"abc{end}") == "abc"
+    plain = end in ("\n", "\r", "\r\n")
+    assert row[1] == (12.0 if plain else None) and row[2] == (date(2024, 5, 6) if plain else None)

@@ -20,8 +20,8 @@ STORAGE_TYPES = {
 }
 DECIMAL_NUMBER = "decimal(38,9)"
 
-_PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_ISO_START = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$"
+_PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+_ISO_START = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?\s*\z"
 
 
 def parse_id(text: Column) -> Column:

@@ -7,6 +7,7 @@ import string
 import unicodedata
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +46,11 @@ def normalize_expr(text: Column) -> Column:
     Text that is ASCII already needs no table of letters, and a name in this form nothing at all.
     """
     ascii_only = F.translate(F.lower(text), " -", "__")
-    folded = F.when(text.rlike(r"^[\x00-\x7F]*$"), ascii_only).otherwise(F.translate(F.lower(text), _FROM, _TO))
+    folded = F.when(text.rlike(r"\A[\x00-\x7F]*\z"), ascii_only).otherwise(F.translate(F.lower(text), _FROM, _TO))
     kept = F.regexp_replace(folded, "[^a-z0-9_]", "")
     squeezed = F.regexp_replace(kept, "_{2,}", "_")
     done = F.coalesce(F.btrim(squeezed, F.lit("_")), F.lit(""))
-    return F.when(text.rlike("^[a-z0-9]+(_[a-z0-9]+)*$"), text).otherwise(done)
+    return F.when(text.rlike(r"\A[a-z0-9]+(_[a-z0-9]+)*\z"), text).otherwise(done)
 
 
 def normalize_name(text: object) -> str:
@@ -62,14 +63,22 @@ def normalize_name(text: object) -> str:
     return re.sub("_+", "_", "".join(ch for ch in folded if ch in _KEPT)).strip("_")
 
 
-def fit_names(names: Iterable[str], limit: int = MAX_NAME, taken: Iterable[str] = ()) -> list[str]:
-    """Cut names to ``limit`` and number repeats, trying on until a name is free."""
+def fit_names(
+    names: Iterable[str], limit: int = MAX_NAME, taken: Iterable[str] = (), reserve: bool = False
+) -> list[str]:
+    """Cut names to ``limit`` and number repeats, trying on until a name is free.
+
+    A name that comes later may find its own given to a repeat; with ``reserve`` it never does, as no
+    repeat takes a name that any other holds as its own. The first form suits lists that grow at their
+    end, whose names should not change; the second does not depend on where a name stands.
+    """
     used = set(taken)
+    cuts = [(name or f"col_{position}")[:limit] for position, name in enumerate(names, start=1)]
+    kept = set(cuts) if reserve else set()
     fitted = []
-    for position, name in enumerate(names, start=1):
-        base = (name or f"col_{position}")[:limit]
+    for base in cuts:
         candidate, n = base, 1
-        while candidate in used:
+        while candidate in used or n > 1 and candidate in kept:
             n += 1
             candidate = f"{base[: limit - len(f'_{n}')]}_{n}"
         used.add(candidate)
@@ -77,31 +86,70 @@ def fit_names(names: Iterable[str], limit: int = MAX_NAME, taken: Iterable[str]
     return fitted
 
 
+#: Digits of the largest number that a frame of names may need.
+MAX_DIGITS = 10
+
+
 def fit_names_frame(
     df: DataFrame, name: str, position: str, out: str = "final", limit: int = MAX_NAME
 ) -> DataFrame:
-    """Same rule over a column of names: the n-th holder of a cut name gets ``_n``, and goes on to the
-    next number while an earlier row holds that name.
+    """The ``reserve`` form of :func:`fit_names` over a column of names; ``position`` must be unique.
+
+    The first holder of a cut name keeps it. The others draw numbers from the pool of names that start
+    alike: the r-th of them takes the r-th number that no cut name holds. A cut name has one pool of
+    all numbers if the longest suffix fits behind it; where suffixes shorten it, every suffix length has a
+    pool of its own, which cut names with the same head share. So the number of passes does not
+    depend on how many repeats there are, but for the digits of their count. Only positions and cut
+    names take part; rows are joined to their numbers once.
+    """
+    cut = df.select(F.col(position).alias("_at"), F.substring(F.col(name), 1, limit).alias("_cut"))
+    numbered = occurrence_number(cut, ["_cut"], ["_at"], out="_nth", costly=True)
+    numbered = write_once(numbered, "cut-names")
+    firsts, again = numbered.where("_nth = 1").select("_cut"), numbered.where("_nth > 1")
+    suffix = r"_([1-9][0-9]{0,8})\z"
+    literal = firsts.where(F.col("_cut").rlike(suffix)).select(
+        F.regexp_replace("_cut", suffix, "").alias("_key"), F.regexp_extract("_cut", suffix, 1).cast("long").alias("_k")
+    )
+    short = F.length("_cut") <= limit - MAX_DIGITS - 1
+    pool = again.where(short).select("_at", "_cut", F.col("_cut").alias("_key"), (F.col("_nth") - 2).alias("_r"))
+    given = [_drawn(pool, literal, 2)]
+    rest = again.where(~short).select("_at", "_cut")
+    for digits in range(1, MAX_DIGITS):
+        if rest.isEmpty():
+            break
+        low, high = max(2, 10 ** (digits - 1)), 10**digits - 1
+        keyed = rest.withColumn("_key", F.substring("_cut", 1, limit - digits - 1))
+        pool = occurrence_number(keyed, ["_key"], ["_at"], out="_r").withColumn("_r", F.col("_r") - 1)
+        drawn = write_once(_drawn(pool, literal.where(F.col("_k").between(low, high)), low), "drawn-names")
+        given.append(drawn.where(F.col("_n") <= high))
+        rest = drawn.where(F.col("_n") > high).select("_at", "_cut")
+    numbers = reduce(DataFrame.unionByName, given).select(
+        F.col("_at").alias("_given_at"), F.concat("_key", F.lit("_"), F.col("_n").cast("string")).alias("_given")
+    )
+    met = df.join(numbers, F.col(position) == F.col("_given_at"), "left")
+    return met.select(*df.columns, F.coalesce("_given", F.substring(F.col(name), 1, limit)).alias(out))
+
+
+def _drawn(pool: DataFrame, literal: DataFrame, low: int) -> DataFrame:
+    """``pool`` (rank ``_r`` from 0 within ``_key``) with ``_n``, the rank-th number from ``low`` on that is
+    not among the ``literal`` ones (``_key, _k``).
 
-    Rows that clash are few; each pass moves all but the first holder of a name on by one, which
-    ends where numbering row after row ends, as an earlier row always keeps its name. ``position``
-    must be unique.
+    A literal number with ``g`` free ones below it stands before the rank ``g``; so numbers are the
+    places in which ranks and literal numbers come when both are sorted together.
     """
-    cut = df.withColumn("_cut", F.substring(F.col(name), 1, limit))
-    numbered = occurrence_number(cut, ["_cut"], [position], out="_nth", costly=True)
-    suffix = F.concat(F.lit("_"), F.col("_nth").cast("string"))
-    head = F.col("_cut").substr(F.lit(1), F.lit(limit) - F.length(suffix))
-    fitted = F.when(F.col("_nth") == 1, F.col("_cut")).otherwise(F.concat(head, suffix))
-    while True:
-        named = write_once(numbered.withColumn(out, fitted), "names")
-        held = named.groupBy(out).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_holders"))
-        clash = held.where("_holders > 1").select(F.col(out).alias("_clash"), "_first")
-        if clash.isEmpty():
-            return named.drop("_cut", "_nth")
-        late = F.col("_clash").isNotNull() & (F.col(position) > F.col("_first"))
-        met = named.join(clash, F.col(out) == F.col("_clash"), "left")
-        moved = met.withColumn("_nth", F.col("_nth") + late.cast("long"))
-        numbered = moved.drop(out, "_clash", "_first")
+    held = literal.where(F.col("_k") >= low).join(pool.select("_key").distinct(), "_key", "left_semi")
+    held = write_once(held, "held-numbers")
+    if held.isEmpty():
+        return pool.select("_at", "_cut", "_key", (F.col("_r") + low).alias("_n"))
+    ranked = occurrence_number(held, ["_key"], ["_k"], out="_j")
+    none = F.lit(None)
+    before = ranked.select(
+        none.cast(pool.schema["_at"].dataType).alias("_at"), none.cast("string").alias("_cut"), "_key",
+        (F.col("_k") - low - F.col("_j") + 1).alias("_r"), F.lit(0).alias("_kind"), F.col("_k").alias("_tie"),
+    )
+    both = before.unionByName(pool.select("_at", "_cut", "_key", "_r", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_tie")))
+    placed = occurrence_number(both, ["_key"], ["_r", "_kind", "_tie"], out="_n")
+    return placed.where("_kind = 1").select("_at", "_cut", "_key", (F.col("_n") - 1 + low).alias("_n"))
 
 
 @dataclass(frozen=True)

@@ -276,11 +276,12 @@ def link_page(target: Column) -> Column:
     WITH o AS (SELECT *, o_orderdate < TIMESTAMP '1998-06-01' AS early FROM orders)
     SELECT o_orderkey AS order_id, 'customers' AS to_type, o_custkey AS to_id FROM o
     UNION ALL
-    SELECT o_orderkey, '2_9', CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 ELSE o_custkey END FROM o
-    WHERE NOT (o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0)""")
+    SELECT o_orderkey, '2_9', CASE WHEN o_orderkey % 5 = 0 AND o_orderstatus <> 'P' THEN o_custkey + 1 ELSE o_custkey END
+    FROM o WHERE CASE WHEN o_orderstatus = 'P' THEN early ELSE NOT (o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0) END""")
 def sync_edges_incremental(t: Tables) -> DataFrame:
     """Link pages of all orders land before the late ones come; later ones tell other links, or none, of
-    orders most of which have not changed. Every order's own link to its customer stays throughout."""
+    orders most of which have not changed. Every order's own link to its customer stays throughout. Orders that
+    are archived by then keep what they had."""
     house, folder = fresh_warehouse(t, "edges", t.orders)
     early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
     land(t, f"{folder}/first", t.orders.where(early))
