@@ -126,8 +126,10 @@ def fit_names_frame(
     numbers = reduce(DataFrame.unionByName, given).select(
         F.col("_at").alias("_given_at"), F.concat("_key", F.lit("_"), F.col("_n").cast("string")).alias("_given")
     )
-    met = df.join(numbers, F.col(position) == F.col("_given_at"), "left")
-    return met.select(*df.columns, F.coalesce("_given", F.substring(F.col(name), 1, limit)).alias(out))
+    final = F.coalesce("_given", "_cut").alias(out)
+    fitted = numbered.join(numbers, F.col("_at") == F.col("_given_at"), "left").select("_at", final)
+    # What made the names is not computed again, unless they are asked for.
+    return df.join(fitted, F.col(position) == F.col("_at"), "left").select(*df.columns, out)
 
 
 def _drawn(pool: DataFrame, literal: DataFrame, low: int) -> DataFrame:

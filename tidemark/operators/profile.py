@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import write_once
+
 SUMMARY = (
     "object_type STRING, status STRING, duration_seconds DOUBLE, records_fetched BIGINT,"
     " records_processed_ok BIGINT, records_failed BIGINT, db_upserts BIGINT,"
@@ -86,8 +88,8 @@ def top_null_columns(profile: DataFrame, n: int = 10, alert: float = 10.0) -> Da
 
 def truncated_report(columns: DataFrame, n: int = 10) -> DataFrame:
     """First ``n`` of the distinct (original, final) pairs by name, with how many are left out."""
-    pairs = columns.select("original", "final").distinct()
-    total = columns.select("original", "final").distinct().agg(F.count(F.lit(1))).scalar()
+    pairs = write_once(columns.select("original", "final").distinct(), "truncated-names")
+    total = pairs.agg(F.count(F.lit(1))).scalar()
     top = pairs.orderBy("original", "final").limit(n)
     return top.select("*", F.greatest(total - n, F.lit(0)).alias("not_shown"))
 
