@@ -1,10 +1,13 @@
+import os
+import random
 import uuid
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from samples import land, pages, record
+from samples import land, linked, pages, record
+from tidemark.functions.casts import parse_instant
 from tidemark.functions.naming import plan_columns
 from tidemark.operators.records import flatten_records
 from tidemark.plans.warehouse import Warehouse
@@ -18,12 +21,14 @@ def house(spark):
     return Warehouse(spark, "s" + uuid.uuid4().hex, buckets=2)
 
 
-def run(spark, house, folder, checkpoint, files_per_batch=1):
+def run(spark, house, folder, checkpoint, files_per_batch=1, edges=False):
+    carry = ("_ord", "_corrupt", "archivedAt", *(("id", "associations") if edges else ()))
     rows = flatten_records(
-        stream_pages(spark, str(folder), files_per_batch=files_per_batch), COLUMNS, datetime(2024, 7, 1), carry=("_ord", "_corrupt"))
+        stream_pages(spark, str(folder), files_per_batch=files_per_batch), COLUMNS, datetime(2024, 7, 1), carry=carry)
     query = stream_upsert(
         rows, house, "people", ["hs_object_id"], ["hs_lastmodifieddate", "_ord"],
-        str(checkpoint), guard="hs_lastmodifieddate", archived=F.col("fivetran_deleted"), rejects="rejects")
+        str(checkpoint), guard="hs_lastmodifieddate", archived=F.col("fivetran_deleted"),
+        archived_at=parse_instant(F.col("archivedAt")), rejects="rejects", edges=edges)
     query.awaitTermination()
     return query
 
@@ -61,10 +66,7 @@ def test_replayed_batch_is_recognised(spark, house, tmp_path):
     folder, checkpoint = tmp_path / "records", tmp_path / "checkpoint"
     land(folder, *pages([version("1", "a", 1)]))
     run(spark, house, folder, checkpoint)
-    # A batch whose commit was lost is delivered again under the same number.
-    commit = checkpoint / "commits" / "0"
-    (checkpoint / "commits" / ".0.crc").unlink(missing_ok=True)
-    commit.unlink()
+    replay(checkpoint)
     before = house.version("people")
     run(spark, house, folder, checkpoint)
     assert house.version("people") == before and state(house) == {1: ("a", False)}
@@ -82,6 +84,89 @@ def test_batching_does_not_change_the_result(spark, tmp_path):
     assert results[0] == results[1]
 
 
+HISTORY = [
+    version("1", "a", 1), version("1", "gone", 2, archived=True), version("1", "back", 3),
+    version("2", "b", 5), version("2", "old", 2, archived=True),
+    version("3", "gone", 6, archived=True), version("3", "late", 4), version("3", "later", 5),
+    version("4", "d", 1), record("4", archived=True, archivedAt="2024-06-09T00:00:00Z"),
+    version("5", "e", 1), record("5", archived=True),
+    version("6", "tie", 3), version("6", "tie", 3, archived=True),
+    version("7", "never", 3, archived=True),
+]
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2])
+def test_any_order_and_any_batches_of_one_history(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    history = rng.sample(HISTORY, len(HISTORY)) if seed else HISTORY
+    cuts = sorted(rng.sample(range(1, len(history)), 3))
+    for page in [history[a:b] for a, b in zip([0, *cuts], [*cuts, len(history)])]:
+        land(tmp_path / "records", {"results": page})
+    for size in (1, 2, 9):
+        house = Warehouse(spark, "s" + uuid.uuid4().hex, buckets=2)
+        run(spark, house, tmp_path / "records", tmp_path / f"checkpoint{size}", size)
+        assert state(house) == {
+            1: ("back", False), 2: ("b", False), 3: ("later", True), 4: ("d", True), 5: ("e", True), 6: ("tie", True)}
+
+
+def replay(checkpoint, batch=0):
+    """Lose the commit of a batch, which is then delivered again under the same number."""
+    (checkpoint / "commits" / f".{batch}.crc").unlink(missing_ok=True)
+    (checkpoint / "commits" / str(batch)).unlink()
+
+
+def edges_of(house):
+    return sorted((r.from_id, r.to_id) for r in house.read("people_edges").collect())
+
+
+def test_stream_keeps_the_links_of_the_newest_version(spark, house, tmp_path):
+    folder, checkpoint = tmp_path / "records", tmp_path / "checkpoint"
+    link = lambda *ids: {"deals": linked(*[(i, "1") for i in ids])}
+    land(folder, *pages([version("1", "a", 5, associations=link("10", "11")), version("2", "b", 1, associations=link("20"))]))
+    run(spark, house, folder, checkpoint, edges=True)
+    assert edges_of(house) == [(1, 10), (1, 11), (2, 20)]
+    # An older version changes nothing, one that tells of no links takes them, one without a word keeps them.
+    land(folder, *pages([version("1", "late", 2, associations=link("99")), version("2", "b2", 3, associations={}), version("3", "c", 1, associations=link("30"))]))
+    land(folder, *pages([version("3", "c2", 4)]))
+    run(spark, house, folder, checkpoint, edges=True)
+    assert edges_of(house) == [(1, 10), (1, 11), (3, 30)] and state(house)[2] == ("b2", False)
+    assert {(r.people_id, r.deals_id) for r in house.read("people_deals").collect()} == {(1, 10), (1, 11), (3, 30)}
+
+
+@pytest.mark.parametrize("lost", ["nothing but the commit", "the main table", "main table and edges"])
+def test_a_replayed_batch_repeats_nothing(spark, house, tmp_path, lost, monkeypatch):
+    folder, checkpoint = tmp_path / "records", tmp_path / "checkpoint"
+    land(folder, *pages([version("1", "a", 1, associations={"deals": linked(("10", "1"))}), version("x7", "b", 1), record("9", archived=True)]))
+    publish, failing = Warehouse.publish, {"the main table": ["people"], "main table and edges": ["people", "people_edges"]}.get(lost, [])
+
+    def breaks(self, df, name, *args, **more):
+        if name in failing:
+            raise RuntimeError("lost")
+        return publish(self, df, name, *args, **more)
+
+    monkeypatch.setattr(Warehouse, "publish", breaks)
+    if failing:
+        with pytest.raises(Exception, match="lost"):
+            run(spark, house, folder, checkpoint, edges=True)
+        failing.clear()
+    else:
+        run(spark, house, folder, checkpoint, edges=True)
+        replay(checkpoint)
+    run(spark, house, folder, checkpoint, edges=True)
+    assert state(house) == {1: ("a", False)} and edges_of(house) == [(1, 10)]
+    assert [r.id_text for r in house.read("rejects").collect()] == ["x7"]
+    assert {n: house.version(n) for n in ("people", "people_edges", "people_archived")} == {
+        "people": 1, "people_edges": 1, "people_archived": 1}
+
+
+def test_micro_batches_leave_no_scratch(spark, house, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    land(tmp_path / "records", *pages([version("1", "a", 1, associations={"deals": linked(("10", "1"))})]))
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    run(spark, house, tmp_path / "records", tmp_path / "checkpoint", edges=True)
+    assert set(os.listdir(shared)) == before
+
+
 def test_the_later_page_of_a_file_wins(spark, house, tmp_path):
     folder = tmp_path / "records"
     land(folder, *pages([version("0", "x", 1), version("1", "first", 5)], [version("1", "second", 5)]))

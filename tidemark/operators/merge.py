@@ -158,6 +158,46 @@ def apply_changes(
     return _select(joined.where(F.col("_cur").isNotNull() | loaded), values)
 
 
+def newest_tombstones(held: DataFrame | None, gone: DataFrame, key: str) -> DataFrame:
+    """``key, gone_at``: the latest time at which each row was archived, over ``held`` and ``gone``."""
+    fresh = gone.groupBy(key).agg(F.max("gone_at").alias("gone_at"))
+    if held is None:
+        return fresh
+    both = held.join(_incoming(fresh), _same_key([key]), "full_outer")
+    return both.select(
+        F.coalesce(key, f"_in_{key}").alias(key), F.greatest("gone_at", "_in_gone_at").alias("gone_at")
+    )
+
+
+def apply_versions(
+    target: DataFrame | None,
+    load: DataFrame,
+    tombstones: DataFrame,
+    guard: str,
+    mark: datetime,
+    meta: MetaColumns = MetaColumns(),
+) -> DataFrame:
+    """Upsert versions of rows under ``guard`` and delete the rows whose tombstone (see
+    :func:`newest_tombstones`) is not older than the version that they end with.
+
+    All that counts is the newest version and the newest tombstone of a key, so any order in which they
+    come and any cut into loads end in the same rows. Tombstones of rows that never came wait in their
+    own table. A target and tombstones bucketed by the key both stay in place.
+    """
+    key = meta.id
+    times = tombstones.select(F.col(key).alias("_gone_key"), F.col("gone_at"))
+    given = _incoming(load).join(times, F.col(f"_in_{key}") == F.col("_gone_key"), "left")
+    given = given.drop("_gone_key").withColumnRenamed("gone_at", "_in_gone")
+    if target is None:
+        target = load.limit(0)
+    held = target.join(times, F.col(key) == F.col("_gone_key"), "left").drop("_gone_key")
+    joined = held.withColumnRenamed("gone_at", "_held_gone").join(given, _same_key([key]), "full_outer")
+    values = _merged(target, load, [key], F.col("_in").isNotNull() & _newer(guard))
+    gone = F.coalesce("_held_gone", "_in_gone")
+    doomed = gone.isNotNull() & F.coalesce(gone >= values[guard], F.lit(True))
+    return _select(joined, _tombstone(values, doomed, mark, meta))
+
+
 def replace_where_listed(target: DataFrame, load: DataFrame, on: list[str], listed: DataFrame) -> DataFrame:
     """Swap all target rows whose ``on`` values are listed for the load's rows."""
     values = listed.select(*on).distinct()

@@ -99,13 +99,14 @@ def split_rejects(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 REJECT = (
     "object_type STRING, rejected_at TIMESTAMP_NTZ, id_text STRING, page STRING, error_type STRING,"
-    " message STRING, class STRING, content STRING"
+    " message STRING, class STRING, content STRING, source STRING"
 )
 
 
-def reject_rows(staged: DataFrame, object_type: str, mark: datetime) -> DataFrame:
+def reject_rows(staged: DataFrame, object_type: str, mark: datetime, source: str = "") -> DataFrame:
     """What a load could not take, one row each, as :data:`REJECT`: unusable ids, unreadable pages.
 
+    ``source`` names the load, so that one that is repeated can tell its own rows.
     ``staged`` is the output of :func:`flatten_records` with ``_ord`` and ``_corrupt`` carried along.
     """
     broken = F.col("_corrupt").isNotNull()
@@ -122,6 +123,7 @@ def reject_rows(staged: DataFrame, object_type: str, mark: datetime) -> DataFram
         message.alias("message"),
         classify_error(kind, message).alias("class"),
         F.col("_corrupt").alias("content"),
+        F.lit(source).alias("source"),
     )
 
 

@@ -165,8 +165,14 @@ def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta:
     return p.count(), s.count()
 
 
-def _publish_edges(
-    house: Warehouse, catalog: Catalog, found: DataFrame, touched: DataFrame | None, whole: bool, meta: MetaColumns
+def publish_edges(
+    house: Warehouse,
+    table: str,
+    found: DataFrame,
+    touched: DataFrame | None,
+    whole: bool = False,
+    meta: MetaColumns = MetaColumns(),
+    source: str = "",
 ) -> int:
     """All edges of the object in one table, and a view per target type under its own names.
 
@@ -174,7 +180,7 @@ def _publish_edges(
     one origin, whether it brought links for them or not. Without ``touched`` no edge goes. The views
     show an edge once, however many origins tell of it.
     """
-    name = f"{catalog.table}_edges"
+    name = f"{table}_edges"
     fresh = E.dedupe_edges(found).drop("_ord")
     current = house.read(name)
     if current is not None and EDGE_ORIGIN not in current.columns:
@@ -194,11 +200,11 @@ def _publish_edges(
     held = fresh if current is None else current.select("to_type").union(found.select("to_type"))
     listed = collect_catalog(held.select("to_type").distinct())
     types = sorted({r.to_type or "" for r in listed})
-    taken = [name, f"{catalog.table}_pipeline", f"{catalog.table}_pipeline_stage", f"{catalog.table}_links_waiting"]
-    views = fit_names([f"{catalog.table}_{t}" for t in types], taken=taken)
-    house.publish(fresh, name, EDGE_PLACE, placed=placed, partition_by=["to_type"])
+    taken = [name, f"{table}_pipeline", f"{table}_pipeline_stage", f"{table}_links_waiting"]
+    views = fit_names([f"{table}_{t}" for t in types], taken=taken)
+    house.publish(fresh, name, EDGE_PLACE, source=source, placed=placed, partition_by=["to_type"])
     for to_type, view in zip(types, views):
-        from_col, to_col = edge_columns(catalog.table, to_type)
+        from_col, to_col = edge_columns(table, to_type)
         # An empty folder name reads back as null.
         of_type = f"to_type = '{to_type}'" if to_type else "to_type IS NULL"
         house.spark.sql(
@@ -315,7 +321,7 @@ def sync_object(
     tables = 0
     # A full load without a record is taken for a failed read.
     if seen or mode == "incremental" or house.read(f"{catalog.table}_edges") is None:
-        tables = _publish_edges(house, catalog, found, touched, whole and seen, meta)
+        tables = publish_edges(house, catalog.table, found, touched, whole and seen, meta)
         later = write_once(later.select(*LINK).distinct(), "links-waiting")
         if house.exists(f"{catalog.table}_links_waiting") or not later.isEmpty():
             house.publish(later, f"{catalog.table}_links_waiting", ["from_id"])

@@ -124,6 +124,8 @@ class Warehouse:
         """Add rows to a plain log table."""
         create_table(self.spark, self.qualified(name), columns)
         df.write.insertInto(self.qualified(name))
+        # The rows of a micro-batch belong to a session of their own, whose writes this one does not see.
+        self.spark.catalog.refreshTable(self.qualified(name))
 
     def log(self, name: str, columns: str) -> DataFrame:
         create_table(self.spark, self.qualified(name), columns)

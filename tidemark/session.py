@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,7 +52,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    _made(spark)[0].append(path)
+    own = getattr(_SCOPE, "folders", None)
+    (_made(spark)[0] if own is None else own).append(path)
     return path
 
 
@@ -57,6 +61,28 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 _MADE: dict[str, tuple[list[str], list[str]]] = {}
 
 
+#: Folders of the thread's open :func:`scratch_scope`.
+_SCOPE = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what this thread has written to the scratch folder meanwhile, and nothing else."""
+    outer, _SCOPE.folders = getattr(_SCOPE, "folders", None), []
+    try:
+        yield
+    finally:
+        folders, _SCOPE.folders = _SCOPE.folders, outer
+        _remove(spark, folders)
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    while folders:
+        path = hadoop.Path(folders.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def _made(spark: SparkSession) -> tuple[list[str], list[str]]:
     return _MADE.setdefault(spark.sparkContext.applicationId, ([], []))
 
@@ -72,10 +98,7 @@ def clean_scratch(spark: SparkSession) -> None:
     folders, databases = _made(spark)
     while databases:
         spark.sql(f"DROP DATABASE IF EXISTS `{databases.pop()}` CASCADE")
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
-    while folders:
-        path = hadoop.Path(folders.pop())
-        path.getFileSystem(conf).delete(path, True)
+    _remove(spark, folders)
 
 
 def write_once(df: DataFrame, purpose: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.sync import Feed, sync_object
 from tidemark.plans.warehouse import Warehouse, buckets_for
 from tidemark.session import scratch_database, scratch_dir
+from tidemark.functions.casts import parse_instant
 from tidemark.functions.naming import plan_columns
 from tidemark.operators.records import flatten_records
 from tidemark.streaming.feed import stream_pages, stream_upsert
@@ -180,40 +181,91 @@ def sync_rejects(t: Tables) -> DataFrame:
     )
 
 
-@query("""
-    SELECT o_orderkey AS id, 'second' AS version, o_orderstatus = 'P' AS deleted FROM orders""")
-def stream_pages_sync(t: Tables) -> DataFrame:
-    """A stream of pages: two versions with one time, archived records, and broken pages between."""
+def order_page(
+    version: str, days: int, archived: bool = False, archived_days: int | None = None, customer: Column | None = None
+) -> Column:
+    """A page of one order: a version so many days after the order, with a link to ``customer`` if given."""
+
+    def moment(n: int) -> Column:
+        at = F.col("o_orderdate") + F.expr(f"INTERVAL {n} DAYS")
+        return F.concat(F.replace(at.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+
+    props = F.struct(F.lit(version).alias("version"), moment(days).alias("hs_lastmodifieddate"))
+    parts = [text("o_orderkey").alias("id"), props.alias("properties"), F.lit(archived).alias("archived")]
+    if archived_days is not None:
+        parts.append(moment(archived_days).alias("archivedAt"))
+    if customer is not None:
+        results = F.array(F.struct(customer.cast("string").alias("id"), F.lit("1").alias("type"))).alias("results")
+        parts.append(F.struct(F.struct(results).alias("Customers")).alias("associations"))
+    return F.to_json(F.struct(F.array(F.struct(*parts)).alias("results")))
+
+
+def streamed(t: Tables, *landings: Column, edges: bool = False) -> Warehouse:
+    """Pages (arrays of lines) of all orders, landed one after the other, taken in small batches."""
     house, folder = fresh_warehouse(t, "pages", t.orders)
+    columns = plan_columns([("version", "string"), ("hs_lastmodifieddate", "datetime")])
+    carry = ("_ord", "_corrupt", "archivedAt", *(("id", "associations") if edges else ()))
+    for lines in landings:
+        t.orders.select(F.array_join(F.array_compact(lines), "\n")).write.mode("append").text(f"{folder}/records")
+        pages = stream_pages(t.spark, f"{folder}/records", files_per_batch=2)
+        stream = stream_upsert(
+            flatten_records(pages, columns, datetime(2002, 1, 1), carry=carry), house, "orders", ["hs_object_id"],
+            ["hs_lastmodifieddate", "_ord"], f"{folder}/checkpoint", guard="hs_lastmodifieddate",
+            archived=F.col("fivetran_deleted"), archived_at=parse_instant(F.col("archivedAt")), rejects="rejects", edges=edges,
+        )
+        stream.awaitTermination()
+    return house
+
 
-    def page(version: str, archived: bool) -> Column:
-        props = F.struct(F.lit(version).alias("version"), iso("o_orderdate").alias("hs_lastmodifieddate"))
-        record = F.struct(text("o_orderkey").alias("id"), props.alias("properties"), F.lit(archived).alias("archived"))
-        return F.to_json(F.struct(F.array(record).alias("results")))
-
-    lines = F.array_compact(
-        F.array(
-            page("first", False),
-            F.when(F.col("o_orderkey") % 7 == 0, F.lit('{"results": [{"id": "1", ')),
-            page("second", False),
-            F.when(F.col("o_orderstatus") == "P", page("gone", True)),
-        )
+@query("""
+    SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'restored' ELSE 'second' END AS version,
+           o_orderstatus = 'P' OR o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 AS deleted FROM orders""")
+def stream_pages_sync(t: Tables) -> DataFrame:
+    """A stream of pages: two versions with one time, archived and restored ones in one file and over
+    several, late tombstones of either side of what they meet, and broken pages between."""
+    key, none = F.col("o_orderkey"), F.lit(None).cast("string")
+    early = F.array(
+        order_page("first", 0),
+        F.when(key % 7 == 0, F.lit('{"results": [{"id": "1", ')),
+        order_page("second", 0),
+        # Archived and restored in one file, or archived here and restored in a later one.
+        F.when(key % 3 == 0, order_page("gone", 2, archived=True)),
+        F.when(key % 6 == 0, order_page("restored", 3)),
+        F.when(F.col("o_orderstatus") == "P", order_page("gone", 0, archived=True, archived_days=9)),
     )
-    t.orders.select(F.array_join(lines, "\n")).write.text(f"{folder}/records")
-    columns = plan_columns([("version", "string"), ("hs_lastmodifieddate", "datetime")])
-    rows = flatten_records(
-        stream_pages(t.spark, f"{folder}/records", files_per_batch=2), columns, datetime(2002, 1, 1), carry=("_ord", "_corrupt")
+    late = F.array(
+        F.when(key % 6 == 3, order_page("restored", 3)),
+        # A tombstone that is older than the version it meets, and one that is newer.
+        F.when(key % 3 == 1, order_page("gone", -1, archived=True)),
+        F.when((key % 3 == 1) & (key % 2 == 0), order_page("gone", 1, archived=True)),
+        none,
     )
-    stream = stream_upsert(
-        rows, house, "orders", ["hs_object_id"], ["hs_lastmodifieddate", "_ord"], f"{folder}/checkpoint",
-        guard="hs_lastmodifieddate", archived=F.col("fivetran_deleted"), rejects="rejects",
-    )
-    stream.awaitTermination()
-    return house.read("orders").select(
+    return streamed(t, early, late).read("orders").select(
         F.col("hs_object_id").alias("id"), "version", F.col("fivetran_deleted").alias("deleted")
     )
 
 
+@query("""
+    SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey + 1 ELSE o_custkey END AS customer_id,
+           CASE WHEN o_orderkey % 2 = 0 THEN 'second' ELSE 'first' END AS version,
+           (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0) AS rejects FROM orders""")
+def stream_edges_sync(t: Tables) -> DataFrame:
+    """One stream into main table, edges and rejects: a newer version takes its links along, an older one
+    that comes later does not."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    early = F.array(order_page("first", 5, customer=customer), F.when(key % 7 == 0, F.lit('{"results": [{"id": "1", ')))
+    late = F.array(
+        F.when(key % 2 == 0, order_page("second", 6, customer=customer + 1)),
+        F.when(key % 2 == 1, order_page("stale", 4, customer=customer + 2)),
+    )
+    house = streamed(t, early, late, edges=True)
+    edges = house.read("orders_customers").select(F.col("orders_id").alias("order_id"), F.col("customers_id").alias("customer_id"))
+    versions = house.read("orders").select(F.col("hs_object_id").alias("order_id"), "version")
+    # One row: the number of rejects.
+    rejects = house.read("rejects").count()
+    return edges.join(versions, "order_id").withColumn("rejects", F.lit(rejects).cast("bigint"))
+
+
 @query("""
     SELECT event_id, '{"kind":"' || event_type || '","user":' || user_id || '}' AS nested FROM events""")
 def nested_property(t: Tables) -> DataFrame:
