@@ -1,19 +1,21 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-A table hashes a vector, scaled to length 1, by a pseudo-rotation (three rounds of random signs and a
-fast Hadamard transform, over the next power of two) to the signed axis nearest to it. Every vector
-is in one bucket of each table. A query looks into the ``PROBES`` buckets of each table whose axes are
-nearest to it, all vectors there are candidates, and candidates are ranked exactly: by inner product
-in double precision on the original vectors, ties to the smaller id.
+A table hashes a vector, scaled to length 1, by pseudo-rotations (three rounds of random signs and a
+fast Hadamard transform, over the next power of two), each to the signed axis nearest to it; the axes of all
+its rotations together name the vector's bucket. A dimension has as many rotations as keep a bucket near
+``BLOCK`` vectors, three at most, whatever the number of vectors. A query looks into those ``PROBES`` buckets
+of each table whose axes, summed over the rotations, are least farther away than the nearest; all vectors
+there are candidates, and candidates are ranked exactly: by inner product in double precision on the
+original vectors, ties to the smaller id.
 
 Buckets see directions only, but a long vector can score high from afar. So the longest vectors of
-each dimension are candidates of every query: about as many as a bucket holds, at least about half a block, and
-all of them if they fit into one. A query that still finds fewer than ``top`` is compared with all.
+each dimension are candidates of every query: about ``sqrt(n * BLOCK) / 4`` of n. A query that meets fewer
+than ``CROWD * top`` others is compared with all; that takes in tables of few vectors, and no more than the
+queries whose buckets are almost empty.
 
 Buckets are cut into blocks of about ``BLOCK`` vectors and ``BLOCK`` queries, counted before, so a
 bucket that a common vector fills is spread over tasks; a block is one matrix product and gives the
-best ``top`` of each of its queries, which is all that the best of the union need. The signed axes of
-all tables bound the counts that are broadcast.
+best ``top`` of each of its queries, which is all that the best of the union need.
 
 Vectors that are null, empty or zero or hold a null, an infinity or a NaN take no part, and neither
 do rows without id. Vectors of another length are never candidates of each other. Rows that repeat an
@@ -33,10 +35,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import table
 from tidemark.session import write_once
 
-TABLES, PROBES = 10, 12
+TABLES = 10
+#: By number of rotations.
+PROBES = (12, 200, 3200)
 BLOCK = 2048
 TOP = 20
 QUERY_STEP = 20
+#: Candidates that a query must have met, in multiples of ``top``.
+CROWD = 4
+#: Rows that are hashed at a time.
+HASHED = 256
 SPOT = ["dim", "tab", "axis", "vb", "qb"]
 #: Shares of the longest vectors, as powers of 1/2, of which one is chosen.
 SHARES = 40
@@ -64,30 +72,49 @@ def rotated(x: np.ndarray, seed: int) -> np.ndarray:
     return x
 
 
-def nearest_axes(x: np.ndarray, seed: int, probes: int) -> np.ndarray:
-    """Signed axes next to each row, nearest first: axis a is 2a, its opposite 2a + 1."""
+def nearest_axes(x: np.ndarray, seed: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signed axes next to each row, nearest first, and how much farther than the first each is: axis a is
+    2a, its opposite 2a + 1."""
     y = rotated(x, seed)
     near = np.stack((-y, y), 2).reshape(len(y), -1)
-    if probes == 1:
-        return near.argmin(axis=1)[:, None]
-    return np.argsort(near, axis=1, kind="stable")[:, :probes]
+    axes = np.argsort(near, axis=1, kind="stable")[:, :probes]
+    apart = np.take_along_axis(near, axes, 1)
+    return axes, apart - apart[:, :1]
+
+
+def buckets(x: np.ndarray, table: int, rotations: int, probes: int) -> np.ndarray:
+    """The buckets of a table to look into for each row, the row's own first."""
+    codes = gaps = None
+    for r in range(rotations):
+        axes, apart = nearest_axes(x, table * len(PROBES) + r + 1, probes)
+        if codes is None:
+            codes, gaps = axes, apart
+            continue
+        size = 2 << max(1, (x.shape[1] - 1).bit_length())
+        codes = (codes[:, :, None] * size + axes[:, None, :]).reshape(len(x), -1)
+        gaps = (gaps[:, :, None] + apart[:, None, :]).reshape(len(x), -1)
+        order = np.argsort(gaps, axis=1, kind="stable")[:, :probes]
+        codes, gaps = np.take_along_axis(codes, order, 1), np.take_along_axis(gaps, order, 1)
+    return codes
 
 
-def hashed(vectors: DataFrame, tables: int, probes: int) -> DataFrame:
-    """``id, vector`` once for each table and probed axis, with ``dim, tab, axis``."""
+def hashed(vectors: DataFrame, tables: int, probes: tuple[int, ...]) -> DataFrame:
+    """``id, vector`` once for each table and probed bucket, with ``dim, tab, axis``; rows carry ``rotations``."""
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for dim, part in b.groupby(b["vector"].map(len)):
+            for (dim, rotations), part in b.groupby([b["vector"].map(len), "rotations"]):
                 x = np.stack(part["vector"].to_numpy()).astype(np.float64)
                 for t in range(tables):
-                    axes = nearest_axes(x, t + 1, probes)
-                    rows = np.repeat(np.arange(len(part)), axes.shape[1])
-                    out = part.iloc[rows].assign(dim=dim, tab=t, axis=axes.ravel())
-                    yield out[["id", "vector", "dim", "tab", "axis"]]
+                    # A few rows at a time: all their probes are held at once.
+                    for start in range(0, len(x), HASHED):
+                        codes = buckets(x[start : start + HASHED], t, rotations, probes[rotations - 1])
+                        rows = start + np.repeat(np.arange(len(codes)), codes.shape[1])
+                        out = part.iloc[rows].assign(dim=dim, tab=t, axis=codes.ravel())
+                        yield out[["id", "vector", "dim", "tab", "axis"]]
 
-    schema = "id long, vector array<float>, dim int, tab int, axis int"
-    return vectors.mapInPandas(spread, schema)
+    schema = "id long, vector array<float>, dim int, tab int, axis long"
+    return vectors.select("id", "vector", "rotations").mapInPandas(spread, schema)
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -125,31 +152,33 @@ def sized(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def lengths(rows: DataFrame) -> DataFrame:
-    """``dim, n, least``: vectors of a dimension, and above what norm they are candidates of every query."""
+    """``dim, n, least, rotations``: vectors of a dimension, above what norm they are candidates of every
+    query, and rotations of a table."""
     shares = F.array(*[F.lit(1 - 0.5**k) for k in range(1, SHARES + 1)])
     per = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("norm", shares).alias("norms"))
-    parts = F.col("n") / F.greatest(F.lit(BLOCK), F.col("n") / (2 * F.col("dim")))
-    level = F.least(F.lit(SHARES), F.ceil(F.log2(parts)).cast("int"))
-    least = F.when(F.col("n") <= BLOCK, F.lit(-1.0)).otherwise(F.element_at("norms", F.greatest(F.lit(1), level)))
-    return per.select("dim", "n", least.alias("least"))
+    level = F.ceil(F.log2(4 * F.sqrt(F.col("n") / BLOCK))).cast("int")
+    least = F.element_at("norms", F.greatest(F.lit(1), F.least(F.lit(SHARES), level)))
+    full = [F.col("n") > BLOCK * F.pow(2 * F.col("dim"), F.lit(r)) for r in range(1, len(PROBES))]
+    rotations = sum((f.cast("int") for f in full), F.lit(1))
+    return per.select("dim", "n", least.alias("least"), rotations.alias("rotations"))
 
 
 def in_table(rows: DataFrame, tab: int) -> DataFrame:
     """Rows of ``id, vector, dim`` as one bucket of each dimension."""
-    return rows.select("id", "vector", "dim", F.lit(tab).alias("tab"), F.lit(0).alias("axis"))
+    return rows.select("id", "vector", "dim", F.lit(tab).alias("tab"), F.lit(0).cast("long").alias("axis"))
 
 
 def best_found(index: DataFrame, asked: DataFrame, top: int) -> DataFrame:
-    """``query_id, vec_id, score, rank``: the best that each query finds in its buckets."""
+    """``query_id, vec_id, score, rank, met``: the best that each query finds in its buckets, and among how
+    many: the best of each block."""
     place = ["dim", "tab", "axis"]
-    # Two rows at most for each table, dimension and sign.
     counts = index.groupBy(*place).agg(F.count(F.lit(1)).alias("nv")).join(
         asked.groupBy(*place).agg(F.count(F.lit(1)).alias("nq")), place
     )
     blocks = counts.select(
         *place, F.ceil(F.col("nv") / BLOCK).cast("int").alias("nvb"), F.ceil(F.col("nq") / BLOCK).cast("int").alias("nqb")
     )
-    blocks = F.broadcast(write_once(blocks, "axis-blocks"))
+    blocks = write_once(blocks, "axis-blocks")
 
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -173,8 +202,16 @@ def best_found(index: DataFrame, asked: DataFrame, top: int) -> DataFrame:
 
 def best_of(found: DataFrame, top: int) -> DataFrame:
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    own = Window.partitionBy("query_id")
+    ranked = found.withColumn("rank", F.row_number().over(own.orderBy(F.desc("score"), "vec_id")))
+    return ranked.withColumn("met", F.count(F.lit(1)).over(own)).where(F.col("rank") <= top)
+
+
+def candidates(rows: DataFrame, asks: DataFrame, tables: int, probes: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+    """The index, and where each query looks, both as rows of ``id, vector, dim, tab, axis``."""
+    index = hashed(rows, tables, (1,) * len(probes)).union(in_table(rows.where("norm > least"), LONGEST))
+    asked = hashed(asks, tables, probes).union(in_table(asks, LONGEST))
+    return write_once(index, "axis-index"), write_once(asked, "axis-probes")
 
 
 def search(
@@ -184,26 +221,21 @@ def search(
     vector: str = "embedding",
     top: int = TOP,
     tables: int = TABLES,
-    probes: int = PROBES,
+    probes: tuple[int, ...] = PROBES,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest found of every query, among all rows."""
     rows = write_once(sized(vectors, key, vector), "vectors")
     long = F.broadcast(write_once(lengths(rows), "lengths"))
     rows = rows.join(long, "dim")
     asks = write_once(sized(vectors.where(is_query), key, vector), "queries").join(long, "dim")
-    # What fits into a block is compared whole.
-    many = F.col("n") > BLOCK
-    index = hashed(rows.where(many).select("id", "vector"), tables, 1)
-    index = write_once(index.union(in_table(rows.where("norm > least"), LONGEST)), "axis-index")
-    asked = hashed(asks.where(many).select("id", "vector"), tables, probes)
-    asked = write_once(asked.union(in_table(asks, LONGEST)), "axis-probes")
+    index, asked = candidates(rows, asks, tables, probes)
     found = write_once(best_found(index, asked, top), "found")
-    full = found.where(F.col("rank") == top).select(F.col("query_id").alias("id"))
-    short = write_once(in_table(asks.where(many).join(full, "id", "left_anti"), ALL), "short")
+    full = found.where((F.col("rank") == top) & (F.col("met") >= CROWD * top)).select(F.col("query_id").alias("id"))
+    short = write_once(in_table(asks.join(full, "id", "left_anti"), ALL), "short")
     if not short.isEmpty():
         dims = F.broadcast(short.select("dim").distinct())
         rest = best_found(in_table(rows.join(dims, "dim", "left_semi"), ALL), short, top)
-        found = best_of(found.drop("rank").unionByName(rest.drop("rank")), top)
+        found = best_of(found.drop("rank", "met").unionByName(rest.drop("rank", "met")), top)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
