@@ -132,6 +132,12 @@ def test_failing_object_does_not_stop_the_rest(spark, house, tmp_path):
     assert [e["object_type"] for e in errors] == ["bad"]
     assert house.read("deals").count() == 1
     assert house.read("sync_runs").where("status = 'healthy'").count() == 2
+    up = house.read("sync_rollups").first()
+    assert (up.all_healthy, up.objects, up.objects_failed, up.records_processed_ok) == (False, 3, 1, 5)
+    failed = house.read("sync_rejects").first()
+    assert (failed.object_type, failed.error_type, failed["class"]) == ("bad", "ValueError", "unknown")
+    nulls = {(r.object_type, r.column): (r.null_count, r.pct, r.alert) for r in house.read("sync_nulls").collect()}
+    assert nulls["contacts", "es_activo"] == (4, 100.0, True) and ("deals", "x") not in nulls
 
 
 def test_versions_switch_and_old_ones_stay_until_vacuum(spark, house):

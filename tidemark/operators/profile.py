@@ -15,6 +15,16 @@ SUMMARY = (
     " columns_truncated BIGINT, records_deleted BIGINT, sync_mode STRING, finished_at TIMESTAMP_NTZ"
 )
 
+#: What a run writes down about its load: emptiest columns, names that were cut, and all objects at once.
+NULLS = (
+    "object_type STRING, finished_at TIMESTAMP_NTZ, `column` STRING, null_count BIGINT, pct DOUBLE, alert BOOLEAN"
+)
+TRUNCATED = "object_type STRING, finished_at TIMESTAMP_NTZ, original STRING, final STRING"
+ROLL_UP = (
+    "finished_at TIMESTAMP_NTZ, all_healthy BOOLEAN, objects BIGINT, records_processed_ok BIGINT,"
+    " records_failed BIGINT, objects_failed BIGINT"
+)
+
 
 def _share(nulls: Column, rows: Column) -> Column:
     return nulls / rows * 100

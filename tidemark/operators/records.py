@@ -127,6 +127,16 @@ def reject_rows(staged: DataFrame, object_type: str, mark: datetime, source: str
     )
 
 
+def failure_rows(failures: DataFrame, object_type: Column, kind: Column, message: Column, mark: datetime) -> DataFrame:
+    """Objects that could not be loaded at all, one row each, as :data:`REJECT`."""
+    none = F.lit(None).cast("string")
+    return failures.select(
+        object_type.alias("object_type"), at(mark).alias("rejected_at"), none.alias("id_text"), none.alias("page"),
+        kind.alias("error_type"), message.alias("message"), classify_error(kind, message).alias("class"),
+        none.alias("content"), F.lit("").alias("source"),
+    )
+
+
 def classify_error(kind: Column, message: Column) -> Column:
     """Load-error class from an error's type name and message; the first class that fits wins."""
     text = F.lower(message)

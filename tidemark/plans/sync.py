@@ -28,7 +28,7 @@ from tidemark.operators import resolve as R
 from tidemark.operators import state as S
 from tidemark.operators import tombstones as X
 from tidemark.operators.evolve import align, new_columns
-from tidemark.operators.records import REJECT, at, flatten_records, reject_rows, run_mark, split_rejects
+from tidemark.operators.records import REJECT, at, failure_rows, flatten_records, reject_rows, run_mark, split_rejects
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import collect_catalog, write_once
 from tidemark.sources import pages as G
@@ -359,13 +359,31 @@ def sync_object(
             S.STATE,
         )
     house.append(spark.createDataFrame([summary], P.SUMMARY), "sync_runs", P.SUMMARY)
+    _log_health(house, summary, catalog, good)
     return summary
 
 
+def _log_health(house: Warehouse, summary: Row, catalog: Catalog, good: DataFrame) -> None:
+    """The load's emptiest columns, and the names that were cut, of one run."""
+    spark = house.spark
+    of_run = [F.lit(summary.object_type).alias("object_type"), at(summary.finished_at).alias("finished_at")]
+    columns = [c.final for c in catalog.columns]
+    if columns:
+        top = P.top_null_columns(P.null_profile(good, columns))
+        house.append(top.select(*of_run, "column", "null_count", "pct", "alert"), "sync_nulls", P.NULLS)
+    cut = [(c.normalized, c.final) for c in catalog.columns if c.truncated]
+    if cut:
+        names = spark.createDataFrame(cut, "original string, final string")
+        house.append(names.select(*of_run, "original", "final"), "sync_truncated", P.TRUNCATED)
+
+
 def sync_all(
     spark: SparkSession, root: str, object_types: list[str], house: Warehouse, **options
 ) -> tuple[list[Row], list[dict[str, str]]]:
-    """Sync object types one after the other; a failing one does not stop the rest."""
+    """Sync object types one after the other; a failing one does not stop the rest.
+
+    A failure goes to ``sync_rejects`` with its class, and ``sync_rollups`` gets one row for them all.
+    """
     done, errors = [], []
     for object_type in object_types:
         try:
@@ -374,4 +392,19 @@ def sync_all(
             errors.append(
                 {"object_type": object_type, "error": type(error).__name__, "detail": str(error)}
             )
+    mark = run_mark()
+    if errors:
+        told = spark.createDataFrame([(e["object_type"], e["error"], e["detail"]) for e in errors], "o string, e string, d string")
+        house.append(failure_rows(told, F.col("o"), F.col("e"), F.col("d"), mark), "sync_rejects", REJECT)
+    runs = P.roll_up(spark.createDataFrame(done, P.SUMMARY))
+    failed = F.lit(len(errors)).cast("long")
+    row = runs.select(
+        at(mark).alias("finished_at"),
+        (F.coalesce("all_healthy", F.lit(True)) & (failed == 0)).alias("all_healthy"),
+        (F.col("objects") + failed).alias("objects"),
+        F.coalesce("records_processed_ok", F.lit(0)).alias("records_processed_ok"),
+        F.coalesce("records_failed", F.lit(0)).alias("records_failed"),
+        failed.alias("objects_failed"),
+    )
+    house.append(row, "sync_rollups", P.ROLL_UP)
     return done, errors

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.sync import Feed, sync_object
+from tidemark.plans.sync import Feed, sync_all, sync_object
 from tidemark.plans.warehouse import Warehouse, buckets_for
 from tidemark.session import scratch_database, scratch_dir
 from tidemark.functions.casts import parse_instant
@@ -131,6 +131,78 @@ def sync_run_log(t: Tables) -> DataFrame:
     )
 
 
+LONG = "a_property_whose_name_is_longer_than_the_sixty_three_letters_that_a_column_may_have"
+
+
+def all_objects(t: Tables) -> Warehouse:
+    """Orders and customers in one call, beside an object whose pipelines cannot be loaded; then the same
+    again, when more orders have changed than an incremental run may take, but no more customers."""
+    house, folder = fresh_warehouse(t, "objects", t.orders)
+
+    def put(kind: str, key: str, rows: DataFrame, properties: list[Column], types: str) -> None:
+        record = F.struct(
+            text(key).alias("id"),
+            F.struct(*properties, F.lit("2001-01-01T00:00:00Z").alias("hs_lastmodifieddate")).alias("properties"),
+        )
+        rows.select(F.to_json(F.struct(F.array(record).alias("results")))).write.text(f"{folder}/{kind}/records")
+        t.spark.createDataFrame([(types,)], "value string").write.text(f"{folder}/{kind}/properties")
+
+    total = F.when(F.col("o_orderkey") % 4 != 0, F.col("o_totalprice")).alias("total")
+    put("orders", "o_orderkey", t.orders, [total, F.col("o_orderstatus").alias(LONG)],
+        f'{{"results":[{{"name":"total","type":"number"}},{{"name":"{LONG}"}},{{"name":"hs_lastmodifieddate","type":"datetime"}}]}}')
+    put("customers", "c_custkey", t.customer, [F.col("c_name").alias("name")],
+        '{"results":[{"name":"name"},{"name":"missing"},{"name":"hs_lastmodifieddate","type":"datetime"}]}')
+    broken = '{"results":[{"label":"no id","stages":[{"id":"s"}]}]}'
+    t.spark.createDataFrame([(broken,)], "value string").write.text(f"{folder}/broken/pipelines")
+    kinds = ["orders", "customers", "broken"]
+    sync_all(t.spark, folder, kinds, house, mark=datetime(2000, 6, 1))
+    # Ten customers to an order at least, in every table given.
+    sync_all(t.spark, folder, kinds, house, mark=datetime(2002, 1, 1), max_changes=t.customer.count())
+    return house
+
+
+@query(f"""
+    WITH nulls(object_type, "column", null_count, n) AS (
+        SELECT 'orders', 'total', (SELECT count(*) FROM orders WHERE o_orderkey % 4 = 0), (SELECT count(*) FROM orders)
+        UNION ALL SELECT 'customers', 'missing', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer))
+    SELECT run, object_type, "column", null_count, round(100.0 * null_count / n, 6) AS pct, true AS alert,
+           CASE WHEN object_type = 'orders' THEN '{LONG[:63]}' END AS truncated
+    FROM nulls, (VALUES (1::BIGINT), (2)) AS runs(run)""")
+def sync_health(t: Tables) -> DataFrame:
+    """What two runs wrote down about empty columns and names that were cut."""
+    house = all_objects(t)
+
+    def of_run(name: str) -> DataFrame:
+        # The runs of one object by when they ended.
+        return house.read(name).withColumn("run", F.dense_rank().over(Window.partitionBy("object_type").orderBy("finished_at")).cast("long"))
+
+    cut = of_run("sync_truncated").select("object_type", "run", F.col("final").alias("truncated"))
+    nulls = of_run("sync_nulls").withColumn("pct", F.round("pct", 6)).drop("finished_at")
+    return nulls.join(cut, ["object_type", "run"], "left")
+
+
+@query("""
+    SELECT run, false AS all_healthy, 3::BIGINT AS objects, 1::BIGINT AS objects_failed, 0::BIGINT AS records_failed,
+           (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) AS records_processed_ok,
+           'full' AS orders_mode, CASE run WHEN 1 THEN 'full' ELSE 'incremental' END AS customers_mode,
+           'ValueError' AS error_type, 'broken' AS error_object
+    FROM (VALUES (1::BIGINT), (2)) AS runs(run)""")
+def sync_all_objects(t: Tables) -> DataFrame:
+    """The roll-up of two calls over three objects, with the modes that the objects were run in."""
+    house = all_objects(t)
+    order = Window.orderBy("finished_at")
+    # Two rows, one for each call.
+    ups = house.read("sync_rollups").withColumn("run", F.row_number().over(order).cast("long")).drop("finished_at")
+    by_object = Window.partitionBy("object_type").orderBy("finished_at")
+    runs = house.read("sync_runs").withColumn("run", F.row_number().over(by_object).cast("long"))
+    modes = runs.groupBy("run").pivot("object_type", ["orders", "customers"]).agg(F.first("sync_mode"))
+    failed = house.read("sync_rejects").where("id_text IS NULL").withColumn(
+        "run", F.row_number().over(Window.partitionBy("object_type").orderBy("rejected_at")).cast("long")
+    )
+    modes = modes.select("run", F.col("orders").alias("orders_mode"), F.col("customers").alias("customers_mode"))
+    return ups.join(modes, "run").join(failed.select("run", "error_type", F.col("object_type").alias("error_object")), "run")
+
+
 def incomplete_run(t: Tables) -> Warehouse:
     """A sound full run, then a full run in which orders are missing and pages are broken."""
     house, folder = fresh_warehouse(t, "incomplete", t.orders)

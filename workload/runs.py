@@ -28,8 +28,7 @@ def modified_since(t: Tables) -> DataFrame:
 def cut_off(t: Tables) -> DataFrame:
     feed = t.events.select(iso("ts").alias("modified"))
     changed = S.modified_since(feed, parse_instant(F.col("modified")), SINCE)
-    total = F.count(F.lit(1))
-    return changed.agg(total.alias("total"), (total > THRESHOLD).alias("exceeded"))
+    return changed.agg(F.count(F.lit(1)).alias("total")).withColumn("exceeded", F.lit(S.exceeds(changed, THRESHOLD)))
 
 
 @query(f"""
