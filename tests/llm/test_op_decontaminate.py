@@ -71,6 +71,38 @@ def test_chunks_give_the_same(spark, monkeypatch):
     assert [r[2] for r in whole] == pytest.approx([r[2] for r in parts])
 
 
+def test_a_long_item_changes_no_other_answer(spark):
+    """A one-word answer far behind its question is none, however long other items are."""
+    quiz = "What is the capital of the old northern kingdom? Lennburg."
+    rows = [(1, quiz), (2, "What is the capital of the old northern kingdom? " + filler(200) + " Lennburg")]
+    docs = spark.createDataFrame(rows + ROWS, DOCS)
+    items = [(1, ITEM), (2, quiz)]
+    few = {tuple(r) for r in leaked_items(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert {r[:2] for r in few if r[1] == 2} == {(1, 2)}
+    long = filler(2000, seed=5)
+    more = leaked_items(docs.union(spark.createDataFrame([(50, long)], DOCS)), spark.createDataFrame([*items, (3, long)], ITEMS)).collect()
+    # Scores follow the counts of all items; places, overlaps and who leaks do not.
+    assert {(r[0], r[1], *r[3:]) for r in more if r.item_id != 3} == {(r[0], r[1], *r[3:]) for r in few}
+    assert [r.doc_id for r in more if r.item_id == 3] == [50]
+
+
+def test_short_items_are_found_as_a_whole(spark):
+    docs = spark.createDataFrame([(1, "he said: Too, short! and left"), (2, "short too"), (3, "too very short"), (4, "too")], DOCS)
+    items = spark.createDataFrame([(1, "too short"), (2, "left"), (3, "")], ITEMS)
+    assert leaked_items(docs, items).collect() == []
+    assert [(r.doc_id, r.item_id) for r in leaked_items(docs, items, least_words=2).collect()] == [(1, 1)]
+    assert {(r.doc_id, r.item_id) for r in leaked_items(docs, items, least_words=1).collect()} == {(1, 1), (1, 2)}
+
+
+def test_one_scan_for_any_number_of_chunks(spark, monkeypatch):
+    items = spark.createDataFrame([(i, filler(30, seed=i)) for i in range(40)], ITEMS)
+    monkeypatch.setattr(dc, "CHUNK_BYTES", 500)
+    assert len(dc.index_files(items, 5)) > 3
+    plan = leaked_items(spark.range(5).selectExpr("id AS doc_id", "'x' AS text"), items)._jdf.queryExecution().toString()
+    assert "Union" not in plan
+    assert max(len(index.items) for _, index in dc.read_indexes(dc.index_files(items, 5))) <= 4
+
+
 def test_wand_finds_all_that_adding_up_finds():
     rng = random.Random(3)
     texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(rng.randrange(8, 40))) for _ in range(60)]

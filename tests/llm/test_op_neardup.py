@@ -77,3 +77,23 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert {r.node: r.label for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_without_id_are_copies_like_any_others(spark):
+    """A third of the rows have no id, another third one and the same."""
+    from tidemark.llm.neardup import drop_near_duplicates
+
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    near = lambda k: text(k) + " end"
+    rows = [(None, text(k)) for k in (0, 0, 1)] + [(None, near(0)), (7, text(1)), (7, near(2)), (7, text(2)), (7, text(3)), (4, near(1))]
+    rows += [(None, ""), (None, None), (7, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS _row")
+    got = drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    short = [t for t in kept if not (t[1] or "").strip()]
+    assert sorted(short, key=str) == sorted([(None, ""), (None, None), (7, " ")], key=str)
+    words = [t for t in kept if (t[1] or "").strip()]
+    # One row of each group, of its smallest id.
+    assert len(words) == 4 and (4, near(1)) in words and (7, text(3)) in words
+    assert sum(t[0] is None for t in words) == 1 and sum(t[1] in (text(2), near(2)) for t in words) == 1

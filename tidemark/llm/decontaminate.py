@@ -3,27 +3,32 @@
 The test items are the indexed side. Each term has a posting list of (item, impact), sorted by item,
 and the largest impact in every block of ``BLOCK`` items where it occurs; an impact is the term's
 BM25 weight in the item over the sum of all weights of the item, so a passage that holds every term
-of an item scores 1 for it. Each document is cut into overlapping passages of at least twice the
-longest item, half of which overlap, so every stretch as long as an item lies whole in one passage.
+of an item scores 1 for it. Items go by classes of length, and for each class a document is cut into
+overlapping passages of at least twice the longest length of the class, half of which overlap; so every
+stretch as long as an item lies whole in one passage, and no item's passages depend on another class.
 Every passage is a query. Its terms' block maxima are added up for all blocks at once; in the blocks
 that can reach ``MIN_SCORE``, WAND moves from pivot to pivot, and so all items that score as much
 are retrieved. A retrieved item counts as leaked if at least
 ``MIN_OVERLAP`` of the word n-grams of its question and of its answer are in the passage. The answer
 is an item's last sentence, or its last third if it has but one sentence.
 
-Numbers of items, lengths and frequencies of terms are counted over all items by Spark. The index
-goes to the tasks in chunks of at most about ``CHUNK_BYTES`` of item text, one pass over the
-documents for each, so its size is bounded and the result is the same for any number of chunks.
+Numbers of items, lengths and frequencies of terms are counted over all items by Spark. Tasks build the
+index in chunks, of one class and at most about ``CHUNK_BYTES`` of item text (or one longer item) each, and
+write them to the shared folder; the tasks of one pass over the documents read the chunks in turn while
+they hold a batch of texts. The driver sees file names only, and the result is the same for any number of
+chunks. ``pyarrow`` must be able to open the folder of ``spark.checkpoint.dir``.
 
 Words are what stands between ASCII white space and punctuation, with A-Z in lower case. Null or
-empty texts hold and match nothing, and so do items of fewer than ``GRAM`` words, which say too
-little to be told from ordinary text. Rows that repeat an item id, or have none, are items of their
+empty texts hold and match nothing, and so do items of fewer than ``least_words`` (``GRAM`` unless given)
+words, which say too little to be told from ordinary text; if they are looked for, items of fewer than
+``GRAM`` words must be in a passage as a whole, word for word. Rows that repeat an item id, or have none, are items of their
 own; the answer names ids, so repeated ones come once. The same holds for documents. An empty table on
 either side gives no rows.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -90,8 +95,6 @@ class ItemIndex:
         for r in rows:
             question, answer = split_item(r.text)
             words = question + answer
-            if len(words) < GRAM:
-                continue
             df = {t.term.encode("utf-8", "surrogatepass"): t.df for t in r.terms}
             ids = [self.terms.setdefault(w, len(self.terms)) for w in words]
             weights = {}
@@ -198,7 +201,11 @@ class ItemIndex:
                 yield (low + p) * half, block, terms[lo:hi]
 
     def overlaps(self, item: int, passage: list[int]) -> tuple[float, float]:
-        """Shares of the n-grams of question and answer that a passage has."""
+        """Shares of the n-grams of question and answer that a passage has; all or nothing of a short item."""
+        whole = [t for part in self.items[item][1:] for t in part]
+        if len(whole) < GRAM:
+            hit = float(tuple(whole) in ngrams(passage, len(whole)))
+            return hit, hit
         shares = []
         for part in self.items[item][1:]:
             n = min(GRAM, len(part))
@@ -231,41 +238,75 @@ def item_words(texts: pd.Series) -> pd.Series:
     return pd.Series(found, dtype=object)
 
 
-def item_chunks(items: DataFrame) -> tuple[list[DataFrame], int, float, int]:
-    """Chunks of ``item_id, text, terms`` with the counts over all items that BM25 needs."""
+def passage_of(words: int) -> int:
+    """Words of a passage for the class of items that one of so many words belongs to."""
+    return max(PASSAGE, 2 << max(0, words - 1).bit_length())
+
+
+def index_files(items: DataFrame, least_words: int) -> list[str]:
+    """Files of (passage, index) for all items of ``item_id, text``, written by tasks."""
     read = items.where("text is not null").select(
         "item_id", "text", item_words("text").alias("words"), F.monotonically_increasing_id().alias("rid")
     )
-    read = write_once(read.where(F.size("words") >= GRAM), "items")
+    read = write_once(read.where(F.size("words") >= max(1, least_words)), "items")
     tally = read.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.size("words")).alias("mean"),
-        F.max(F.size("words")).alias("longest"),
-        F.sum(F.octet_length("text")).alias("bytes"),
+        F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("mean"), F.sum(F.octet_length("text")).alias("bytes")
     ).first()
+    if not tally.n:
+        return []
+    n, mean = tally.n, tally.mean
     terms = read.select("rid", F.explode(F.array_distinct("words")).alias("term"))
     df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     listed = terms.join(df, "term").groupBy("rid").agg(F.collect_list(F.struct("term", "df")).alias("terms"))
-    n = max(1, -(-(tally.bytes or 0) // CHUNK_BYTES))
-    whole = read.join(listed, "rid").withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(n)))
-    whole = write_once(whole.select("chunk", "rid", "item_id", "text", "terms"), "item-terms")
-    chunks = [whole.where(F.col("chunk") == c).orderBy("item_id", "text", "rid") for c in range(n)]
-    return chunks, tally.n, tally.mean or 1.0, tally.longest or 0
-
-
-def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    whole = read.join(listed, "rid").select("rid", "item_id", "text", "terms", F.size("words").alias("n_words"))
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, tuple[list[Row], int]] = {}
+
+        def made(passage: int) -> pd.DataFrame:
+            rows = sorted(held.pop(passage)[0], key=lambda r: (r.item_id is not None, r.item_id or 0, r.text, r.rid))
+            return pd.DataFrame({"passage": [passage], "state": [pickle.dumps(vars(ItemIndex(rows, n, mean)))]})
+
+        for b in batches:
+            for rid, item, text, found, n_words in zip(b["rid"], b["item_id"].astype("Int64"), b["text"], b["terms"], b["n_words"]):
+                passage, size = passage_of(n_words), len(text.encode("utf-8", "surrogatepass"))
+                if passage in held and held[passage][1] + size > CHUNK_BYTES:
+                    yield made(passage)
+                rows, used = held.get(passage, ([], 0))
+                row = Row(rid=rid, item_id=None if item is pd.NA else int(item), text=text, terms=[Row(term=t["term"], df=t["df"]) for t in found])
+                rows.append(row)
+                held[passage] = rows, used + size
+        for passage in sorted(held):
+            yield made(passage)
+
+    chunks = max(1, -(-tally.bytes // CHUNK_BYTES))
+    index = whole.repartition(chunks, "rid").mapInPandas(build, "passage int, state binary")
+    return sorted(write_once(index, "item-index").inputFiles())
+
+
+def read_indexes(files: list[str]) -> Iterator[tuple[int, ItemIndex]]:
+    """The chunks in turn, one at a time."""
+    import pyarrow.fs
+    import pyarrow.parquet
+
+    for file in files:
+        uri = re.sub("^file:/+", "file:///", file)
+        system, path = pyarrow.fs.FileSystem.from_uri(uri) if ":/" in uri else (pyarrow.fs.LocalFileSystem(), uri)
+        with system.open_input_file(path) as opened:
+            for batch in pyarrow.parquet.ParquetFile(opened).iter_batches(batch_size=1):
+                for row in batch.to_pylist():
+                    yield row["passage"], ItemIndex.of(pickle.loads(row["state"]))
+
+
+def leaked_items(docs: DataFrame, items: DataFrame, least_words: int = GRAM) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap, word_at`` of every leak."""
-    chunks, n, mean, longest = item_chunks(items.select("item_id", "text"))
-    passage = max(PASSAGE, 2 * longest)
-    found = None
-    for chunk in chunks:
-        # About CHUNK_BYTES of text, whatever the number of items.
-        index = ItemIndex(chunk.collect(), n, mean)
-        sent = docs.sparkSession.sparkContext.broadcast(vars(index))
-
-        def search(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            index = ItemIndex.of(sent.value)
-            for b in batches:
+    files = index_files(items.select("item_id", "text"), least_words)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # A single chunk stays; of several only one is held at a time.
+        kept = list(read_indexes(files)) if len(files) == 1 else None
+        for b in batches:
+            for passage, index in kept if kept is not None else read_indexes(files):
                 rows = [
                     (doc, item, *leak)
                     for doc, text in zip(b["doc_id"].astype("Int64"), b["text"])
@@ -274,10 +315,9 @@ def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
                 out = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "q", "a", "at"])
                 yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
 
-        part = docs.select("doc_id", "text").mapInPandas(
-            search, "doc_id long, item_id long, score double, q double, a double, at long"
-        )
-        found = part if found is None else found.union(part)
+    found = docs.select("doc_id", "text").mapInPandas(
+        search, "doc_id long, item_id long, score double, q double, a double, at long"
+    )
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "q", "a", "at")).alias("x"))
     return best.select(
         "doc_id",
@@ -289,14 +329,14 @@ def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, least_words: int = GRAM) -> DataFrame:
     """The rows of ``docs`` without those that hold a leaked item, each judged by itself."""
     row = "_row"
     while row in map(str.lower, docs.columns):
         row += "_"
     # Written with its numbers, which would differ if the rows were read anew.
     numbered = write_once(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    leaked = leaked_items(numbered.select(F.col(row).alias("doc_id"), "text"), items)
+    leaked = leaked_items(numbered.select(F.col(row).alias("doc_id"), "text"), items, least_words)
     leaked = write_once(leaked.select(F.col("doc_id").alias(row)).distinct(), "leaked")
     return numbered.join(leaked, row, "left_anti").drop(row)
 

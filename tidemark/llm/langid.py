@@ -7,7 +7,7 @@ absent ones count ``GRAMS``. The nearest language is predicted, the first by nam
 as near. ``score`` is 1 minus that distance over the largest possible one.
 
 Profiles are learned from a bounded sample of labelled rows: about ``sample_rows`` of each language,
-drawn by a hash of the id. Whole texts count, in learning and in prediction. Predictions see the text
+drawn by a hash of id and text. Whole texts count, in learning and in prediction. Predictions see the text
 alone. What the driver holds is ``GRAMS`` codes for each language; languages are a catalog.
 
 A text that is null, empty or without a letter is ``und`` with score 0, and so is every text when
@@ -98,7 +98,7 @@ def learn_profiles(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Profiles:
     labelled = labelled.select("doc_id", "text", "lang")
     n = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     n = docs.sparkSession.createDataFrame(collect_catalog(n, MAX_LANGUAGES), "lang string, _n long")
-    draw = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_000)) * F.col("_n")
+    draw = F.pmod(F.xxhash64(F.lit(9), "doc_id", "text"), F.lit(1_000_000)) * F.col("_n")
     # At most MAX_LANGUAGES rows, checked; texts stay where they are.
     sample = labelled.join(F.broadcast(n), "lang").where(draw < sample_rows * 1_000_000)
 

@@ -266,9 +266,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that a smaller id of their component stands for."""
-    lost = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
+    """One row of every component of near-duplicate rows: of the smallest id, null last, the first.
+
+    Rows are judged by a number of their own, so those without id, or with one that repeats, are near
+    copies like any others; rows without words stay.
+    """
+    row = "_row"
+    while row in map(str.lower, docs.columns):
+        row += "_"
+    # Written with its numbers, which would differ if the rows were read anew.
+    numbered = write_once(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"))
+    found = write_once(found.where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "near-rows")
+    ids = numbered.select(row, F.col("doc_id").alias("_id")).join(found, row)
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", row)).getField(row).alias(row)
+    # Only the rows that go are joined back: few of a large table.
+    kept = ids.groupBy("component_id").agg(first).select(row)
+    lost = found.select(row).join(kept, row, "left_anti")
+    return numbered.join(lost, row, "left_anti").drop(row)
 
 
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
