@@ -47,6 +47,15 @@ def test_one_agenda_for_a_whole_text_gives_the_same(model, agenda):
     assert [model.bos_id(), *whole, model.eos_id()] == ids_of(agenda, text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("▁abthein g,é"), min_size=2, max_size=40))
+def test_both_agendas_merge_alike(agenda, text):
+    short = agenda.merged(text)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pieces, "MAX_LENGTH", 0)
+        assert agenda.merged(text) == short
+
+
 def test_a_letter_without_end_and_forgotten_stretches(model, agenda, monkeypatch):
     long = "a" * 200_000 + "é" * 50_000
     assert ids_of(agenda, long) == model.encode(long, add_bos=True, add_eos=True)
