@@ -40,7 +40,7 @@ from tidemark.llm.tables import documents
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 MAX_MODEL = 64 << 20
-MAX_KEPT = 300_000
+MAX_KEPT = 900_000
 #: Stretches of more code points seldom recur.
 MAX_LENGTH = 48
 #: The score of a pair that is no piece.
