@@ -27,7 +27,8 @@ ROLL_UP = (
 
 
 def _share(nulls: Column, rows: Column) -> Column:
-    return nulls / rows * 100
+    # An empty load has no share.
+    return F.try_divide(nulls, rows) * 100
 
 
 def _as_rows(wide: DataFrame, columns: list[str]) -> DataFrame:
