@@ -11,7 +11,7 @@ from tidemark.functions.casts import parse_instant
 from tidemark.functions.naming import plan_columns
 from tidemark.operators.records import flatten_records
 from tidemark.plans.warehouse import Warehouse
-from tidemark.streaming.feed import stream_pages, stream_upsert
+from tidemark.streaming.feed import drop_repeats, stream_pages, stream_upsert
 
 COLUMNS = plan_columns([("name", "string"), ("hs_lastmodifieddate", "datetime")])
 
@@ -181,3 +181,17 @@ def test_unreadable_pages_and_bad_ids_are_told(spark, house, tmp_path):
     assert state(house) == {1: ("a", False)}
     told = {(r.error_type, r.id_text) for r in house.read("rejects").collect()}
     assert ("ValueError", "x7") in told and any(kind == "JSONDecodeError" for kind, _ in told)
+
+
+def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
+    folder, shape = str(tmp_path / "rows"), "k long, v string"
+
+    def take(*rows):
+        spark.createDataFrame(list(rows), shape).coalesce(1).write.mode("append").parquet(folder)
+        stream = drop_repeats(spark.readStream.schema(shape).parquet(folder), ["k"], "1 day").writeStream
+        stream = stream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True)
+        stream.format("parquet").start(str(tmp_path / "out")).awaitTermination()
+        return sorted(((r.k, r.v) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=str)
+
+    assert take((1, "a"), (1, "a"), (None, "n")) == [(1, "a"), (None, "n")]
+    assert take((1, "again"), (None, "n"), (2, "b")) == [(1, "a"), (2, "b"), (None, "n")]

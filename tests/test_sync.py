@@ -308,3 +308,19 @@ def test_counts_do_not_grow_on_a_repeated_run(spark, house, tmp_path):
     sync_object(spark, feed, house, force_full=True, mark=JULY)
     assert sorted(map(tuple, house.read("contact_edges").drop("fivetran_synced").collect())) == before
     assert house.read("contact").where(F.col("fivetran_deleted")).isEmpty()
+
+
+def test_a_property_declared_late_is_filled_from_what_rows_keep(spark, house, tmp_path):
+    odd = """a "b" 'c'"""
+    crew = [record("1", age="7", **{odd: "x", "N.o de [pie]": {"k": 1}}), record("2", age="old"), record("3")]
+    few = [{"name": "firstname"}]
+    landing(tmp_path / "one", people=crew, links=False, catalog=few)
+    sync_object(spark, Feed.under(str(tmp_path / "one"), "contacts"), house, mark=JUNE, keep_raw=True)
+    assert "age" not in house.read("contact").columns
+    more = [*few, {"name": "age", "type": "number"}, {"name": odd}, {"name": "N.o de [pie]"}]
+    landing(tmp_path / "two", people=[record("3", age="9"), record("4", age="10")], links=False, catalog=more)
+    run = sync_object(spark, Feed.under(str(tmp_path / "two"), "contacts"), house, mark=JULY)
+    assert run.schema_changes == 3 and run.sync_mode == "incremental"
+    got = people(house, "age", "a_b_c", "no_de_pie")
+    assert got[1] == (7.0, "x", '{"k":1}')
+    assert {k: v[0] for k, v in got.items()} == {1: 7.0, 2: None, 3: 9.0, 4: 10.0}

@@ -27,6 +27,8 @@ EDGE_KEY = ["from_id", "to_type", "to_id", "type_id"]
 #: speaks for its own edges only.
 EDGE_ORIGIN = "_origin"
 INLINE = "inline"
+#: All properties of a record as they came, declared or not, where a table keeps them.
+RAW = "_properties"
 #: Edge tables are bucketed by these; a from-id's edges are dealt over so many salts.
 EDGE_PLACE = ["from_id", "_salt"]
 EDGE_SALTS = 8

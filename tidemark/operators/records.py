@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.casts import parse_id, typed
 from tidemark.functions.naming import ColumnPlan
-from tidemark.meta import MetaColumns
+from tidemark.meta import RAW, MetaColumns
 from tidemark.session import collect_catalog
 from tidemark.sources.pages import is_archived
 
@@ -64,12 +64,15 @@ def flatten_records(
     meta: MetaColumns = MetaColumns(),
     dates_as_instants: bool = False,
     carry: tuple[str, ...] = (),
+    raw: bool = False,
 ) -> DataFrame:
     """One wide row per record: id, a typed column per property, synced-at and deleted.
 
     A property named like the id column takes the place of the record's own id. Rows whose id is
     no whole number keep their text in ``_bad_id``; the others have null there. Each property
-    column carries its original name as metadata. ``carry`` names columns to pass along.
+    column carries its original name as metadata. ``carry`` names columns to pass along. With ``raw``
+    all properties come along as one ``VARIANT``, for :func:`declare_late`; it is null for text that is
+    no JSON or names a property twice.
     """
     names = [c.original for c in columns]
     df, read = _reader(records, [*names, meta.id])
@@ -88,9 +91,38 @@ def flatten_records(
         is_archived().alias(meta.deleted),
         F.when(~good, F.coalesce(own, F.lit(""))).alias("_bad_id"),
         *carry,
+        *([_variant(df).alias(RAW)] if raw else []),
     )
 
 
+def _variant(records: DataFrame) -> Column:
+    is_text = isinstance(records.schema["properties"].dataType, T.StringType)
+    return F.try_parse_json(F.col("properties") if is_text else F.to_json("properties"))
+
+
+def raw_text(name: str) -> Column:
+    """A property out of the :data:`~tidemark.meta.RAW` column, as text; nested values are JSON text."""
+    quote = "'" if '"' in name else '"'
+    if not name or quote in name:
+        # Paths cannot spell these names.
+        return F.from_json(F.to_json(RAW), T.MapType(T.StringType(), T.StringType()))[name]
+    return F.try_variant_get(F.col(RAW), f"$[{quote}{name}{quote}]", "string")
+
+
+def declare_late(target: DataFrame, columns: list[ColumnPlan]) -> DataFrame:
+    """The target with those of ``columns`` that it lacks, filled from the properties that its rows keep.
+
+    Nothing is read again for a property that is declared after its records came. Rows without kept
+    properties have null, as in a column that is added without them.
+    """
+    held = {name.lower() for name in target.columns}
+    late = [c for c in columns if c.final.lower() not in held]
+    if not late or RAW not in held:
+        return target
+    values = [typed(raw_text(c.original), c.declared).alias(c.final, metadata={"source": c.original}) for c in late]
+    return target.select("*", *values)
+
+
 def split_rejects(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with a usable id, rows without)."""
     good = flat.where(F.col("_bad_id").isNull()).drop("_bad_id")

@@ -19,7 +19,7 @@ from tidemark.functions.naming import (
     normalize_name,
     plan_columns,
 )
-from tidemark.meta import EDGE_ORIGIN, EDGE_PLACE, INLINE, MetaColumns
+from tidemark.meta import EDGE_ORIGIN, EDGE_PLACE, INLINE, RAW, MetaColumns
 from tidemark.operators import edges as E
 from tidemark.operators import hierarchy as H
 from tidemark.operators import merge as M
@@ -28,7 +28,16 @@ from tidemark.operators import resolve as R
 from tidemark.operators import state as S
 from tidemark.operators import tombstones as X
 from tidemark.operators.evolve import align, new_columns
-from tidemark.operators.records import REJECT, at, failure_rows, flatten_records, reject_rows, run_mark, split_rejects
+from tidemark.operators.records import (
+    REJECT,
+    at,
+    declare_late,
+    failure_rows,
+    flatten_records,
+    reject_rows,
+    run_mark,
+    split_rejects,
+)
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import collect_catalog, write_once
 from tidemark.sources import pages as G
@@ -225,6 +234,7 @@ def sync_object(
     mark: datetime | None = None,
     overlap: timedelta | None = timedelta(days=1),
     meta: MetaColumns = MetaColumns(),
+    keep_raw: bool = False,
 ) -> Row:
     """Bring one object's tables up to date and return its run summary.
 
@@ -239,6 +249,9 @@ def sync_object(
     where it was, so the next run reads the same span again. A full load without a row changes neither records
     nor edges. Links from pages join any live record of the table; those of records that are not there
     wait in ``<table>_links_waiting`` for a later run.
+
+    With ``keep_raw`` the table keeps all properties of a record, declared or not, in a ``VARIANT`` column;
+    a property that a later run finds declared is filled from it. A table that has the column keeps it.
     """
     started = time.monotonic()
     mark = mark or run_mark()
@@ -259,13 +272,11 @@ def sync_object(
         after = None
         records = landed(None)
 
+    target = house.read(catalog.table)
+    raw = keep_raw or (target is not None and RAW in target.columns)
     # The pages are parsed once; everything after reads this table.
-    staged = write_once(
-        flatten_records(
-            records, catalog.columns, mark, meta, carry=("id", "associations", "_ord", "_corrupt")
-        ),
-        "staged",
-    )
+    carry = ("id", "associations", "_ord", "_corrupt")
+    staged = write_once(flatten_records(records, catalog.columns, mark, meta, carry=carry, raw=raw), "staged")
     good, _ = split_rejects(staged)
     load = M.keep_last(good.drop("id", "associations", "_corrupt"), [meta.id], ["_ord"]).drop("_ord")
     tally = staged.agg(
@@ -290,12 +301,12 @@ def sync_object(
 
     pipelines, stages = publish_pipelines(house, catalog, mark, meta)
 
-    target = house.read(catalog.table)
     added = []
     if target is None:
         new = load
     else:
         added = new_columns(target.schema, load.schema)
+        target = declare_late(target, catalog.columns)
         load = align(load, target.schema)
         if mode == "incremental":
             gone = X.archived_since(archived, since, meta)

@@ -41,6 +41,18 @@ def stream_pages(spark: SparkSession, path: str, result: str = RECORD, files_per
     return placed.select("_result.*", F.struct("_page").alias("_ord"), "_corrupt")
 
 
+def drop_repeats(rows: DataFrame, unique: list[str], within: str) -> DataFrame:
+    """The stream without rows whose ``unique`` columns have come before, up to ``within`` (an interval) ago.
+
+    The state holds a key for ``within`` from its first arrival and no longer, so it does not grow with the
+    stream; what comes again after that is left to the merge behind (see ``guard`` in :func:`stream_upsert`).
+    Time is the time of the micro-batch, not a time in the data: so no row is ever too late, and rows
+    without a time are like any other. Nulls in ``unique`` equal each other.
+    """
+    arrived = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(unique).drop("_arrived")
+
+
 def stream_upsert(
     rows: DataFrame,
     house: Warehouse,

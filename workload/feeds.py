@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,7 @@ from tidemark.session import scratch_database, scratch_dir
 from tidemark.functions.casts import parse_instant
 from tidemark.functions.naming import plan_columns
 from tidemark.operators.records import flatten_records
-from tidemark.streaming.feed import stream_pages, stream_upsert
+from tidemark.streaming.feed import drop_repeats, stream_pages, stream_upsert
 from workload.registry import Tables, day, iso, query, text
 
 SPLIT = "1998-06-01"
@@ -44,10 +45,35 @@ def stream_upsert_latest(t: Tables) -> DataFrame:
     return house.read("latest").select("user_id", "event_id", "value")
 
 
-def land(t: Tables, folder: str, orders: DataFrame, broken: Column | None = None) -> None:
+@query("""
+    SELECT user_id, count(*) AS n_events, sum(event_id)::BIGINT AS ids, sum(amount)::BIGINT AS amount
+    FROM (SELECT user_id, event_id, CAST(floor(value) AS BIGINT) AS amount FROM events) GROUP BY user_id""")
+def stream_dedup_window(t: Tables) -> DataFrame:
+    """All events land, then a third of them again: a sink that only appends takes each once."""
+    folder = scratch_dir(t.spark, "repeats")
+    landed = t.events.select("user_id", "event_id", F.floor("value").alias("amount"))
+    landed.write.parquet(f"{folder}/landed")
+    landed.where(F.col("event_id") % 3 == 0).write.mode("append").parquet(f"{folder}/landed")
+    rows = t.spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+    once = drop_repeats(rows, ["event_id"], "1 day")
+    writer = once.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    writer.format("parquet").start(f"{folder}/taken").awaitTermination()
+    taken = t.spark.read.schema(landed.schema).parquet(f"{folder}/taken")
+    return taken.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("ids"), F.sum("amount").alias("amount")
+    )
+
+
+DECLARED = {"Total Price": "number", "Status": "string", "hs_lastmodifieddate": "datetime"}
+
+
+def land(
+    t: Tables, folder: str, orders: DataFrame, broken: Column | None = None, declared: dict[str, str] = DECLARED
+) -> None:
     """Orders as landed pages of records with links to their customers, plus the catalogs.
 
-    Where ``broken`` holds the page stops after half of its text.
+    Where ``broken`` holds the page stops after half of its text. ``declared`` are the properties that
+    the catalog knows.
     """
     record = F.struct(
         text("o_orderkey").alias("id"),
@@ -71,8 +97,7 @@ def land(t: Tables, folder: str, orders: DataFrame, broken: Column | None = None
         F.struct(text("o_orderkey").alias("id"), F.lit(True).alias("archived")).alias("r")
     )
     gone.select(F.to_json(F.struct(F.array("r").alias("results")))).write.text(f"{folder}/orders/archived")
-    catalog = """{"results":[{"name":"Total Price","type":"number"},{"name":"Status"},
-                 {"name":"hs_lastmodifieddate","type":"datetime"}]}""".replace("\n", " ")
+    catalog = json.dumps({"results": [{"name": name, "type": kind} for name, kind in declared.items()]})
     single = {"properties": catalog, "schema": '{"objectTypeId":"0-1","name":"ORDER"}'}
     for kind, line in single.items():
         t.spark.createDataFrame([(line,)], "value string").write.text(f"{folder}/orders/{kind}")
@@ -107,6 +132,24 @@ def sync_two_runs(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+    SELECT o_orderkey AS id, o_totalprice AS total_price, o_orderstatus AS status,
+           strftime(o_orderdate, '%Y-%m-%d') AS modified FROM orders""")
+def variant_props(t: Tables) -> DataFrame:
+    """Price and status are declared after most orders have come; nothing is read again for them."""
+    house, folder = fresh_warehouse(t, "raw", t.orders)
+    early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
+    first = {"hs_lastmodifieddate": "datetime"}
+    land(t, f"{folder}/first", t.orders.where(early), declared=first)
+    land(t, f"{folder}/second", t.orders.where(~early))
+    runs = [("first", datetime(1998, 6, 1)), ("second", datetime(2002, 1, 1))]
+    for name, mark in runs:
+        sync_object(t.spark, Feed.under(f"{folder}/{name}", "orders"), house, mark=mark, keep_raw=True)
+    return house.read("order").select(
+        F.col("hs_object_id").alias("id"), "total_price", "status", day("hs_lastmodifieddate").alias("modified")
+    )
+
+
 @query("""
     SELECT o_orderkey AS order_id, o_custkey AS customers_id, '1' AS type_id,
            'HUBSPOT_DEFINED' AS category FROM orders""")
