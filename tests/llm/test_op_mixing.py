@@ -5,7 +5,8 @@ import llm_brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tidemark.llm.mixing import WORD, mix, mixed_documents, op2_source_mix, permuted, sized_rows
+from tidemark.llm import mixing
+from tidemark.llm.mixing import WORD, deal_slots, mix, mixed_documents, op2_source_mix, permuted, sized_rows
 
 DOCS = "doc_id long, text string, source string"
 
@@ -61,11 +62,51 @@ def test_slots_have_no_gaps_and_blocks_come_in_turn(spark):
     _, sources, drawn = sums(spark, ROWS, block=7, n_shards=4)
     slots, passes = {}, {}
     for source, r in drawn:
-        slots.setdefault((source, r.shard), set()).add(r.slot)
+        slots.setdefault(r.shard, {}).setdefault(r.slot, set()).add((source, r.block, r.epoch))
         passes.setdefault((source, r.block), set()).add(r.epoch)
-    assert all(s == set(range(len(s))) for s in slots.values())
+    # Every slot of a shard is filled, by one block; shards are of one length.
+    assert all(set(s) == set(range(len(s))) for s in slots.values())
+    assert all(len(b) == 1 for s in slots.values() for b in s.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
     assert all(p == set(range(len(p))) for p in passes.values())
-    assert {k[1] for k in slots} == {0, 1, 2, 3}
+    assert set(slots) == {0, 1, 2, 3}
+    # Sources are mixed within a shard, not one after the other.
+    big = [min(s[n])[0] or "" for s in slots.values() for n in range(len(s))]
+    assert sum(x != y for x, y in zip(big, big[1:])) > 100
+
+
+def test_shards_draw_their_sources():
+    slots = np.array([0, 1, 7, 1000, 300_000, 10**12])
+    dealt = deal_slots(slots, 16, 1)
+    assert (dealt >= 0).all() and (dealt.sum(axis=1) == slots).all()
+    lengths = dealt.sum(axis=0)
+    assert lengths.max() - lengths.min() <= 1
+    # Counts vary as draws do: about the mean, but not equal to it.
+    counts, mean = dealt[4], 300_000 / 16
+    assert len(set(counts)) > 8 and (abs(counts - mean) < 12 * mean**0.5).all()
+    assert (deal_slots(slots, 16, 2) != dealt).any() and (deal_slots(slots, 16, 1) == dealt).all()
+    assert deal_slots(np.array([], np.int64), 4, 1).shape == (0, 4)
+    assert deal_slots(np.array([5]), 16, 1).sum() == 5
+
+
+def test_the_draw_decides_which_shard_holds_a_word(spark, monkeypatch):
+    def at_home(slots, n_shards, seed):
+        dealt = np.zeros((len(slots), n_shards), np.int64)
+        dealt[:, 0] = slots
+        return dealt
+
+    def held():
+        return {(s, r.rid, r.shard) for s, r in sums(spark, ROWS, block=7, n_shards=4)[2]}
+
+    drawn = held()
+    monkeypatch.setattr(mixing, "deal_slots", at_home)
+    assert {k[2] for k in held()} == {0} and {k[2] for k in drawn} == {0, 1, 2, 3}
+
+
+def test_too_many_sources_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    with pytest.raises(Exception, match="more than 3 sources"):
+        sums(spark, ROWS)
 
 
 def test_reruns_agree_whatever_the_partitions(spark, tmp_path):
@@ -75,6 +116,7 @@ def test_reruns_agree_whatever_the_partitions(spark, tmp_path):
         path = str(tmp_path / f"run{n}")
         df.repartition(n).write.parquet(f"{path}/documents.parquet")
         answers.append(sorted((tuple(r) for r in op2_source_mix(spark, path).collect()), key=str))
+    assert all(bool(a[-1]) == (a[-2] > 0) for a in answers[0])
     assert answers[0] == answers[1] and len(answers[0]) == len(ROWS)
 
 

@@ -6,13 +6,16 @@ a whole number of words, its rounded target, and so a number of slots: whole pas
 then part of one, whose last slot is trimmed to the word. Slot j of a source takes the block to
 which a pseudorandom permutation of the block numbers (a Feistel network with a key for each source
 and pass) sends it, so no block comes a second time before all came once, and no document exceeds
-three times its words. The slots are dealt to output shards by multinomial draws: for each source
-the counts that independent draws of the shards have, given that they add up to the source's slots.
-Slots and blocks are then joined by index. Seeds are parameters and nothing depends on the
-partitions, so reruns agree.
+three times its words. Output shards have fixed lengths, at most one slot apart. Shard after shard
+draws how many of its slots each source fills, a multinomial draw by the slots that the sources have
+left; what exceeds a source's rest is drawn again among the others, so in the end every source has all
+its slots. A source's slots in the order of j are its counts in shard 0, then in shard 1, and so on, and
+a permutation for each shard mixes the sources within it. Slots and blocks are then joined by index.
+Seeds are parameters and nothing depends on the partitions, so reruns agree.
 
 A hot source spreads: offsets of words come from a range sort by (source, id) with sums for each
-partition, slots are made in chunks of ``CHUNK``, and the join key is (source, block).
+partition, slots are made in chunks of ``CHUNK``, and the join key is (source, block). Only the table of sources,
+one row each, is dealt in one task, which refuses more than ``MAX_SOURCES``.
 
 A text without words or null takes no part and takes 0; so does a source without words. Null sources
 are one source, last in order; null ids come first in theirs. Rows that repeat an id are documents of
@@ -40,6 +43,8 @@ CHUNK = 1 << 16
 #: No source takes more than this many times its words.
 MOST_PASSES = 3
 ROUNDS = 4
+#: The draws of the shards hold one number for each source and shard; more sources are refused.
+MAX_SOURCES = 1_000_000
 
 
 def n_words(text: str) -> Column:
@@ -127,26 +132,48 @@ def _slots_of(source: str | None, size: int, target: float, block: int, seed: in
     return passes * blocks + slots, key, rest - held
 
 
-def plan_slots(sources: DataFrame, n_shards: int, block: int, seed: int) -> DataFrame:
-    """``sid, source_size, slots, key, last`` and how many slots each shard draws, per source."""
+def deal_slots(slots: np.ndarray, n_shards: int, seed: int) -> np.ndarray:
+    """How many of its slots each source (row) has in each shard (column)."""
+    draw = np.random.Generator(np.random.Philox(seed))
+    total = int(slots.sum())
+    left = slots.astype(np.int64)
+    dealt = np.zeros((len(slots), n_shards), np.int64)
+    for shard in range(n_shards):
+        need = total // n_shards + (shard < total % n_shards)
+        while need:
+            some = np.flatnonzero(left)
+            took = np.minimum(draw.multinomial(need, left[some] / left.sum()), left[some])
+            left[some] -= took
+            dealt[some, shard] += took
+            need -= int(took.sum())
+    return dealt
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for r in b.itertuples():
-                name = None if pd.isna(r.source) else r.source
-                slots, key, last = _slots_of(name, r.source_size, r.target, block, seed)
-                draw = np.random.Generator(np.random.Philox(key))
-                dealt = draw.multinomial(slots, np.full(n_shards, 1 / n_shards))
-                rows.append((r.sid, r.source_size, slots, key, last, dealt))
-            yield pd.DataFrame(rows, columns=["sid", "source_size", "slots", "key", "last", "dealt"])
-
-    return sources.select("sid", "source", "source_size", "target").mapInPandas(
-        plan, "sid long, source_size long, slots long, key long, last long, dealt array<long>"
+
+def plan_slots(sources: DataFrame, n_shards: int, block: int, seed: int) -> DataFrame:
+    """``sid, source_size, slots, key, last`` and, as lists over the shards, how many slots the source has
+    in each (``dealt``), where they start (``starts``) and the shards' lengths (``lengths``)."""
+
+    def plan(b: pd.DataFrame) -> pd.DataFrame:
+        if len(b) > MAX_SOURCES:
+            raise ValueError(f"more than {MAX_SOURCES} sources")
+        b = b.sort_values("sid")
+        rows = []
+        for r in b.itertuples():
+            name = None if pd.isna(r.source) else r.source
+            rows.append((r.sid, r.source_size, *_slots_of(name, r.source_size, r.target, block, seed)))
+        out = pd.DataFrame(rows, columns=["sid", "source_size", "slots", "key", "last"])
+        dealt = deal_slots(out["slots"].to_numpy(np.int64), n_shards, seed)
+        lengths = dealt.sum(axis=0)
+        starts = np.cumsum(dealt, axis=0) - dealt
+        return out.assign(dealt=list(dealt), starts=list(starts), lengths=[lengths] * len(out))
+
+    shape = "sid long, source_size long, slots long, key long, last long"
+    return sources.select("sid", "source", "source_size", "target").groupBy().applyInPandas(
+        plan, f"{shape}, dealt array<long>, starts array<long>, lengths array<long>"
     )
 
 
-def draw_slots(plans: DataFrame, block: int) -> DataFrame:
+def draw_slots(plans: DataFrame, block: int, seed: int) -> DataFrame:
     """``sid, block, epoch, take, shard, slot``: every slot, with the block that it takes."""
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,7 +190,10 @@ def draw_slots(plans: DataFrame, block: int) -> DataFrame:
                 words[j == r.slots - 1] = np.minimum(words[j == r.slots - 1], r.last)
                 ends = np.cumsum(r.dealt)
                 shard = np.searchsorted(ends, j, side="right")
-                slot = j - (ends - r.dealt)[shard]
+                slot = (r.starts - ends + r.dealt)[shard] + j
+                for k in np.unique(shard):
+                    own = shard == k
+                    slot[own] = permuted(slot[own], int(r.lengths[k]), (seed << 20) + int(k))
                 yield pd.DataFrame(
                     {"sid": r.sid, "block": taken, "epoch": epoch, "take": words, "shard": shard, "slot": slot}
                 )
@@ -225,7 +255,7 @@ def mix(rows: DataFrame, n_shards: int = 16, block: int = BLOCK, seed: int = 1)
     named = sources.select(F.col("source").alias("_source"), "sid")
     sided = rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
     pieces = pack_blocks(sided, block)
-    slots = draw_slots(plan_slots(sources, n_shards, block, seed), block)
+    slots = draw_slots(plan_slots(sources, n_shards, block, seed), block, seed)
     words = F.least(F.col("at") + F.col("words"), "take") - F.least("at", "take")
     drawn = pieces.join(slots, ["sid", "block"]).withColumn("words", words).where("words > 0")
     return sources, drawn.select("rid", "shard", "slot", "sid", "block", "epoch", "doc_at", "words")
@@ -287,9 +317,12 @@ def mixed_documents(docs: DataFrame, n_shards: int = 16, block: int = BLOCK, see
 
 
 def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Besides the columns of the contract ``shards``, the output shards that hold words of the document."""
     rows = sized_rows(documents(spark, folder))
     sources, drawn = mix(rows)
-    taken = drawn.groupBy("rid").agg(F.sum("words").alias("_taken"))
+    taken = drawn.groupBy("rid").agg(
+        F.sum("words").alias("_taken"), F.sort_array(F.collect_set(F.col("shard").cast("int"))).alias("_shards")
+    )
     named = sources.withColumnRenamed("source", "_source")
     return (
         rows.join(taken, "rid", "left")
@@ -300,5 +333,6 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
             "source_size",
             "target",
             F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("_shards", F.array().cast("array<int>")).alias("shards"),
         )
     )
