@@ -1,3 +1,4 @@
+import os
 import uuid
 from datetime import datetime
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import CATALOG, PEOPLE, land, linked, pages, record
-from tidemark.plans.sync import Feed, sync_all, sync_object
+from tidemark.plans.sync import Feed, Landed, sync_all, sync_object
 from tidemark.plans.warehouse import ConcurrentPublish, Warehouse
 
 JUNE, JULY, AUGUST = datetime(2024, 6, 10), datetime(2024, 7, 1), datetime(2024, 8, 1)
@@ -310,6 +311,42 @@ def test_counts_do_not_grow_on_a_repeated_run(spark, house, tmp_path):
     assert house.read("contact").where(F.col("fivetran_deleted")).isEmpty()
 
 
+def test_files_are_opened_by_what_they_hold(spark, house, tmp_path):
+    def one(id, day, name="n"):
+        return record(str(id), firstname=name, hs_lastmodifieddate=f"2024-{day}T00:00:00Z")
+
+    feed = landing(tmp_path, people=[one(1, "06-01"), one(2, "06-02")], catalog=[{"name": "firstname"}])
+    records = tmp_path / "contacts" / "records"
+    land(records, *pages([one(3, "07-20", "ahead")]))
+    land(records, *pages([one(4, "06-03")]))
+
+    def wanted(since):
+        return sorted(p.rsplit("/", 1)[1] for p in Landed(house, feed).choose("records", since))
+
+    def run(mark):
+        return sync_object(spark, feed, house, mark=mark, by_file=True)
+
+    assert run(JUNE).records_fetched == 4
+    noted = {r.file.rsplit("/", 1)[1]: r for r in house.read("sync_files").where("kind = 'records'").collect()}
+    assert {k: (r.records, r.undated) for k, r in noted.items()} == {
+        "0000.json": (2, 0), "0001.json": (1, 0), "0002.json": (1, 0)}
+    assert noted["0000.json"].oldest < noted["0000.json"].newest
+    # Only the file that holds a change after the mark is wanted, and what is new.
+    assert wanted(JUNE) == ["0001.json"]
+    land(records, *pages([one(1, "06-20", "late"), one(5, "06-21")]))
+    os.utime(records / "0003.json", (0, 0))
+    land(tmp_path / "contacts" / "links" / "to_type=2-9", {"results": [
+        {"from": {"id": "2"}, "to": [{"toObjectId": 77, "associationTypes": [{"typeId": 1}]}]}]})
+    assert wanted(JUNE) == ["0001.json", "0003.json"]
+    second = run(JULY)
+    assert (second.sync_mode, second.records_fetched, second.associations_found) == ("incremental", 3, 1)
+    assert {k: v[0] for k, v in people(house, "firstname").items()} == {1: "late", 2: "n", 3: "ahead", 4: "n", 5: "n"}
+    assert wanted(JULY) == ["0001.json"] and wanted(AUGUST) == []
+    # A rewritten file is another one; a run that is not complete notes nothing.
+    (records / "0002.json").write_text('{"results": [')
+    assert run(AUGUST).status == "with_errors" and wanted(AUGUST) == ["0002.json"]
+
+
 def test_a_property_declared_late_is_filled_from_what_rows_keep(spark, house, tmp_path):
     odd = """a "b" 'c'"""
     crew = [record("1", age="7", **{odd: "x", "N.o de [pie]": {"k": 1}}), record("2", age="old"), record("3")]

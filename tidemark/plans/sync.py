@@ -130,12 +130,18 @@ class Links:
     unreadable: DataFrame
 
 
-def read_links(spark: SparkSession, feed: Feed, names: DataFrame, landed_after: str | None = None) -> Links:
+def read_links(
+    spark: SparkSession,
+    feed: Feed,
+    names: DataFrame,
+    landed_after: str | None = None,
+    files: list[str] | None = None,
+) -> Links:
     """Link-batch pages, which land per target type id (``to_type=<id>`` folders), parsed once.
 
     For each record and target type that file counts which landed last; what one file says adds up.
     """
-    pages = G.read_pages(spark, feed.links, G.LINK_BATCH, landed_after=landed_after, landed=True)
+    pages = G.read_pages(spark, feed.links, G.LINK_BATCH, landed_after=landed_after, landed=True, files=files)
     if "to_type" not in pages.columns:
         pages = pages.withColumn("to_type", F.lit(None).cast("string"))
     raw = F.col("to_type").cast("string")
@@ -225,6 +231,38 @@ def publish_edges(
     return len(types)
 
 
+class Landed:
+    """The landed files of one run, by kind, as they were listed at its start.
+
+    A run opens the files that its log says it needs (see :func:`~tidemark.operators.state.files_to_open`) and
+    notes at its end, if it is complete, those that it read for the first time. Their names pass the
+    driver, as they do in any scan.
+    """
+
+    def __init__(self, house: Warehouse, feed: Feed) -> None:
+        self.house, self.feed = house, feed
+        self.listed: dict[str, DataFrame] = {}
+
+    def choose(self, kind: str, since: datetime | None) -> list[str] | None:
+        """Paths to read of one kind; ``None`` for all there are."""
+        seen = self.house.log("sync_files", S.FILES)
+        seen = seen.where((F.col("object_type") == self.feed.object_type) & (F.col("kind") == kind))
+        files = S.files_to_open(G.list_files(self.house.spark, getattr(self.feed, kind)), seen, since)
+        self.listed[kind] = write_once(files, f"files-{kind}")
+        return [r.path for r in self.listed[kind].where("wanted").select("path").collect()]
+
+    def note(self, zones: DataFrame) -> None:
+        for kind, files in self.listed.items():
+            own = files.where("unseen").drop("unseen", "wanted", "path")
+            own = own.join(zones if kind == "records" else zones.limit(0), "file", "left")
+            rows = own.select(
+                F.lit(self.feed.object_type).alias("object_type"), F.lit(kind).alias("kind"), *S.FILE_KEY,
+                F.coalesce("records", F.lit(0)).alias("records"), "oldest", "newest",
+                F.coalesce("undated", F.lit(0)).alias("undated"),
+            )
+            self.house.append(rows, "sync_files", S.FILES)
+
+
 def sync_object(
     spark: SparkSession,
     feed: Feed,
@@ -235,6 +273,7 @@ def sync_object(
     overlap: timedelta | None = timedelta(days=1),
     meta: MetaColumns = MetaColumns(),
     keep_raw: bool = False,
+    by_file: bool = False,
 ) -> Row:
     """Bring one object's tables up to date and return its run summary.
 
@@ -252,41 +291,65 @@ def sync_object(
 
     With ``keep_raw`` the table keeps all properties of a record, declared or not, in a ``VARIANT`` column;
     a property that a later run finds declared is filled from it. A table that has the column keeps it.
+
+    With ``by_file`` the times at which files landed do not matter and ``overlap`` is not used: ``sync_files``
+    keeps a row for each file that complete runs have read, with the span of change times in it, and a
+    run opens the files that are not there or hold changes since the mark. Files of links and archived
+    records are read once; a file counts as landed when it is first seen.
     """
     started = time.monotonic()
     mark = mark or run_mark()
     catalog = read_catalog(spark, feed, meta)
     since = S.last_mark(house.log("sync_state", S.STATE), feed.object_type)
 
-    def landed(after: str | None) -> DataFrame:
-        pages = G.read_pages(spark, feed.records, landed_after=after)
-        return G.active_records(G.explode_results(pages, keep_unreadable=True))
+    files = Landed(house, feed)
+    modified = parse_instant(F.get_json_object("properties", f"$.{meta.modified}"))
+
+    def landed(after: str | None, since: datetime | None = None) -> DataFrame:
+        chosen = files.choose("records", since) if by_file else None
+        pages = G.read_pages(spark, feed.records, landed_after=after, files=chosen)
+        records = G.active_records(G.explode_results(pages, keep_unreadable=True))
+        return records.withColumn("_modified", modified) if by_file else records
 
     mode, after = S.choose_mode(since, force_full=force_full), None
     if mode == "incremental":
-        after = (since - overlap).strftime("%Y-%m-%dT%H:%M:%S") if overlap is not None else None
-        modified = parse_instant(F.get_json_object("properties", f"$.{meta.modified}"))
-        records = S.modified_since(landed(after), modified, since, undated=True)
+        after = (since - overlap).strftime("%Y-%m-%dT%H:%M:%S") if overlap is not None and not by_file else None
+        records = opened = landed(after, since)
+        records = S.modified_since(records, modified, since, undated=True)
         mode = S.choose_mode(since, S.exceeds(records, max_changes))
     if mode == "full":
         after = None
-        records = landed(None)
+        records = opened = landed(None)
 
     target = house.read(catalog.table)
     raw = keep_raw or (target is not None and RAW in target.columns)
     # The pages are parsed once; everything after reads this table.
     carry = ("id", "associations", "_ord", "_corrupt")
-    staged = write_once(flatten_records(records, catalog.columns, mark, meta, carry=carry, raw=raw), "staged")
+    if by_file:
+        # The span of change times in a file is that of all its records.
+        flat = flatten_records(opened, catalog.columns, mark, meta, carry=(*carry, "_modified"), raw=raw)
+        everything = write_once(flat, "staged")
+        staged = everything
+        if mode == "incremental":
+            staged = S.modified_since(staged, F.col("_modified"), since, undated=True)
+        staged = staged.drop("_modified")
+    else:
+        flat = flatten_records(records, catalog.columns, mark, meta, carry=carry, raw=raw)
+        staged = write_once(flat, "staged")
     good, _ = split_rejects(staged)
     load = M.keep_last(good.drop("id", "associations", "_corrupt"), [meta.id], ["_ord"]).drop("_ord")
     tally = staged.agg(
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(F.col("_bad_id").isNotNull() | F.col("_corrupt").isNotNull()).alias("failed"),
     ).first()
-    links = read_links(spark, feed, catalog.link_names, after)
+    # A mark of the far future: only files that were never read.
+    unread_only = datetime.max if mode == "incremental" else None
+    link_files = files.choose("links", unread_only) if by_file else None
+    links = read_links(spark, feed, catalog.link_names, after, link_files)
     unread = links.unreadable.withColumn("of_links", F.lit(True))
     if mode == "incremental":
-        archived = G.read_pages(spark, feed.archived, landed_after=after)
+        gone_files = files.choose("archived", unread_only) if by_file else None
+        archived = G.read_pages(spark, feed.archived, landed_after=after, files=gone_files)
         archived = write_once(G.explode_results(archived, keep_unreadable=True), "archived")
         broken = archived.where("_corrupt IS NOT NULL AND coalesce(_ord._pos, 0) = 0").select("_ord", "_corrupt")
         unread = unread.union(broken.withColumn("of_links", F.lit(False)))
@@ -369,6 +432,8 @@ def sync_object(
             "sync_state",
             S.STATE,
         )
+        if by_file:
+            files.note(S.file_zones(everything))
     house.append(spark.createDataFrame([summary], P.SUMMARY), "sync_runs", P.SUMMARY)
     _log_health(house, summary, catalog, good)
     return summary

@@ -41,6 +41,25 @@ def page_type(result: str) -> T.StructType:
     )
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file, path, landed_at, bytes`` of the files below a folder, none of which is opened.
+
+    ``file`` is the name that pages carry, ``path`` the one to read it by.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        return found.load(path).select(
+            F.col("_metadata.file_path").alias("file"),
+            "path",
+            F.col("_metadata.file_modification_time").alias("landed_at"),
+            F.col("_metadata.file_size").alias("bytes"),
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string, path string, landed_at timestamp, bytes bigint")
+
+
 def read_pages(
     spark: SparkSession,
     path: str,
@@ -48,11 +67,13 @@ def read_pages(
     multi_line: bool = False,
     landed_after: str | None = None,
     landed: bool = False,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """Pages of one kind, each with ``_page``, its place among all pages (file, then line).
 
     ``landed_after`` skips files that landed earlier without opening them; with ``landed`` the time
-    that a page's file landed comes along as ``_landed``. An absent path is an empty feed.
+    that a page's file landed comes along as ``_landed``. With ``files`` only those below the path are
+    read. An absent path is an empty feed.
     """
     schema = page_type(result)
     reader = (
@@ -68,20 +89,23 @@ def read_pages(
         F.monotonically_increasing_id().alias("line"),
     )
     more = [F.col("_metadata.file_modification_time").alias("_landed")] if landed else []
+    if files is not None:
+        reader = reader.option("basePath", path)
     try:
-        return reader.json(path).select("*", place.alias("_page"), *more)
+        if files != []:
+            return reader.json(files or path).select("*", place.alias("_page"), *more)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        empty = spark.createDataFrame([], schema)
-        none = F.lit(None)
-        place = F.struct(
-            none.cast("string").alias("file"),
-            none.cast("bigint").alias("block"),
-            none.cast("bigint").alias("line"),
-        )
-        more = [none.cast("timestamp").alias("_landed")] if landed else []
-        return empty.select("*", place.alias("_page"), *more)
+    empty = spark.createDataFrame([], schema)
+    none = F.lit(None)
+    place = F.struct(
+        none.cast("string").alias("file"),
+        none.cast("bigint").alias("block"),
+        none.cast("bigint").alias("line"),
+    )
+    more = [none.cast("timestamp").alias("_landed")] if landed else []
+    return empty.select("*", place.alias("_page"), *more)
 
 
 def parse_pages(df: DataFrame, text: str, order: str, result: str = RECORD) -> DataFrame:

@@ -64,6 +64,17 @@ def stream_dedup_window(t: Tables) -> DataFrame:
     )
 
 
+def order_states(house: Warehouse) -> DataFrame:
+    return house.read("order").select(
+        F.col("hs_object_id").alias("id"),
+        "total_price",
+        "status",
+        day("hs_lastmodifieddate").alias("modified"),
+        F.col("fivetran_deleted").alias("deleted"),
+        day("fivetran_synced").alias("synced_on"),
+    )
+
+
 DECLARED = {"Total Price": "number", "Status": "string", "hs_lastmodifieddate": "datetime"}
 
 
@@ -73,7 +84,7 @@ def land(
     """Orders as landed pages of records with links to their customers, plus the catalogs.
 
     Where ``broken`` holds the page stops after half of its text. ``declared`` are the properties that
-    the catalog knows.
+    the catalog knows. Records that land again add to those in the folder.
     """
     record = F.struct(
         text("o_orderkey").alias("id"),
@@ -92,15 +103,16 @@ def land(
     if broken is not None:
         page = F.when(broken, page.substr(F.lit(1), F.floor(F.length(page) / 2).cast("int"))).otherwise(page)
     pages = orders.select(page)
-    pages.write.text(f"{folder}/orders/records")
+    pages.write.mode("append").text(f"{folder}/orders/records")
     gone = t.orders.where(F.col("o_orderstatus") == "P").select(
         F.struct(text("o_orderkey").alias("id"), F.lit(True).alias("archived")).alias("r")
     )
-    gone.select(F.to_json(F.struct(F.array("r").alias("results")))).write.text(f"{folder}/orders/archived")
+    gone = gone.select(F.to_json(F.struct(F.array("r").alias("results"))))
+    gone.write.mode("overwrite").text(f"{folder}/orders/archived")
     catalog = json.dumps({"results": [{"name": name, "type": kind} for name, kind in declared.items()]})
     single = {"properties": catalog, "schema": '{"objectTypeId":"0-1","name":"ORDER"}'}
     for kind, line in single.items():
-        t.spark.createDataFrame([(line,)], "value string").write.text(f"{folder}/orders/{kind}")
+        t.spark.createDataFrame([(line,)], "value string").write.mode("overwrite").text(f"{folder}/orders/{kind}")
 
 
 def two_runs(t: Tables) -> tuple[Warehouse, Feed]:
@@ -121,15 +133,30 @@ def two_runs(t: Tables) -> tuple[Warehouse, Feed]:
                 ELSE '1998-06-01' END AS synced_on
     FROM orders""")
 def sync_two_runs(t: Tables) -> DataFrame:
-    house = two_runs(t)
-    return house.read("order").select(
-        F.col("hs_object_id").alias("id"),
-        "total_price",
-        "status",
-        day("hs_lastmodifieddate").alias("modified"),
-        F.col("fivetran_deleted").alias("deleted"),
-        day("fivetran_synced").alias("synced_on"),
-    )
+    return order_states(two_runs(t))
+
+
+@query("""
+    SELECT o_orderkey AS id, o_totalprice AS total_price, o_orderstatus AS status,
+           strftime(o_orderdate, '%Y-%m-%d') AS modified, o_orderstatus = 'P' AS deleted,
+           CASE WHEN o_orderstatus = 'P' OR o_orderdate >= TIMESTAMP '1998-06-01' THEN '2002-01-01'
+                ELSE '1998-06-01' END AS synced_on
+    FROM orders""")
+def sync_by_file(t: Tables) -> DataFrame:
+    """Some orders land before the first run with change times after its mark, the others later; the
+    second run opens the files of both by what the first one noted of them."""
+    house, folder = fresh_warehouse(t, "files", t.orders)
+    ahead = (F.col("o_orderkey") % 10 == 0) & (F.col("o_orderdate") >= F.lit(SPLIT).cast("timestamp_ntz"))
+    early = (F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")) & (F.col("o_orderkey") % 7 != 0)
+    feed = Feed.under(folder, "orders")
+    land(t, folder, t.orders.where(early))
+    land(t, folder, t.orders.where(ahead))
+    # Changed before the mark, and there when the run begins.
+    land(t, folder, t.orders.where(~early & (F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz"))))
+    sync_object(t.spark, feed, house, mark=datetime(1998, 6, 1), by_file=True)
+    land(t, folder, t.orders.where(~ahead & (F.col("o_orderdate") >= F.lit(SPLIT).cast("timestamp_ntz"))))
+    sync_object(t.spark, feed, house, mark=datetime(2002, 1, 1), by_file=True)
+    return order_states(house)
 
 
 @query("""
