@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tidemark.llm import tokencount
 from tidemark.llm.ann import hadamard, op6_nearest_vectors, search
+from tidemark.llm.licences import spdx_licences
 from tidemark.llm.licences import CUES, KNOWN, RULES, SENTENCES, cued, match_rules, normal, scan, sentence_ids
 from tidemark.llm.tokencount import START, CountTrie, count_tokens, long_count, piece_scores, read_pieces
 
@@ -232,6 +233,10 @@ APACHE = """// Copyright (c) 2020 Some Body
         (APACHE, ["copyright", "apache-named", "apache-comply"], ["Apache-2.0"]),
         ("See our licence terms elsewhere.", ["unknown"], []),
         ("SPDX-License-Identifier: BSD-3-Clause", ["spdx-bsd-3"], ["BSD-3-Clause"]),
+        ("SPDX-License-Identifier: LGPL-2.1-or-later", ["spdx LGPL-2.1-or-later"], ["LGPL-2.1-or-later"]),
+        ("/* SPDX-License-Identifier: Apache-2.0 OR MIT */\nint x;", ["spdx Apache-2.0", "spdx MIT"], ["Apache-2.0", "MIT"]),
+        ("# SPDX-License-Identifier: MIT\n# and more", ["spdx-mit"], ["MIT"]),
+        ("SPDX-License-Identifier: some licence or other", ["unknown"], []),
         ("nothing", [], []),
         ("", [], []),
         (None, [], []),
@@ -269,6 +274,30 @@ products derived from this software without specific prior written permission.
 BSD_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
 WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
 ARE DISCLAIMED."""
+BSD_LIABILITY = """ IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE,
+EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+LGPL = GPL.replace("This program", "This library").replace("this program", "this library")
+LGPL = LGPL.replace("General\nPublic", "General Public").replace("GNU General", "GNU Lesser General").replace("the GNU\nGeneral", "the GNU Lesser General")
+AGPL = GPL.replace("GNU\nGeneral", "GNU Affero General").replace("GNU General", "GNU Affero General")
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of
+the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by
+a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT
+HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 #: Notices as published, and the licence that each is.
 NOTICES = [
     (GPL.format(";", ";", 2, "; if not, write to the Free Software Foundation, Inc."), "GPL-2.0-or-later"),
@@ -304,6 +333,15 @@ CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION W
 SOFTWARE.""", "ISC"),
     (BSD + BSD_WARRANTY, "BSD-2-Clause"),
     (BSD + BSD_3 + BSD_WARRANTY, "BSD-3-Clause"),
+    (BSD + BSD_WARRANTY + BSD_LIABILITY, "BSD-2-Clause"),
+    (BSD + BSD_3 + BSD_WARRANTY + BSD_LIABILITY, "BSD-3-Clause"),
+    ("All rights reserved.\n\n" + BSD + BSD_3 + BSD_WARRANTY + BSD_LIABILITY, "BSD-3-Clause"),
+    (LGPL.format(";", ";", "2.1", "; if not, write to the Free Software Foundation, Inc."), "LGPL-2.1-or-later"),
+    (LGPL.format(":", ",", 3, ". If not, see <https://www.gnu.org/licenses/>."), "LGPL-3.0-or-later"),
+    (AGPL.format(":", ",", 3, ". If not, see <https://www.gnu.org/licenses/>."), "AGPL-3.0-or-later"),
+    (BOOST, "BSL-1.0"),
+    ("""Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at
+https://www.boost.org/LICENSE_1_0.txt)""", "BSL-1.0"),
     ("""This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
 liable for any damages arising from the use of this software.
 
@@ -338,6 +376,33 @@ def test_published_notices(mark, width):
         assert sentence_ids(wrapped(text, mark, width)) == [name] or name == "copyright"
 
 
+def test_a_whole_bsd_file_is_one_licence():
+    text = "Copyright (c) 2020, Some Body\nAll rights reserved.\n\n" + BSD + BSD_3 + BSD_WARRANTY + BSD_LIABILITY
+    assert match_rules(sentence_ids(text)) == (["BSD-3-Clause"], [])
+    assert match_rules(["copyright", "rights-reserved"]) == (["proprietary"], ["copyright"])
+
+
+@pytest.mark.parametrize(
+    "expression, licences",
+    [
+        ("MIT", ["MIT"]),
+        ("(MIT OR Apache-2.0) AND BSD-3-Clause", ["MIT", "Apache-2.0", "BSD-3-Clause"]),
+        ("GPL-2.0+ WITH Classpath-exception-2.0 or MIT", ["GPL-2.0+ WITH Classpath-exception-2.0", "MIT"]),
+        ("((MIT))", ["MIT"]),
+        ("MIT -->", ["MIT"]),
+        ("MIT OR", []),
+        ("(MIT", []),
+        ("MIT)", []),
+        ("MIT Apache-2.0", []),
+        ("MIT WITH (x)", []),
+        ("OR", []),
+        ("", []),
+    ],
+)
+def test_spdx_expressions(expression, licences):
+    assert spdx_licences(f" * SPDX-License-Identifier: {expression}") == licences
+
+
 def test_semicolons_part_what_is_not_known():
     text = "Copyright 2020 A Body; licensed under the MIT license; see our licence; and permission terms."
     assert sentence_ids(text) == ["copyright", "mit-named", "unknown", "unknown"]

@@ -10,7 +10,9 @@ is left over. Rules stand with longer ones first, so a full licence is not read
 A statement ends at a full stop or mark before white space ("v. 2.0" is none), or at a blank line. Its
 pieces are its lines, cut after semicolons; at every piece the longest known sentence that the pieces
 from there on spell is taken, over any number of them. What is left between is ``unknown`` once for
-every stretch up to a semicolon that has a cue. A null or empty text, or one
+every stretch up to a semicolon that has a cue. An SPDX line that is no known sentence is read as an
+expression (``AND``, ``OR``, ``WITH``, brackets), each licence of which is an identifier and a licence of
+its own. A null or empty text, or one
 without a cue, has no sentences and no licence. Every row is answered by itself; an empty table gives
 no rows.
 """
@@ -138,6 +140,20 @@ SENTENCES = {
         " implied warranties including but not limited to the implied warranties of merchantability and"
         " fitness for a particular purpose are disclaimed"
     ],
+    "bsd-liability": [
+        f"in no event shall the {who} be liable for any direct indirect incidental special exemplary or"
+        " consequential damages including but not limited to procurement of substitute goods or services"
+        " loss of use data or profits or business interruption however caused and on any theory of liability"
+        " whether in contract strict liability or tort including negligence or otherwise arising in any way"
+        " out of the use of this software even if advised of the possibility of such damage"
+        for who in (
+            "copyright holder or contributors",
+            "copyright holders or contributors",
+            "copyright owner or contributors",
+            "regents or contributors",
+            "author or contributors",
+        )
+    ],
     "bsd-named": ["licensed under the bsd license", "released under the bsd license"],
     "bsd-3-named": ["licensed under the bsd 3 clause license", "released under the bsd 3 clause license"],
     "gpl-named-3": [
@@ -162,11 +178,42 @@ SENTENCES = {
     ],
     "gpl-no-warranty": [
         "this program is distributed in the hope that it will be useful but without any warranty without"
-        " even the implied warranty of merchantability or fitness for a particular purpose"
+        " even the implied warranty of merchantability or fitness for a particular purpose",
+        "this library is distributed in the hope that it will be useful but without any warranty without"
+        " even the implied warranty of merchantability or fitness for a particular purpose",
     ],
     "gpl-details": ["see the gnu general public license for more details"],
     "gpl-received": ["you should have received a copy of the gnu general public license along with this program"],
     "gpl-url": ["if not see http www.gnu.org licenses", "if not see https www.gnu.org licenses"],
+    "boost-named": ["distributed under the boost software license version 1.0"],
+    "boost-file": [
+        "see accompanying file license 1 0.txt or copy at http www.boost.org license 1 0.txt",
+        "see accompanying file license 1 0.txt or copy at https www.boost.org license 1 0.txt",
+    ],
+    "boost-title": ["boost software license version 1.0 august 17th 2003"],
+    "boost-grant": [
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the"
+        " software and accompanying documentation covered by this license the software to use reproduce"
+        " display distribute execute and transmit the software and to prepare derivative works of the"
+        " software and to permit third parties to whom the software is furnished to do so all subject to the"
+        " following"
+    ],
+    "boost-notice": [
+        "the copyright notices in the software and this entire statement including the above license grant"
+        " this restriction and the following disclaimer must be included in all copies of the software in"
+        " whole or in part and all derivative works of the software unless such copies or derivative works"
+        " are solely in the form of machine executable object code generated by a source language processor"
+    ],
+    "boost-warranty": [
+        "the software is provided as is without warranty of any kind express or implied including but not"
+        " limited to the warranties of merchantability fitness for a particular purpose title and non"
+        " infringement"
+    ],
+    "boost-liability": [
+        "in no event shall the copyright holders or anyone distributing the software be liable for any"
+        " damages or other liability whether in contract tort or otherwise arising from out of or in"
+        " connection with the software or the use or other dealings in the software"
+    ],
     "lgpl-named": ["licensed under the gnu lesser general public license version 3"],
     "agpl-named": ["licensed under the gnu affero general public license version 3"],
     "mpl-named": [
@@ -206,13 +253,57 @@ SENTENCES = {
     ],
 }
 
+# The published headers of the licences that are worded like the GPL: name, versions, what they cover.
+KIN = {
+    "lgpl": ("gnu lesser general public license", ("2.1", "3"), ("library", "program")),
+    "agpl": ("gnu affero general public license", ("3",), ("program",)),
+}
+for _kin, (_name, _versions, _things) in KIN.items():
+    for _version in _versions:
+        SENTENCES[f"{_kin}-later-{_version}"] = [
+            f"this {thing} is free software you can redistribute it and or modify it under the terms of the {_name}"
+            f" as published by the free software foundation either version {_version} of the license or at your"
+            " option any later version"
+            for thing in _things
+        ]
+    SENTENCES[f"{_kin}-details"] = [f"see the {_name} for more details"]
+    SENTENCES[f"{_kin}-received"] = [
+        f"you should have received a copy of the {_name} along with this {thing}" for thing in _things
+    ]
+
+
+def header_rules() -> list[tuple[list[str], str]]:
+    """The headers of :data:`KIN`, longer ones first."""
+    rules = []
+    for kin, (_, versions, _) in KIN.items():
+        for version in versions:
+            licence = f"{kin.upper()}-{version if '.' in version else version + '.0'}-or-later"
+            whole = [f"{kin}-later-{version}", "gpl-no-warranty", f"{kin}-details", f"{kin}-received", "gpl-url"]
+            rules += [(whole[:n], licence) for n in (5, 4, 1)]
+    return rules
+
+
+def bsd_rules() -> list[tuple[list[str], str]]:
+    """The two BSD notices, with what stands before and without what is often cut off, longer ones first."""
+    rules = []
+    for before in (["copyright", "rights-reserved"], ["rights-reserved"], []):
+        for ends in (["bsd-warranty", "bsd-liability"], ["bsd-warranty"], []):
+            conditions = [*before, "bsd-grant", "bsd-source", "bsd-binary"]
+            rules.append(([*conditions, "bsd-endorse", *ends], "BSD-3-Clause"))
+            rules.append(([*conditions, *ends], "BSD-2-Clause"))
+    return sorted(rules, key=lambda rule: -len(rule[0]))
+
+
 # Identifiers that follow each other, and the licence that they are, first match first.
 RULES = [
     (["mit-grant", "mit-notice", "mit-warranty", "mit-liability"], "MIT"),
-    (["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"], "BSD-3-Clause"),
-    (["bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty"], "BSD-2-Clause"),
-    (["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"], "BSD-3-Clause"),
-    (["bsd-grant", "bsd-source", "bsd-binary"], "BSD-2-Clause"),
+    *bsd_rules(),
+    *header_rules(),
+    (["boost-title", "boost-grant", "boost-notice", "boost-warranty", "boost-liability"], "BSL-1.0"),
+    (["boost-grant", "boost-notice", "boost-warranty", "boost-liability"], "BSL-1.0"),
+    (["boost-named", "boost-file"], "BSL-1.0"),
+    (["boost-named"], "BSL-1.0"),
+    (["boost-title"], "BSL-1.0"),
     (["apache-named", "apache-comply", "apache-obtain", "apache-url", "apache-as-is", "apache-see"], "Apache-2.0"),
     (["apache-named", "apache-comply", "apache-obtain", "apache-as-is", "apache-see"], "Apache-2.0"),
     (["apache-named", "apache-comply"], "Apache-2.0"),
@@ -258,6 +349,8 @@ RULES = [
 ]
 
 UNKNOWN = "unknown"
+#: What the identifier of a licence in an SPDX expression starts with; the licence follows.
+SPDX = "spdx "
 KNOWN = {text: name for name, texts in SENTENCES.items() for text in texts}
 
 #: All beginnings of known sentences, in whole words.
@@ -271,6 +364,9 @@ _CUE_WORDS = [c for c in CUES if " " not in c]
 _CUE_PHRASES = [(max(c.split(), key=len), re.compile(_GAP.join(c.split()))) for c in CUES if " " in c]
 _MARKS = re.compile(r"^[\s/*#;%>|-]+|[\s*/]+$")
 _BULLET = re.compile(r"^\s*(?:(?!v\.\s+\d)\(?[0-9a-z]{1,2}[.)]\s+|[*-]\s+)")
+_SPDX = re.compile(r"spdx-license-identifier:", re.IGNORECASE)
+_SPDX_TEXT = re.compile(r"[\w\s.+()-]+")
+_SPDX_TOKEN = re.compile(r"[()]|[\w.+-]+")
 _PUNCT = re.compile(r"[^\w.]+|\.(?!\w)|(?<!\w)\.|_")
 _HOLDER = re.compile(r"^(?:copyright|c)(?: c)?(?: [12]\d{3}\b).*|^copyright (?:c )?by .*")
 
@@ -301,6 +397,34 @@ def unknown_ids(pieces: list[str]) -> list[str]:
     return [UNKNOWN for s in stretches if cued(" ".join(s))]
 
 
+def spdx_licences(line: str) -> list[str]:
+    """The licences of an SPDX line, in order, exceptions with them; none if it is no whole expression."""
+    met = _SPDX.search(line)
+    text = line[met.end() :].strip(" \t.*/>-") if met else ""
+    if not _SPDX_TEXT.fullmatch(text):
+        return []
+    found, depth, wanted, beside = [], 0, True, False
+    for token in _SPDX_TOKEN.findall(text):
+        word = token.upper()
+        if wanted and token == "(" and not beside:
+            depth += 1
+        elif not wanted and token == ")" and depth:
+            depth -= 1
+        elif wanted and token not in "()" and word not in ("AND", "OR", "WITH"):
+            if beside:
+                found[-1] += f" WITH {token}"
+            else:
+                found.append(token)
+            wanted = beside = False
+        elif not wanted and word in ("AND", "OR"):
+            wanted = True
+        elif not wanted and word == "WITH":
+            wanted = beside = True
+        else:
+            return []
+    return [] if wanted or depth else found
+
+
 def statement_ids(statement: str) -> list[str]:
     """Identifiers of a statement: of the runs of its pieces that are known, and of what is between."""
     pieces = [p.rstrip() for line in statement.split("\n") for p in _CUT.split(_MARKS.sub("", line))]
@@ -317,9 +441,10 @@ def statement_ids(statement: str) -> list[str]:
                     break
                 if run in KNOWN:
                     known, end = KNOWN[run], k + 1
-        if known:
-            found += [*unknown_ids(left), known]
-            at, left = end, []
+        named = [] if known else spdx_licences(pieces[at])
+        if known or named:
+            found += [*unknown_ids(left), *([known] if known else [SPDX + n for n in named])]
+            at, left = end if known else at + 1, []
         else:
             left.append(pieces[at])
             at += 1
@@ -336,6 +461,10 @@ def match_rules(ids: list[str]) -> tuple[list[str], list[str]]:
     """Licences in order, each once, and the identifiers that no rule took."""
     licences, left, at = [], [], 0
     while at < len(ids):
+        if ids[at].startswith(SPDX):
+            licences.append(ids[at].removeprefix(SPDX))
+            at += 1
+            continue
         for wanted, name in RULES:
             if ids[at : at + len(wanted)] == wanted:
                 licences.append(name)
