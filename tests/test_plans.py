@@ -108,6 +108,23 @@ def test_replaced_edges_leave_the_target_in_place(spark):
     assert hot.count() > 2
 
 
+def test_replaced_edges_list_only_salts_that_the_target_holds(spark):
+    """A listed record does not come once for every salt, and one without edges does not come at all."""
+    cells = spark.createDataFrame([(1, "a", 10, "1"), (2, "a", 20, "1"), (2, "a", 30, "1")], "from_id long, to_type string, to_id long, type_id string")
+    old, load = E.salted(cells), cells.where("from_id = 1").withColumn("type_id", F.lit("2"))
+    listed = spark.range(1, 9).where("id <> 2").select(F.col("id").alias("from_id"))
+    new = E.replace_edges_of(old, load, listed)
+    assert "Generate" not in plan(new)
+    assert sorted((r.from_id, r.to_id, r.type_id) for r in new.collect()) == [(1, 10, "2"), (2, 20, "1"), (2, 30, "1")]
+
+
+def test_change_time_is_read_once_a_row(spark):
+    df = spark.createDataFrame([('{"at": "2024-08-01"}',), ('{"at": "2024-01-01"}',), ('{"at": "x"}',), ("{}",)], "p string")
+    changed = modified_since(df, parse_instant(F.get_json_object("p", "$.at")), MARK, undated=True)
+    assert plan(changed).count("get_json_object") == 1
+    assert sorted(r.p for r in changed.collect()) == ['{"at": "2024-08-01"}', '{"at": "x"}', "{}"]
+
+
 def test_old_files_are_not_opened(spark, tmp_path):
     for name, when in (("old", 1_000_000_000), ("new", 1_800_000_000)):
         path = tmp_path / f"{name}.json"

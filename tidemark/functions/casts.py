@@ -24,6 +24,12 @@ _PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
 _ISO_START = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?\s*\z"
 
 
+def _whole_match(text: Column, pattern: str) -> Column:
+    """Text that fits a pattern anchored at both ends, else the empty text, which no cast takes; ``text`` is
+    evaluated once, which matters where it is read out of JSON."""
+    return F.regexp_extract(text, pattern, 0)
+
+
 def parse_id(text: Column) -> Column:
     """Whole numbers only; ``1.5`` or ``1_0`` are not ids."""
     return text.cast("string").try_cast("bigint")
@@ -31,8 +37,7 @@ def parse_id(text: Column) -> Column:
 
 def parse_number(text: Column, storage: str = "double") -> Column:
     """Decimal or exponent notation; bad text, overflow, NaN and infinities become null."""
-    plain = F.when(text.rlike(_PLAIN_NUMBER), text)
-    value = plain.try_cast(storage)
+    value = _whole_match(text, _PLAIN_NUMBER).try_cast(storage)
     if storage == "double":
         return F.when(F.abs(value) < F.lit(float("inf")), value)
     return value
@@ -40,7 +45,7 @@ def parse_number(text: Column, storage: str = "double") -> Column:
 
 def parse_instant(text: Column) -> Column:
     """ISO-8601 text as an instant, each value on its own; a missing zone means the session's (UTC)."""
-    return F.when(text.rlike(_ISO_START), text.try_cast("timestamp"))
+    return _whole_match(text, _ISO_START).try_cast("timestamp")
 
 
 def parse_date(text: Column) -> Column:

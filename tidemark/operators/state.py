@@ -45,7 +45,8 @@ def modified_since(
     without a readable time count as changed, unreadable pages among them.
     """
     recent = modified >= instant(since)
-    changed = records.where(recent | modified.isNull() if undated else recent)
+    # ``modified`` is evaluated once a row: it may be parsed out of JSON.
+    changed = records.where(F.coalesce(recent, F.lit(True)) if undated else recent)
     return changed.orderBy(modified) if ordered else changed
 
 
