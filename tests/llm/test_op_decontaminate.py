@@ -36,6 +36,14 @@ def test_leaks_need_question_and_answer(spark):
     assert all(r.question_overlap == r.answer_overlap == 1 and r.score > 0.99 for r in got)
 
 
+def test_a_few_items_make_one_file_in_any_number_of_partitions(spark, monkeypatch):
+    """Texts are read once for each file of the index."""
+    frame, dealt = type(spark.range(0)), type(spark.range(0)).repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *keys: dealt(self, max(n, 16) if keys else n, *keys))
+    items = spark.createDataFrame([(i, f"{ITEM} {filler(20, i)}") for i in range(40)], ITEMS)
+    assert len(dc.index_files(items, dc.GRAM)) == 1
+
+
 def test_dropping_keeps_columns(spark):
     docs = spark.createDataFrame(ROWS, DOCS).withColumns({"score": F.lit("mine"), "item_id": F.lit(3)})
     got = decontaminate(docs, spark.createDataFrame([(1, ITEM)], ITEMS))

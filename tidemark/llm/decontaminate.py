@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.tables import documents, table
-from tidemark.session import write_once
+from tidemark.session import write_once, write_result
 
 K1, B = 1.2, 0.75
 MIN_SCORE = 0.6
@@ -257,7 +257,7 @@ def index_files(items: DataFrame, least_words: int) -> list[str]:
     n, mean = tally.n, tally.mean
     terms = read.select("rid", F.explode(F.array_distinct("words")).alias("term"))
     df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    listed = terms.join(df, "term").groupBy("rid").agg(F.collect_list(F.struct("term", "df")).alias("terms"))
+    listed = terms.join(df, "term").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("term", "df"))).alias("terms"))
     whole = read.join(listed, "rid").select("rid", "item_id", "text", "terms", F.size("words").alias("n_words"))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -280,7 +280,9 @@ def index_files(items: DataFrame, least_words: int) -> list[str]:
             yield made(passage)
 
     chunks = max(1, -(-tally.bytes // CHUNK_BYTES))
-    index = whole.repartition(chunks, "rid").mapInPandas(build, "passage int, state binary")
+    # Texts are read once for each file, so there are as many files as the items need, however many
+    # partitions a shuffle by key has.
+    index = whole.repartition(chunks).mapInPandas(build, "passage int, state binary")
     return sorted(write_once(index, "item-index").inputFiles())
 
 
@@ -336,8 +338,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, least_words: int = GRAM) ->
         row += "_"
     # Written with its numbers, which would differ if the rows were read anew.
     numbered = write_once(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    leaked = leaked_items(numbered.select(F.col(row).alias("doc_id"), "text"), items, least_words)
-    leaked = write_once(leaked.select(F.col("doc_id").alias(row)).distinct(), "leaked")
+
+    def holders() -> DataFrame:
+        leaked = leaked_items(numbered.select(F.col(row).alias("doc_id"), "text"), items, least_words)
+        return leaked.select(F.col("doc_id").alias(row)).distinct()
+
+    leaked = write_result(docs.sparkSession, holders, "leaked")
     return numbered.join(leaked, row, "left_anti").drop(row)
 
 
