@@ -16,7 +16,7 @@ from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.neardup import drop_near_duplicates
 from tidemark.llm.shards import shard_documents
 from tidemark.llm.tables import table
-from tidemark.session import configure, write_once
+from tidemark.session import configure, write_result
 
 N_SHARDS = 16
 
@@ -62,5 +62,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last one's rows."""
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = write_once(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = write_result(spark, lambda: stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,5 +1,6 @@
 import re
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import llm_brute
@@ -61,6 +62,16 @@ def test_mix_and_shards(stages):
     assert set(slots) <= set(range(16))
 
 
+def test_near_dedup_leaves_two_folders(spark):
+    """The numbered rows and those that were judged; signatures, buckets and sets are gone."""
+    made = Path(spark.conf.get("spark.checkpoint.dir"))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    before = set(made.iterdir()) if made.is_dir() else set()
+    unique = dict(corpus_pipeline.STAGES)["near-dedup"](spark, docs, FOLDER)
+    left = {f.name.rsplit("-", 1)[0] for f in set(made.iterdir()) - before}
+    assert left == {"numbered", "near-rows"} and 0 < unique.count() < docs.count()
+
+
 def test_rows_of_any_kind_go_through(spark):
     rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (2, "One two three.", "en", None, 14), (2, "One two three.", "en", None, 14)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

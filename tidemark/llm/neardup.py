@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import shingles, spread
 from tidemark.llm.tables import documents
-from tidemark.session import write_once
+from tidemark.session import write_once, write_result
 
 HALVES, WIDTH = 12, 2
 #: The least similarity, as a fraction of whole numbers.
@@ -276,8 +276,13 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         row += "_"
     # Written with its numbers, which would differ if the rows were read anew.
     numbered = write_once(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"))
-    found = write_once(found.where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"), "near-rows")
+
+    def judged() -> DataFrame:
+        rows = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"))
+        return rows.where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id")
+
+    # Signatures, buckets and sets outweigh the documents: they go before the next stage writes.
+    found = write_result(docs.sparkSession, judged, "near-rows")
     ids = numbered.select(row, F.col("doc_id").alias("_id")).join(found, row)
     first = F.min(F.struct(F.col("_id").isNull(), "_id", row)).getField(row).alias(row)
     # Only the rows that go are joined back: few of a large table.
