@@ -128,3 +128,16 @@ def test_replace_where_listed(spark):
     target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     load = spark.createDataFrame([(1, "z")], "k int, v string")
     assert rows(M.replace_where_listed(target, load, ["k"], load)) == [(1, "z"), (2, "c")]
+
+
+@pytest.mark.parametrize("repeats", [0, 3, 90])
+def test_last_rows_of_a_written_table(spark, repeats):
+    """Few repeated keys, many or none, null ones among them: the rows are those of keep_last."""
+    few = [(None, 1, "n1"), (None, 2, "n2")] if repeats == 3 else []
+    df = spark.createDataFrame([(i, 0, f"a{i}") for i in range(100)] + [(i, 1, f"b{i}") for i in range(repeats)] + few, "k int, o int, x string")
+    assert rows(M.keep_last_written(df, ["k"], ["o"])) == rows(M.keep_last(df, ["k"], ["o"]))
+
+
+def test_rows_whose_key_comes_once_are_not_moved(spark):
+    df = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("o"))
+    assert "Exchange" not in M.keep_last_written(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()

@@ -178,3 +178,20 @@ def test_hot_record_is_split_over_tasks(spark):
         for key in settings:
             spark.conf.unset(key)
     assert len(holders) > 1
+
+
+def test_links_of_records_that_are_there_are_not_moved(spark):
+    """All but two records are there: the links meet those two, not the twenty thousand."""
+    links = spark.range(20000).select(
+        F.col("id").alias("from_id"), F.lit("a").alias("to_type"), F.col("id").alias("to_id"), F.lit("1").alias("type_id"),
+        F.lit("c").alias("category"), F.lit("feed a").alias("_origin"))
+    records = spark.range(2, 30000).select(F.col("id").alias("rid"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        attached, spoken, later = E.settle_links(links, links, None, records, "rid")
+        text = plan(attached, final=True)
+        assert (attached.count(), spoken.count()) == (19998, 19998)
+        assert sorted(r.from_id for r in later.collect()) == [0, 1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanges(text) == 0

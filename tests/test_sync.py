@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import CATALOG, PEOPLE, land, linked, pages, record
-from tidemark.plans.sync import Feed, Landed, sync_all, sync_object
+from tidemark.plans.sync import Feed, Landed, read_catalog, read_links, sync_all, sync_object
 from tidemark.plans.warehouse import ConcurrentPublish, Warehouse
 
 JUNE, JULY, AUGUST = datetime(2024, 6, 10), datetime(2024, 7, 1), datetime(2024, 8, 1)
@@ -361,3 +361,16 @@ def test_a_property_declared_late_is_filled_from_what_rows_keep(spark, house, tm
     got = people(house, "age", "a_b_c", "no_de_pie")
     assert got[1] == (7.0, "x", '{"k":1}')
     assert {k: v[0] for k, v in got.items()} == {1: 7.0, 2: None, 3: 9.0, 4: 10.0}
+
+
+def test_of_several_link_files_the_last_to_land_counts(spark, tmp_path):
+    """One of two files that name a record counts, others are as they were."""
+    links = tmp_path / "contacts" / "links" / "to_type=2-9"
+    land(links, metered(("811", 901), ("824", 902), ("824", 903)))
+    land(links, metered(("811", 904), ("839", None)))
+    for name, at in (("0000", 1_800_000_000), ("0001", 1_700_000_000)):
+        os.utime(links / f"{name}.json", (at, at))
+    feed = landing(tmp_path, links=False)
+    found = read_links(spark, feed, read_catalog(spark, feed).link_names)
+    assert sorted((r.from_id, r.to_id) for r in found.found.collect()) == [(811, 901), (824, 902), (824, 903)]
+    assert sorted(r.from_id for r in found.told.collect()) == [811, 824, 839]

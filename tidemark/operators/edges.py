@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.casts import parse_id
 from tidemark.functions.naming import edge_columns, normalize_expr
 from tidemark.meta import DEFAULT_CATEGORY, EDGE_KEY, EDGE_ORIGIN, EDGE_PLACE, EDGE_SALTS
-from tidemark.operators.merge import keep_last, replace_where_listed, upsert
+from tidemark.operators.merge import keep_last, keep_last_written, replace_where_listed, upsert
 from tidemark.session import write_once
 
 
@@ -138,6 +138,11 @@ def dedupe_edges(edges: DataFrame, order: list[str] | None = None) -> DataFrame:
     return keep_last(edges, _key(edges), order or ["_ord"])
 
 
+def dedupe_written_edges(edges: DataFrame) -> DataFrame:
+    """:func:`dedupe_edges` of a written table, without ``_ord``: edges that come once are not moved."""
+    return keep_last_written(edges, _key(edges), ["_ord"]).drop("_ord")
+
+
 def replace_edge_types(target: DataFrame, load: DataFrame, declared: list[str]) -> DataFrame:
     """Full mode: every declared type holds exactly the load's edges, none if it brings none."""
     kept = target.where(~F.col("to_type").isin(declared))
@@ -176,8 +181,9 @@ def settle_links(
     """(links of known records, the (from_id, origin) that they replace, links that wait on).
 
     ``told`` lists what the feed has spoken about, with links or without; it supersedes what has been
-    ``waiting`` for its record since earlier loads. The known records, which may be many and bucketed by
-    their id, are met by one row for each from-id and stay where they are.
+    ``waiting`` for its record since earlier loads. Every link's record must be told of. The known records, which
+    may be many and bucketed by their id, are met by one row for each from-id and stay where they are; the links
+    meet the records that are not there, which are few, if any.
     """
     pairs = told.select("from_id", EDGE_ORIGIN)
     if waiting is not None:
@@ -185,9 +191,9 @@ def settle_links(
         links = links.unionByName(old, allowMissingColumns=True)
         pairs = pairs.union(old.select("from_id", EDGE_ORIGIN)).distinct()
     ids = pairs.select("from_id").distinct()
-    known = write_once(ids.join(records, F.col("from_id") == F.col(record_id), "left_semi"), "linked-records")
-    attached = links.join(known, "from_id", "left_semi")
-    return attached, pairs.join(known, "from_id", "left_semi"), links.join(known, "from_id", "left_anti")
+    absent = write_once(ids.join(records, F.col("from_id") == F.col(record_id), "left_anti"), "absent-records")
+    attached = links.where("from_id IS NOT NULL").join(absent, "from_id", "left_anti")
+    return attached, pairs.join(absent, "from_id", "left_anti"), links.join(absent, "from_id", "left_semi")
 
 
 def edge_table(edges: DataFrame, own: str, to_type: str) -> DataFrame:

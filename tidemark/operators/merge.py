@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.meta import MetaColumns
 from tidemark.operators.records import at
+from tidemark.session import write_once
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -47,6 +48,26 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*picks).select(*[value(c) for c in df.columns])
 
 
+def keep_last_written(written: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """:func:`keep_last` of a written table of which few keys, if any, come more than once.
+
+    One pass over the key columns counts rows per hash of a key. Rows whose hash comes once need no ranking and stay
+    where they are, without a sort or a shuffle of whole rows; only the others are ranked (keys that merely share a
+    hash among them, so the result is exact). Where they are more than a quarter, all rows are.
+    """
+    counts = written.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
+    often = counts.where("_rows > 1")
+    met = often.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first().n
+    if not met:
+        return written
+    if met * 4 > written.count():
+        return keep_last(written, keys, order)
+    often = write_once(often.select("_hash"), "repeated-keys")
+    hashed = written.withColumn("_hash", F.xxhash64(*keys))
+    once = hashed.join(often, "_hash", "left_anti").drop("_hash")
+    return once.unionByName(keep_last(hashed.join(often, "_hash", "left_semi").drop("_hash"), keys, order))
+
+
 def _incoming(load: DataFrame) -> DataFrame:
     renamed = [F.col(c).alias(f"_in_{c}") for c in load.columns]
     return load.select(*renamed, F.lit(True).alias("_in"))

@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,25 +146,32 @@ def read_links(
         pages = pages.withColumn("to_type", F.lit(None).cast("string"))
     raw = F.col("to_type").cast("string")
     origin = F.concat(F.lit("feed "), F.coalesce(raw, F.lit(""))).alias(EDGE_ORIGIN)
-    file = F.struct(F.col("_landed").alias("at"), F.col("_page.file").alias("file")).alias("_file")
     results = F.posexplode_outer("results").alias("_pos", "_result")
-    each = pages.select(raw.alias("_type_id"), origin, file, "_corrupt", "_page", results)
+    each = pages.select(raw.alias("_type_id"), origin, "_landed", "_corrupt", "_page", results)
     each = each.withColumn("_corrupt", F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_corrupt")))
-    batches = each.select("_result.*", "_type_id", EDGE_ORIGIN, "_file", "_corrupt", F.struct("_page", "_pos").alias("_ord"))
-    batches = batches.withColumn("_result", F.col("_ord"))
-    carry = ("_type_id", EDGE_ORIGIN, "_file", "_corrupt", "_result")
+    batches = each.select("_result.*", "_type_id", EDGE_ORIGIN, "_landed", "_corrupt", F.struct("_page", "_pos").alias("_ord"))
+    carry = ("_type_id", EDGE_ORIGIN, "_landed", "_corrupt")
     rows = E.flatten_links(batches, F.lit(None).cast("string"), carry=carry).drop("to_type")
     staged = write_once(rows.where("from_id IS NOT NULL OR _corrupt IS NOT NULL"), "links")
 
-    broken = staged.where("_corrupt IS NOT NULL").dropDuplicates(["_result", "_corrupt"])
-    told = staged.where("from_id IS NOT NULL").groupBy("from_id", EDGE_ORIGIN).agg(F.max("_file").alias("_file"))
+    broken = staged.where("_corrupt IS NOT NULL").select(F.col("_ord._rec").alias("_ord"), "_corrupt").distinct()
+    said = staged.where("from_id IS NOT NULL").withColumn("_file", F.struct("_landed", "_ord._rec._page.file"))
+    # Files by number, one row each: the numbers are compared and kept as such, not the names.
+    files = said.select("_file").distinct().withColumn("_nth", F.row_number().over(Window.orderBy("_file")))
+    said = said.join(write_once(files, "link-files"), "_file").drop("_file")
+    told = said.groupBy("from_id", EDGE_ORIGIN).agg(F.max("_nth").alias("_last"), F.min("_nth").alias("_first"))
     told = write_once(told, "told-links")
-    last = staged.where("to_id IS NOT NULL").join(told, ["from_id", EDGE_ORIGIN, "_file"], "left_semi")
+    last = said.where("to_id IS NOT NULL")
+    # Links that several files tell of are few, if any: the others need not meet their file.
+    torn = told.where("_first < _last").drop("_first")
+    if not torn.isEmpty():
+        torn = write_once(torn, "torn-links")
+        last = last.join(torn, ["from_id", EDGE_ORIGIN], "left").where("_last IS NULL OR _nth = _last")
     # Type names meet the links by a join: there may be any number of link types.
     named = names.select(F.col("type_id").alias("_type_id"), normalize_expr(F.col("name")).alias("_type_name"))
     found = last.join(named.dropDuplicates(["_type_id"]), "_type_id", "left")
     found = found.withColumn("to_type", F.coalesce("_type_name", normalize_expr(F.col("_type_id"))))
-    return Links(found.select(*LINK, "_ord"), told.drop("_file"), broken.select(F.col("_result").alias("_ord"), "_corrupt"))
+    return Links(found.select(*LINK, "_ord"), told.select("from_id", EDGE_ORIGIN), broken)
 
 
 def publish_pipelines(house: Warehouse, catalog: Catalog, mark: datetime, meta: MetaColumns) -> tuple[int, int]:
@@ -191,12 +198,12 @@ def publish_edges(
 ) -> int:
     """All edges of the object in one table, and a view per target type under its own names.
 
-    A ``whole`` load replaces the table; any other one replaces what it ``touched``: a record's edges of
+    ``found`` is a written table. A ``whole`` load replaces the table; any other one replaces what it ``touched``: a record's edges of
     one origin, whether it brought links for them or not. Without ``touched`` no edge goes. The views
     show an edge once, however many origins tell of it.
     """
     name = f"{table}_edges"
-    fresh = E.dedupe_edges(found).drop("_ord")
+    fresh = E.dedupe_written_edges(found)
     current = house.read(name)
     if current is not None and EDGE_ORIGIN not in current.columns:
         current = current.withColumn(EDGE_ORIGIN, F.lit(INLINE))
@@ -337,7 +344,7 @@ def sync_object(
         flat = flatten_records(records, catalog.columns, mark, meta, carry=carry, raw=raw)
         staged = write_once(flat, "staged")
     good, _ = split_rejects(staged)
-    load = M.keep_last(good.drop("id", "associations", "_corrupt"), [meta.id], ["_ord"]).drop("_ord")
+    load = M.keep_last_written(good.drop("id", "associations", "_corrupt"), [meta.id], ["_ord"]).drop("_ord")
     tally = staged.agg(
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(F.col("_bad_id").isNotNull() | F.col("_corrupt").isNotNull()).alias("failed"),
