@@ -195,3 +195,33 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
 
     assert take((1, "a"), (1, "a"), (None, "n")) == [(1, "a"), (None, "n")]
     assert take((1, "again"), (None, "n"), (2, "b")) == [(1, "a"), (2, "b"), (None, "n")]
+
+
+def test_a_batch_moves_to_the_buckets_and_the_tables_stay(spark, tmp_path, monkeypatch):
+    house = Warehouse(spark, "s" + uuid.uuid4().hex, buckets=3)
+    folder, checkpoint = tmp_path / "records", tmp_path / "checkpoint"
+    publish, plans = Warehouse.publish, {}
+
+    def noted(self, df, name, *args, **more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return publish(self, df, name, *args, **more)
+
+    monkeypatch.setattr(Warehouse, "publish", noted)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for day in (1, 2):
+            land(folder, *pages([version(str(i), "a", day) for i in range(20)] + [record("3", archived=True)]))
+            run(spark, house, folder, checkpoint, files_per_batch=10)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for name in ("people", "people_archived"):
+        lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in plans[name].splitlines()]
+        for at, (depth, line) in enumerate(lines):
+            if "Scan parquet" not in line or f"{name}__v" not in line:
+                continue
+            above = []
+            for d, x in reversed(lines[:at]):
+                if d < depth:
+                    above, depth = [*above, x], d
+            assert above and not [x for x in above if "Exchange" in x], plans[name]

@@ -93,6 +93,11 @@ def stream_upsert(
     def publish(new: DataFrame, name: str, source: str) -> None:
         house.publish(new, name, keys, source=source, placed=house.exists(name))
 
+    def in_buckets(rows: DataFrame) -> DataFrame:
+        # An aggregate leaves its rows in as many partitions as the session shuffles to; without this a join
+        # would move the written table there instead of these few rows to its buckets.
+        return rows.repartition(house.buckets, *keys)
+
     def merged(live: DataFrame, batch: DataFrame, target: DataFrame | None, source: str) -> DataFrame:
         mark = run_mark()
         if archived is None:
@@ -105,7 +110,8 @@ def stream_upsert(
         when = F.coalesce(told, F.col(guard), instant(mark)).alias("gone_at")
         gone, name = batch.where(archived).select(meta.id, when), f"{table}_archived"
         if house.source(name) != source and (house.exists(name) or not gone.isEmpty()):
-            publish(newest_tombstones(house.read(name), gone, meta.id), name, source)
+            latest = in_buckets(newest_tombstones(None, gone, meta.id))
+            publish(newest_tombstones(house.read(name), latest, meta.id), name, source)
         tombstones = house.read(name)
         if tombstones is None:
             return live if target is None else upsert(target, live, keys, guard)
@@ -142,7 +148,7 @@ def stream_upsert(
                 load = write_once(load, "last-versions")
                 take_edges(load, target, source)
                 load = load.drop("id", "associations")
-            publish(merged(load.drop(*HELPERS), batch, target, source), table, source)
+            publish(merged(in_buckets(load.drop(*HELPERS)), batch, target, source), table, source)
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
